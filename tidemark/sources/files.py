@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 # A micro-batch takes at most this much input, which bounds what a stateful
 # operator has to order at once.
-BATCH_BYTES = "1g"
+BATCH_BYTES = 1 << 30
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -40,11 +40,12 @@ def table_stream(
     path: str,
     schema: T.StructType | str,
     files_per_batch: int | None = None,
+    bytes_per_batch: int = BATCH_BYTES,
 ) -> DataFrame:
-    """Parquet files read as a stream, oldest first."""
+    """Parquet files read as a stream, oldest first, in bounded micro-batches."""
     reader = spark.readStream.schema(schema)
     if files_per_batch is None:
-        reader = reader.option("maxBytesPerTrigger", BATCH_BYTES)
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     else:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
