@@ -2,10 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def check_outcomes(timeout_ms: int) -> Column:
+    """Outcomes of one order from ``app_ms``, ``third_ms`` and ``status``, as an array
+    of (outcome, fire_ms)."""
+    app_ms, third_ms, limit = F.col("app_ms"), F.col("third_ms"), F.lit(timeout_ms)
+    third_missing = F.struct(F.lit("third_timeout").alias("outcome"), (app_ms + limit).alias("fire_ms"))
+    app_missing = F.struct(F.lit("app_timeout").alias("outcome"), (third_ms + limit).alias("fire_ms"))
+    failed = F.struct(
+        F.lit("payment_failed").alias("outcome"),
+        (F.least(app_ms, third_ms) + limit).alias("fire_ms"),
+    )
+    by_third = F.struct(F.lit("third_matched").alias("outcome"), third_ms.alias("fire_ms"))
+    by_app = F.struct(F.lit("app_matched").alias("outcome"), app_ms.alias("fire_ms"))
+
+    return (
+        F.when(third_ms.isNull(), F.array(third_missing))
+        .when(app_ms.isNull(), F.array(app_missing))
+        .when(F.abs(app_ms - third_ms) > limit, F.array(third_missing, app_missing))
+        .when(F.col("status") != "success", F.array(failed))
+        .when(app_ms <= third_ms, F.array(by_third))
+        .otherwise(F.array(by_app))
+    )
+
+
 def bill_check(app: DataFrame, third: DataFrame, timeout_ms: int = 5_000) -> DataFrame:
     """``order_id, outcome, fire_ms`` for app orders and third-party payments.
 
@@ -37,23 +60,4 @@ def bill_check(app: DataFrame, third: DataFrame, timeout_ms: int = 5_000) -> Dat
     orders = orders.withColumn(
         "app_ms", F.when(F.col("_times") > 1, repeated.cast("bigint")).otherwise(F.col("app_ms"))
     )
-
-    app_ms, third_ms, limit = F.col("app_ms"), F.col("third_ms"), F.lit(timeout_ms)
-    third_missing = F.struct(F.lit("third_timeout").alias("outcome"), (app_ms + limit).alias("fire_ms"))
-    app_missing = F.struct(F.lit("app_timeout").alias("outcome"), (third_ms + limit).alias("fire_ms"))
-    failed = F.struct(
-        F.lit("payment_failed").alias("outcome"),
-        (F.least(app_ms, third_ms) + limit).alias("fire_ms"),
-    )
-    by_third = F.struct(F.lit("third_matched").alias("outcome"), third_ms.alias("fire_ms"))
-    by_app = F.struct(F.lit("app_matched").alias("outcome"), app_ms.alias("fire_ms"))
-
-    results = (
-        F.when(third_ms.isNull(), F.array(third_missing))
-        .when(app_ms.isNull(), F.array(app_missing))
-        .when(F.abs(app_ms - third_ms) > limit, F.array(third_missing, app_missing))
-        .when(F.col("status") != "success", F.array(failed))
-        .when(app_ms <= third_ms, F.array(by_third))
-        .otherwise(F.array(by_app))
-    )
-    return orders.select("order_id", F.inline(results))
+    return orders.select("order_id", F.inline(check_outcomes(timeout_ms)))

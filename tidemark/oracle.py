@@ -315,6 +315,12 @@ WHERE window_start + 86400000 <= {ORDERS_ENDED}""",
         E,
         ORDERS,
         f"""SELECT order_id, outcome, fire_ms FROM outcomes
+WHERE outcome NOT LIKE '%_timeout' OR fire_ms < {ORDERS_ENDED}""",
+    ),
+    "stream_bill_check_repeated": _sql(
+        E,
+        ORDERS,
+        f"""SELECT order_id, outcome, fire_ms FROM outcomes
 WHERE outcome LIKE '%_matched' OR fire_ms < {ORDERS_ENDED}""",
     ),
     "stream_pattern_match": ORACLE["pattern_match"],

@@ -22,22 +22,18 @@ SECOND_PATTERN_MS = 1_705_363_200_000
 ID = "event_id"
 
 
-def _documents(spark: SparkSession, data_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{data_dir}/documents.parquet")
-
-
 def _of_url(events: DataFrame, url: str, id_name: str) -> DataFrame:
     kept = events.filter(F.col("url") == url)
     return kept.select("user_id", F.col(ID).alias(id_name), "ms")
 
 
 def word_count(spark, data_dir):
-    lines = _documents(spark, data_dir).select(F.explode(split_lines(F.col("text"))).alias("line"))
-    return ops.word_count(lines)
+    documents = sources.documents(spark, data_dir)
+    return ops.word_count(documents.select(F.explode(split_lines(F.col("text"))).alias("line")))
 
 
 def running_word_count(spark, data_dir):
-    return ops.running_word_count(ops.document_words(_documents(spark, data_dir)))
+    return ops.running_word_count(ops.document_words(sources.documents(spark, data_dir)))
 
 
 def url_tumbling_count(spark, data_dir):

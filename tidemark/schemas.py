@@ -13,6 +13,16 @@ EVENTS_TABLE = T.StructType(
     ]
 )
 
+DOCUMENTS_TABLE = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+    ]
+)
+
 CLICKS = "name string, url string, timestamp bigint"
 URL_VIEW_COUNTS = "url string, count bigint, windowStart bigint, windowEnd bigint"
 APP_ORDERS = "order_id string, platform string, ts_ms bigint"

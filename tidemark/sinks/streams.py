@@ -16,10 +16,13 @@ BATCH_ID = "batch_id"
 
 @contextmanager
 def streaming_settings(spark: SparkSession, partitions: int | None = None):
-    """Settings a stateful query fixes when it first starts: RocksDB state, and one
+    """Settings a stateful query fixes when it first starts: RocksDB state that
+    commits changes instead of snapshots, one store per join partition, and one
     state partition per task slot unless told otherwise."""
     wanted = {
         STATE_PROVIDER_KEY: ROCKSDB_PROVIDER,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.join.stateFormatVersion": "3",
         "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
     }
     before = {key: spark.conf.get(key, None) for key in wanted}

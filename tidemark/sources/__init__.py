@@ -1,12 +1,21 @@
 from tidemark.sources.events import click_events, event_table
-from tidemark.sources.files import socket_lines, table_stream, text_lines, text_stream
+from tidemark.sources.files import (
+    documents,
+    socket_lines,
+    spread,
+    table_stream,
+    text_lines,
+    text_stream,
+)
 from tidemark.sources.orders import app_orders, third_orders
 
 __all__ = [
     "app_orders",
     "click_events",
+    "documents",
     "event_table",
     "socket_lines",
+    "spread",
     "table_stream",
     "text_lines",
     "text_stream",

@@ -5,11 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.schemas import DOCUMENTS_TABLE
+
 # A micro-batch takes at most this much input, which bounds what a stateful
 # operator has to order at once.
 BATCH_BYTES = 1 << 30
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every task slot a share of an input that has fewer splits than slots.
+
+    For work that grows rows, such as splitting texts. Large inputs have more splits
+    than slots and stay as they are, without a shuffle.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row ``line`` per line of the files at any Hadoop-readable path."""
     return spark.read.text(path).withColumnRenamed("value", "line")
@@ -35,6 +47,15 @@ def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, data_dir: str, stream: bool = False) -> DataFrame:
+    """``doc_id, text`` of the ``documents`` table, whole or as a stream of its files."""
+    if stream:
+        table = table_stream(spark, f"{data_dir}/documents*.parquet", DOCUMENTS_TABLE)
+        return table.select("doc_id", "text")
+    table = spark.read.schema(DOCUMENTS_TABLE).parquet(f"{data_dir}/documents.parquet")
+    return spread(table.select("doc_id", "text"))
+
+
 def table_stream(
     spark: SparkSession,
     path: str,

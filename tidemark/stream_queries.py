@@ -20,15 +20,13 @@ from tidemark.schemas import APP_ORDERS, THIRD_ORDERS
 from tidemark.session import scratch_dir
 from tidemark.sinks import latest_values, run_available_now
 
-DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-
 
 def _clicks(spark, data_dir):
     return sources.click_events(spark, data_dir, stream=True)
 
 
 def word_count(spark, data_dir):
-    documents = sources.table_stream(spark, f"{data_dir}/documents*.parquet", DOCUMENTS)
+    documents = sources.documents(spark, data_dir, stream=True)
     lines = documents.select(F.explode(split_lines(F.col("text"))).alias("line"))
     updates = run_available_now(ops.word_count(lines), mode="update")
     return latest_values(updates, ["word"], "cnt")
@@ -82,17 +80,28 @@ def two_stream_join(spark, data_dir):
     return run_available_now(pairs.select("user_id", "left_id", "right_id"))
 
 
-def bill_check(spark, data_dir):
+def _order_streams(spark, data_dir):
+    """Both order tables, written out once and read back as streams."""
     events = sources.click_events(spark, data_dir)
-    paths = {}
-    for side, orders in (("app", sources.app_orders(events)), ("third", sources.third_orders(events))):
-        paths[side] = scratch_dir(spark, f"{side}-orders")
-        orders.write.parquet(paths[side])
-    app = sources.table_stream(spark, paths["app"], APP_ORDERS)
-    third = sources.table_stream(spark, paths["third"], THIRD_ORDERS)
+    app_path, third_path = (scratch_dir(spark, label) for label in ("app-orders", "third-orders"))
+    sources.app_orders(events).write.parquet(app_path)
+    sources.third_orders(events).write.parquet(third_path)
+    return (
+        sources.table_stream(spark, app_path, APP_ORDERS),
+        sources.table_stream(spark, third_path, THIRD_ORDERS),
+    )
+
+
+def bill_check(spark, data_dir):
+    app, third = _order_streams(spark, data_dir)
     return run_available_now(streaming.bill_check(app, third, 6 * HOUR))
 
 
+def bill_check_repeated(spark, data_dir):
+    app, third = _order_streams(spark, data_dir)
+    return run_available_now(streaming.bill_check_repeated(app, third, 6 * HOUR))
+
+
 def pattern_match(spark, data_dir):
     actions = _clicks(spark, data_dir).select("user_id", ID, "ms", F.col("url").alias("action"))
     patterns = action_patterns(sources.click_events(spark, data_dir))
@@ -116,9 +125,10 @@ def buffered_rows(spark, data_dir):
 
 
 def event_timer_trace(spark, data_dir):
-    traced = streaming.event_timer_trace(_clicks(spark, data_dir))
     # The watermark seen depends on how input falls into micro-batches.
-    return run_available_now(traced.filter(F.col("kind") != "watermark"))
+    return run_available_now(
+        streaming.event_timer_trace(_clicks(spark, data_dir), watermarks=False)
+    )
 
 
 def split_by_user(spark, data_dir):
@@ -141,6 +151,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_interval_join": interval_join,
     "stream_two_stream_join": two_stream_join,
     "stream_bill_check": bill_check,
+    "stream_bill_check_repeated": bill_check_repeated,
     "stream_pattern_match": pattern_match,
     "stream_periodic_pv": periodic_pv,
     "stream_avg_ts_every_n": avg_ts_every_n,

@@ -8,6 +8,7 @@ from tidemark.streaming.joins import (
 from tidemark.streaming.keyed import (
     average_every_n,
     bill_check,
+    bill_check_repeated,
     event_timer_trace,
     full_chunks,
     match_patterns,
@@ -19,6 +20,7 @@ from tidemark.streaming.windows import top_windows, windowed_counts
 __all__ = [
     "average_every_n",
     "bill_check",
+    "bill_check_repeated",
     "cogroup_full_join",
     "cogroup_left_join",
     "event_timer_trace",

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import with_event_time
 from tidemark.operators.patterns import is_short, join_intervals, pattern_intervals
+from tidemark.operators.reconcile import check_outcomes
 from tidemark.streaming import processors as p
 
 
@@ -67,8 +68,38 @@ def average_every_n(
 def bill_check(
     app: DataFrame, third: DataFrame, timeout_ms: int = 5_000, delay_ms: int = 0
 ) -> DataFrame:
-    """``order_id, outcome, fire_ms``; each side brings its own watermark, and the
-    slower one holds time back."""
+    """``order_id, outcome, fire_ms`` for order ids that occur once per side.
+
+    A full outer join in time: pairs come out at once, a half without partner when
+    the watermark passes its deadline. Each side brings its own watermark, and the
+    slower one holds time back.
+    """
+    apps = with_event_time(app.select("order_id", "ts_ms"), delay_ms, "ts_ms", "app_time")
+    thirds = with_event_time(
+        third.select(F.col("order_id").alias("third_id"), "status", F.col("ts_ms").alias("third_ms")),
+        delay_ms,
+        "third_ms",
+        "third_time",
+    )
+    limit = f"interval {timeout_ms / 1000} seconds"
+    near = F.expr(
+        "order_id = third_id"
+        f" and third_time >= app_time - {limit} and third_time <= app_time + {limit}"
+    )
+    halves = apps.withColumnRenamed("ts_ms", "app_ms").join(thirds, near, "full_outer")
+    return halves.select(
+        F.coalesce("order_id", "third_id").alias("order_id"), F.inline(check_outcomes(timeout_ms))
+    )
+
+
+def bill_check_repeated(
+    app: DataFrame, third: DataFrame, timeout_ms: int = 5_000, delay_ms: int = 0
+) -> DataFrame:
+    """:func:`bill_check` for order ids that may come again.
+
+    Each row of a side replaces the one waiting there and sets a timer of its own;
+    any timer of the order ends the wait of both halves.
+    """
     apps = app.select(
         "order_id", F.lit(0).alias("side"), F.lit(None).cast("string").alias("status"), "ts_ms"
     )
@@ -96,25 +127,37 @@ def full_chunks(
 def event_timer_trace(
     stream: DataFrame,
     user: str = "user_id",
-    tie: str = "event_id",
     after_ms: int = 10,
     delay_ms: int = 0,
+    watermarks: bool = True,
     shards: int = 64,
     ms: str = "ms",
 ) -> DataFrame:
     """``kind, user_id, ms``: arrivals, the watermark each meets, and one firing per
-    distinct timer. Sharding by time keeps equal timers together."""
-    slim = stream.select(
-        F.pmod(F.xxhash64(ms), F.lit(shards)).alias("shard"),
-        F.col(user).alias("user"),
-        F.col(ms).alias("ms"),
-        F.col(tie).alias("id"),
+    distinct timer, once the watermark passes it.
+
+    Only reading the watermark takes a stateful operator, whose single key is
+    sharded; ``watermarks=False`` leaves it out.
+    """
+    if watermarks:
+        shard = F.pmod(F.xxhash64(ms), F.lit(shards)).alias("shard")
+        slim = stream.select(shard, F.col(user).alias("user"), F.col(ms).alias("ms"))
+        added = {"kind": T.StringType(), user: stream.schema[user].dataType, ms: T.LongType()}
+        seen = _run(with_event_time(slim, delay_ms), ["shard"], p.SeenWatermarks(), added)
+        rows = seen.drop("shard")
+    else:
+        rows = stream.select(F.lit("arrival").alias("kind"), user, ms)
+    due = stream.select((F.col(ms) + F.lit(after_ms)).alias("ms"))
+    timers = with_event_time(due, delay_ms + after_ms).groupBy("event_time").agg(
+        F.lit("timer").alias("kind")
     )
-    added = {"kind": T.StringType(), user: stream.schema[user].dataType, ms: T.LongType()}
-    traced = _run(
-        with_event_time(slim, delay_ms), ["shard"], p.EventTimers(after_ms), added
+    return rows.unionByName(
+        timers.select(
+            "kind",
+            F.lit(None).cast(stream.schema[user].dataType).alias(user),
+            F.unix_millis("event_time").alias(ms),
+        )
     )
-    return traced.drop("shard")
 
 
 def previous_actions(

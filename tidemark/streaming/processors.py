@@ -55,7 +55,7 @@ class CycleCounter(Processor):
 
     def handleInputRows(self, key, rows, timerValues):
         times = _sorted_times(rows)
-        open_end, total = self.cycle.get() if self.cycle.exists() else (None, 0)
+        open_end, total = self.cycle.get() or (None, 0)
         end_ms, i = open_end, 0
         while i < len(times):
             if end_ms is None:
@@ -90,7 +90,7 @@ class AverageEveryN(Processor):
         self.totals = handle.getValueState("totals", "count bigint, total decimal(38,0)")
 
     def handleInputRows(self, key, rows, timerValues):
-        count, total = self.totals.get() if self.totals.exists() else (0, 0)
+        count, total = self.totals.get() or (0, 0)
         total = int(total)
         for ms in _sorted_times(rows):
             count, total = count + 1, total + ms
@@ -108,18 +108,9 @@ class BillCheck(Processor):
     def init(self, handle):
         super().init(handle)
         self.halves = handle.getValueState(
-            "halves", "app_ms bigint, third_ms bigint, status string"
+            "halves", "app_ms bigint, third_ms bigint, status string, timers array<bigint>"
         )
 
-    def _read(self):
-        return self.halves.get() if self.halves.exists() else (None, None, None)
-
-    def _write(self, app, third, status):
-        if app is None and third is None:
-            self.halves.clear()
-        else:
-            self.halves.update((app, third, status))
-
     @staticmethod
     def _timeout_outcome(app, third):
         if app is not None and third is not None:
@@ -129,16 +120,15 @@ class BillCheck(Processor):
         return "app_timeout" if third is not None else None
 
     def handleInputRows(self, key, rows, timerValues):
-        app, third, status = self._read()
-        timers = sorted(self.handle.listTimers())
+        app, third, status, pending = self.halves.get() or (None, None, None, [])
+        timers = before = sorted(pending)
         for ms, side, row_status in sorted((r.ts_ms, r.side, r.status or "") for r in rows):
             while timers and timers[0] <= ms:
-                due = timers.pop(0)
-                self.handle.deleteTimer(due)
                 outcome = self._timeout_outcome(app, third)
                 if outcome:
-                    yield self.row(*key, outcome, due - 1)
+                    yield self.row(*key, outcome, timers[0] - 1)
                 app = third = status = None
+                timers = timers[1:]
             if side == 0 and third is not None and status == "success":
                 yield self.row(*key, "app_matched", ms)
                 third = status = None
@@ -151,18 +141,24 @@ class BillCheck(Processor):
                 app = ms
             else:
                 third, status = ms, row_status
-            due = ms + self.timeout + 1
-            if due not in timers:
-                timers = sorted([*timers, due])
-                self.handle.registerTimer(due)
-        self._write(app, third, status)
+            timers = sorted({*timers, ms + self.timeout + 1})
+        for due in set(before).difference(timers):
+            self.handle.deleteTimer(due)
+        for due in set(timers).difference(before):
+            self.handle.registerTimer(due)
+        self.halves.update((app, third, status, timers))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        app, third, _ = self._read()
+        app, third, _, timers = self.halves.get()
+        due = expiredTimerInfo.getExpiryTimeInMs()
+        left = [t for t in timers if t != due]
+        if left:
+            self.halves.update((None, None, None, left))
+        else:
+            self.halves.clear()
         outcome = self._timeout_outcome(app, third)
-        self.halves.clear()
         if outcome:
-            yield self.row(*key, outcome, expiredTimerInfo.getExpiryTimeInMs() - 1)
+            yield self.row(*key, outcome, due - 1)
 
 
 class FullChunks(Processor):
@@ -182,7 +178,7 @@ class FullChunks(Processor):
         arrived = [tuple(row[name] for name in names) for row in rows]
         arrived.sort(key=lambda values: tuple(values[i] for i in places))
         buffer = [tuple(values) for values in self.held.get()] + arrived
-        done = self.chunks.get()[0] if self.chunks.exists() else 0
+        (done,) = self.chunks.get() or (0,)
         full = len(buffer) // self.size
         for i, values in enumerate(buffer[: full * self.size]):
             yield self.row(*key, done + i // self.size, *values)
@@ -194,25 +190,14 @@ class FullChunks(Processor):
         self.chunks.update((done + full,))
 
 
-class EventTimers(Processor):
-    """Reports arrivals, the watermark they meet and the timers they set."""
-
-    def __init__(self, after: int):
-        self.after = after
+class SeenWatermarks(Processor):
+    """Reports arrivals and the watermark they meet."""
 
     def handleInputRows(self, key, rows, timerValues):
         watermark = timerValues.getCurrentWatermarkInMs()
-        set_now = set()
         for row in rows:
             yield self.row(*key, "arrival", row.user, row.ms)
             yield self.row(*key, "watermark", row.user, watermark)
-            due = row.ms + self.after + 1
-            if due not in set_now:
-                set_now.add(due)
-                self.handle.registerTimer(due)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield self.row(*key, "timer", None, expiredTimerInfo.getExpiryTimeInMs() - 1)
 
 
 class PreviousAction(Processor):
@@ -223,7 +208,7 @@ class PreviousAction(Processor):
         self.last = handle.getValueState("last", "action string")
 
     def handleInputRows(self, key, rows, timerValues):
-        previous = self.last.get()[0] if self.last.exists() else None
+        (previous,) = self.last.get() or (None,)
         for ms, at, action in sorted((row.ms, row.id, row.action) for row in rows):
             if previous is not None:
                 yield self.row(*key, at, ms, action, previous)
