@@ -1,6 +1,7 @@
 from tidemark.functions.text import event_text, split_lines, split_words
 from tidemark.functions.times import (
     epoch_ms,
+    time_order,
     truncated_window_start,
     window_start,
     with_event_time,
@@ -11,6 +12,7 @@ __all__ = [
     "event_text",
     "split_lines",
     "split_words",
+    "time_order",
     "truncated_window_start",
     "window_start",
     "with_event_time",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +35,11 @@ def with_event_time(
     """Add a timestamp column for ``ms``; a delay also sets the watermark."""
     timed = df.withColumn(ts, F.timestamp_millis(ms))
     return timed if delay_ms is None else timed.withWatermark(ts, f"{delay_ms} milliseconds")
+
+
+def time_order(ms: Column, tie: Column) -> Column:
+    """One number that sorts by ``ms`` and then by the whole number ``tie``.
+
+    Unlike a struct it fits a hash aggregate's buffer.
+    """
+    return ms.cast("decimal(19,0)") * F.lit(Decimal(2**64)) + tie.cast("decimal(19,0)")

@@ -13,8 +13,13 @@ from tidemark.plans.ordered import MAX_ROWS, running_totals
 def _chunk_numbers(
     df: DataFrame, shard: str, order: Sequence[str], size: int, max_rows: int
 ) -> DataFrame:
+    """Add ``chunk`` and ``place``, the row's place in its chunk from 0."""
     numbered = running_totals(df, [shard], order, {"_rn": None}, max_rows)
-    return numbered.withColumn("chunk", F.expr(f"(_rn - 1) div {int(size)}")).drop("_rn")
+    return numbered.select(
+        *df.columns,
+        F.expr(f"(_rn - 1) div {int(size)}").alias("chunk"),
+        ((F.col("_rn") - 1) % size).alias("place"),
+    )
 
 
 def chunk_summaries(
@@ -24,13 +29,15 @@ def chunk_summaries(
     size: int = 10,
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """``shard, chunk, n, first_id, last_id`` of every buffer that filled up."""
-    ids = order[-1]
-    place = F.struct(*order)
+    """``shard, chunk, n, first_id, last_id`` of every buffer that filled up.
+
+    Ids are those of the last order column.
+    """
+    row_id = F.col(order[-1])
     chunks = _chunk_numbers(df, shard, order, size, max_rows).groupBy(shard, "chunk").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min_by(ids, place).alias("first_id"),
-        F.max_by(ids, place).alias("last_id"),
+        F.max(F.when(F.col("place") == 0, row_id)).alias("first_id"),
+        F.max(F.when(F.col("place") == size - 1, row_id)).alias("last_id"),
     )
     return chunks.filter(F.col("n") == size)
 
@@ -44,6 +51,9 @@ def full_chunks(
 ) -> DataFrame:
     """The rows of all full buffers with their ``chunk``; the rest stays held back."""
     numbered = _chunk_numbers(df, shard, order, size, max_rows)
-    flushed = df.groupBy(shard).agg(F.expr(f"count(1) div {int(size)}").alias("_chunks"))
-    # One row per shard; shards are few next to rows.
-    return numbered.join(flushed, shard).filter(F.col("chunk") < F.col("_chunks")).drop("_chunks")
+    flushed = df.groupBy(F.col(shard).alias("_shard")).agg(
+        F.expr(f"count(1) div {int(size)}").alias("_chunks")
+    )
+    same_shard = F.col(shard).eqNullSafe(F.col("_shard"))
+    full = numbered.join(flushed, same_shard).filter(F.col("chunk") < F.col("_chunks"))
+    return full.drop("_shard", "_chunks", "place")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import window_start
+from tidemark.functions import time_order, window_start
 
 
 def _windowed(df: DataFrame, size_ms: int, ms: str) -> DataFrame:
@@ -31,9 +31,9 @@ def window_join(
 
 
 def _last_values(right: DataFrame, key: str, value: str, tie: str, ms: str) -> DataFrame:
-    """The last value per key and window, by time and then ``tie``."""
+    """The last value per key and window, by time and then the number ``tie``."""
     return right.groupBy(key, "window_start").agg(
-        F.max_by(F.struct(value), F.struct(ms, tie)).alias("_last")
+        F.max_by(value, time_order(F.col(ms), F.col(tie))).alias("_last")
     )
 
 
@@ -54,7 +54,7 @@ def cogroup_left_join(
     """
     lasts = _last_values(_windowed(right, size_ms, ms), key, value, tie, ms)
     joined = _windowed(left, size_ms, ms).join(lasts, [key, "window_start"], "left")
-    matched = F.coalesce(F.col(f"_last.{value}"), F.lit(default))
+    matched = F.coalesce(F.col("_last"), F.lit(default))
     return joined.withColumn(value, matched).drop("_last")
 
 

@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def is_paid(status: Column) -> Column:
+    return F.coalesce(status == "success", F.lit(False))
+
+
 def check_outcomes(timeout_ms: int) -> Column:
-    """Outcomes of one order from ``app_ms``, ``third_ms`` and ``status``, as an array
+    """Outcomes of one order from ``app_ms``, ``third_ms`` and ``paid``, as an array
     of (outcome, fire_ms)."""
     app_ms, third_ms, limit = F.col("app_ms"), F.col("third_ms"), F.lit(timeout_ms)
     third_missing = F.struct(F.lit("third_timeout").alias("outcome"), (app_ms + limit).alias("fire_ms"))
@@ -23,7 +27,7 @@ def check_outcomes(timeout_ms: int) -> Column:
         F.when(third_ms.isNull(), F.array(third_missing))
         .when(app_ms.isNull(), F.array(app_missing))
         .when(F.abs(app_ms - third_ms) > limit, F.array(third_missing, app_missing))
-        .when(F.col("status") != "success", F.array(failed))
+        .when(~F.col("paid"), F.array(failed))
         .when(app_ms <= third_ms, F.array(by_third))
         .otherwise(F.array(by_app))
     )
@@ -41,19 +45,19 @@ def bill_check(app: DataFrame, third: DataFrame, timeout_ms: int = 5_000) -> Dat
         "order_id",
         F.col("ts_ms").alias("app_ms"),
         F.lit(None).cast("bigint").alias("third_ms"),
-        F.lit(None).cast("string").alias("status"),
+        F.lit(None).cast("boolean").alias("paid"),
     ).unionByName(
         third.select(
             "order_id",
             F.lit(None).cast("bigint").alias("app_ms"),
             F.col("ts_ms").alias("third_ms"),
-            "status",
+            is_paid(F.col("status")).alias("paid"),
         )
     )
     orders = sides.groupBy("order_id").agg(
         F.max("app_ms").alias("app_ms"),
         F.max("third_ms").alias("third_ms"),
-        F.max("status").alias("status"),
+        F.max("paid").alias("paid"),
         F.greatest(F.count("app_ms"), F.count("third_ms")).alias("_times"),
     )
     repeated = F.raise_error(F.concat(F.lit("order id occurs twice: "), "order_id"))

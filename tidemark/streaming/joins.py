@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import window_start, with_event_time
+from tidemark.functions import time_order, window_start, with_event_time
 
 
 def _windowed(df: DataFrame, size_ms: int, delay_ms: int, ms: str) -> DataFrame:
@@ -35,7 +35,7 @@ def window_join(
 
 def _last_values(rights: DataFrame, key: str, value: str, tie: str, ms: str) -> DataFrame:
     return rights.groupBy(key, "window").agg(
-        F.max_by(F.struct(value), F.struct(ms, tie)).alias("_last")
+        F.max_by(value, time_order(F.col(ms), F.col(tie))).alias("_last")
     )
 
 
@@ -55,7 +55,7 @@ def cogroup_left_join(
     lefts = _windowed(left, size_ms, delay_ms, ms).drop("event_time")
     lasts = _last_values(_windowed(right, size_ms, delay_ms, ms), key, value, tie, ms)
     joined = lefts.join(lasts, [key, "window"], "left")
-    matched = F.coalesce(F.col(f"_last.{value}"), F.lit(default))
+    matched = F.coalesce(F.col("_last"), F.lit(default))
     return _window_ms(joined.withColumn(value, matched).drop("_last"))
 
 

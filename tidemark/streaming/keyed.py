@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import with_event_time
 from tidemark.operators.patterns import is_short, join_intervals, pattern_intervals
-from tidemark.operators.reconcile import check_outcomes
+from tidemark.operators.reconcile import check_outcomes, is_paid
 from tidemark.streaming import processors as p
 
 
@@ -76,7 +76,11 @@ def bill_check(
     """
     apps = with_event_time(app.select("order_id", "ts_ms"), delay_ms, "ts_ms", "app_time")
     thirds = with_event_time(
-        third.select(F.col("order_id").alias("third_id"), "status", F.col("ts_ms").alias("third_ms")),
+        third.select(
+            F.col("order_id").alias("third_id"),
+            is_paid(F.col("status")).alias("paid"),
+            F.col("ts_ms").alias("third_ms"),
+        ),
         delay_ms,
         "third_ms",
         "third_time",
