@@ -1,6 +1,7 @@
 from tidemark.functions.text import event_text, split_lines, split_words
 from tidemark.functions.times import (
     epoch_ms,
+    row_watermark,
     time_order,
     truncated_window_start,
     window_start,
@@ -10,6 +11,7 @@ from tidemark.functions.times import (
 __all__ = [
     "epoch_ms",
     "event_text",
+    "row_watermark",
     "split_lines",
     "split_words",
     "time_order",

@@ -37,6 +37,16 @@ def with_event_time(
     return timed if delay_ms is None else timed.withWatermark(ts, f"{delay_ms} milliseconds")
 
 
+def row_watermark(df: DataFrame, delay_ms: int, ms: str = "ms", ts: str = "event_time") -> DataFrame:
+    """Watermark for operators that take or drop single rows.
+
+    Spark drops a row whose time equals the watermark. One millisecond more of delay
+    keeps rows of the latest time, and makes the watermark what
+    :func:`tidemark.operators.watermark_trace` reports.
+    """
+    return with_event_time(df, delay_ms + 1, ms, ts)
+
+
 def time_order(ms: Column, tie: Column) -> Column:
     """One number that sorts by ``ms`` and then by the whole number ``tie``.
 

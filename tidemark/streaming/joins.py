@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import time_order, window_start, with_event_time
+from tidemark.functions import row_watermark, time_order, window_start, with_event_time
 
 
 def _windowed(df: DataFrame, size_ms: int, delay_ms: int, ms: str) -> DataFrame:
@@ -103,12 +103,12 @@ def interval_join(
     first, last = window_start(low, width), window_start(high, width)
     spread = F.when(first == last, F.array(first)).otherwise(F.array(first, last))
     lefts = (
-        with_event_time(left, delay_ms, ms, "left_time")
+        row_watermark(left, delay_ms, ms, "left_time")
         .withColumn("_bucket", F.explode(spread))
         .withColumnRenamed(ms, "left_ms")
     )
     rights = (
-        with_event_time(right, delay_ms, ms, "right_time")
+        row_watermark(right, delay_ms, ms, "right_time")
         .withColumn("_right_bucket", window_start(F.col(ms), width))
         .withColumnRenamed(ms, "right_ms")
         .withColumnRenamed(key, "_right_key")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import with_event_time
+from tidemark.functions import row_watermark
 from tidemark.operators.patterns import is_short, join_intervals, pattern_intervals
 from tidemark.operators.reconcile import check_outcomes, is_paid
 from tidemark.streaming import processors as p
@@ -46,7 +46,7 @@ def periodic_counts(
     ms: str = "ms",
 ) -> DataFrame:
     """``keys, fire_ms, count``: a key's total row count at the end of each cycle."""
-    slim = with_event_time(stream.select(*keys, F.col(ms).alias("ms")), delay_ms)
+    slim = row_watermark(stream.select(*keys, F.col(ms).alias("ms")), delay_ms)
     added = {"fire_ms": T.LongType(), count: T.LongType()}
     return _run(slim, keys, p.CycleCounter(period_ms), added)
 
@@ -62,7 +62,7 @@ def average_every_n(
     """``keys, nth, avg_ms`` at every n-th row of a key, over all its rows so far."""
     slim = stream.select(*keys, F.col(ms).alias("ms"), F.col(tie).alias("id"))
     added = {"nth": T.LongType(), "avg_ms": T.LongType()}
-    return _run(with_event_time(slim, delay_ms), keys, p.AverageEveryN(n), added)
+    return _run(row_watermark(slim, delay_ms), keys, p.AverageEveryN(n), added)
 
 
 def bill_check(
@@ -74,8 +74,8 @@ def bill_check(
     the watermark passes its deadline. Each side brings its own watermark, and the
     slower one holds time back.
     """
-    apps = with_event_time(app.select("order_id", "ts_ms"), delay_ms, "ts_ms", "app_time")
-    thirds = with_event_time(
+    apps = row_watermark(app.select("order_id", "ts_ms"), delay_ms, "ts_ms", "app_time")
+    thirds = row_watermark(
         third.select(
             F.col("order_id").alias("third_id"),
             is_paid(F.col("status")).alias("paid"),
@@ -108,8 +108,8 @@ def bill_check_repeated(
         "order_id", F.lit(0).alias("side"), F.lit(None).cast("string").alias("status"), "ts_ms"
     )
     thirds = third.select("order_id", F.lit(1).alias("side"), "status", "ts_ms")
-    both = with_event_time(apps, delay_ms, "ts_ms").unionByName(
-        with_event_time(thirds, delay_ms, "ts_ms")
+    both = row_watermark(apps, delay_ms, "ts_ms").unionByName(
+        row_watermark(thirds, delay_ms, "ts_ms")
     )
     added = {"outcome": T.StringType(), "fire_ms": T.LongType()}
     return _run(both, ["order_id"], p.BillCheck(timeout_ms), added)
@@ -147,12 +147,12 @@ def event_timer_trace(
         shard = F.pmod(F.xxhash64(ms), F.lit(shards)).alias("shard")
         slim = stream.select(shard, F.col(user).alias("user"), F.col(ms).alias("ms"))
         added = {"kind": T.StringType(), user: stream.schema[user].dataType, ms: T.LongType()}
-        seen = _run(with_event_time(slim, delay_ms), ["shard"], p.SeenWatermarks(), added)
+        seen = _run(row_watermark(slim, delay_ms), ["shard"], p.SeenWatermarks(), added)
         rows = seen.drop("shard")
     else:
         rows = stream.select(F.lit("arrival").alias("kind"), user, ms)
     due = stream.select((F.col(ms) + F.lit(after_ms)).alias("ms"))
-    timers = with_event_time(due, delay_ms + after_ms).groupBy("event_time").agg(
+    timers = row_watermark(due, delay_ms + after_ms).groupBy("event_time").agg(
         F.lit("timer").alias("kind")
     )
     return rows.unionByName(

@@ -1,9 +1,9 @@
 """State and timers of the keyed stream operators.
 
 Within a micro-batch Spark hands over rows before it fires timers, so rows are
-sorted and cycles that end among them are closed on the spot. A cycle that ends at
-T stays open for rows at T, hence timers are set to T + 1. The processors are
-shipped by value, so executors do not need the package.
+sorted, and what ends among them is closed on the spot. A timer at T leaves rows at
+T in time. The processors are shipped by value, so executors do not need the
+package.
 """
 
 from __future__ import annotations
@@ -68,13 +68,13 @@ class CycleCounter(Processor):
                 end_ms = None
         if end_ms != open_end:
             if open_end is not None:
-                self.handle.deleteTimer(open_end + 1)
-            self.handle.registerTimer(end_ms + 1)
+                self.handle.deleteTimer(open_end)
+            self.handle.registerTimer(end_ms)
         self.cycle.update((end_ms, total))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         end_ms, total = self.cycle.get()
-        if end_ms is not None and end_ms + 1 == expiredTimerInfo.getExpiryTimeInMs():
+        if end_ms == expiredTimerInfo.getExpiryTimeInMs():
             self.cycle.update((None, total))
             yield self.row(*key, end_ms, total)
 
@@ -123,10 +123,10 @@ class BillCheck(Processor):
         app, third, status, pending = self.halves.get() or (None, None, None, [])
         timers = before = sorted(pending)
         for ms, side, row_status in sorted((r.ts_ms, r.side, r.status or "") for r in rows):
-            while timers and timers[0] <= ms:
+            while timers and timers[0] < ms:
                 outcome = self._timeout_outcome(app, third)
                 if outcome:
-                    yield self.row(*key, outcome, timers[0] - 1)
+                    yield self.row(*key, outcome, timers[0])
                 app = third = status = None
                 timers = timers[1:]
             if side == 0 and third is not None and status == "success":
@@ -141,7 +141,7 @@ class BillCheck(Processor):
                 app = ms
             else:
                 third, status = ms, row_status
-            timers = sorted({*timers, ms + self.timeout + 1})
+            timers = sorted({*timers, ms + self.timeout})
         for due in set(before).difference(timers):
             self.handle.deleteTimer(due)
         for due in set(timers).difference(before):
@@ -158,7 +158,7 @@ class BillCheck(Processor):
             self.halves.clear()
         outcome = self._timeout_outcome(app, third)
         if outcome:
-            yield self.row(*key, outcome, due - 1)
+            yield self.row(*key, outcome, due)
 
 
 class FullChunks(Processor):
