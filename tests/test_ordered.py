@@ -153,3 +153,14 @@ def test_long_sums_do_not_overflow(spark):
     big = 2**62
     df = spark.createDataFrame([(1, big, i) for i in range(10)], "k long, ms long, event_id long")
     assert rows(ops.average_every_n(df, ["k"])) == [(1, 10, big), (1, 5, big)]
+
+
+def test_means_go_towards_zero(spark):
+    times = [-7, -6, -5, 3, 2**50 + 1, -(2**51), 12, -1, 0, -9]
+    df = spark.createDataFrame(
+        [(1, ms, i) for i, ms in enumerate(times)], "k long, ms long, event_id long"
+    )
+    got = {r[1]: r[2] for r in rows(ops.average_every_n(df, ["k"], 1))}
+    times.sort()
+    sums = [sum(times[:i]) for i in range(1, len(times) + 1)]
+    assert got == {i: abs(s) // i * (1 if s >= 0 else -1) for i, s in enumerate(sums, 1)}

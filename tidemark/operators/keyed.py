@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from tidemark.plans import cycles
 from tidemark.plans.ordered import CHUNK, LARGE, MAX_ROWS, REAL, chunked, running_totals
 
+LOW_BITS = 20
+
 
 def average_every_n(
     df: DataFrame,
@@ -23,13 +25,25 @@ def average_every_n(
     """``keys, nth, avg_ms`` at every n-th row of a key: the whole-number mean of all
     its times so far. The mean is never reset.
 
-    Sums are decimals, since a busy key's times overflow a long.
+    A busy key's times overflow a long sum, so high and low bits are summed apart.
     """
-    wide = df.select(*keys, ms, tie, F.col(ms).cast("decimal(20,0)").alias("_wide"))
-    totals = running_totals(wide, keys, [ms, tie], {"nth": None, "_sum": "_wide"}, max_rows)
-    return totals.filter(F.col("nth") % n == 0).select(
-        *keys, "nth", F.expr("_sum div nth").alias("avg_ms")
+    time = F.col(ms)
+    halves = df.select(
+        *keys,
+        ms,
+        tie,
+        F.shiftright(time, LOW_BITS).alias("_high"),
+        time.bitwiseAND(F.lit(2**LOW_BITS - 1)).alias("_low"),
+    )
+    totals = running_totals(
+        halves, keys, [ms, tie], {"nth": None, "_highs": "_high", "_lows": "_low"}, max_rows
     )
+    parts = totals.filter(F.col("nth") % n == 0).withColumn("_left", F.pmod("_highs", "nth"))
+    parts = parts.withColumn("_rest", F.shiftleft("_left", LOW_BITS) + F.col("_lows"))
+    mean = F.shiftleft(F.expr("(_highs - _left) div nth"), LOW_BITS) + F.expr("_rest div nth")
+    # Whole-number division goes towards zero.
+    round_up = (mean < 0) & (F.col("_rest") % F.col("nth") != 0)
+    return parts.select(*keys, "nth", (mean + round_up.cast("int")).alias("avg_ms"))
 
 
 def periodic_counts(
@@ -62,8 +76,11 @@ def periodic_counts(
         ordered = ordered.repartition(*keys).sortWithinPartitions(*keys, "ms")
         return ordered.mapInArrow(cycles.counter(keys, out, period_ms), out)
 
-    # Equal times act as one row, so a chunk holds each time once.
-    times = cut.rows.groupBy(*cut.groups, LARGE, "ms").agg(F.count(F.lit(1)).alias("n"))
+    # Equal times act as one row, so a chunk of a large key holds each time once.
+    times = cut.large_rows().groupBy(*cut.groups, "ms").agg(F.count(F.lit(1)).alias("n"))
+    small = cut.rows.filter(~F.col(LARGE)).select(
+        *cut.groups, "ms", F.lit(1).cast("bigint").alias("n")
+    )
     group_fields = [times.schema[k] for k in cut.groups]
     steps_schema = T.StructType(
         [
@@ -74,9 +91,7 @@ def periodic_counts(
         ]
     )
     steps = (
-        times.filter(LARGE)
-        .select(*cut.groups, "ms", "n")
-        .repartition(*cut.groups)
+        times.repartition(*cut.groups)
         .sortWithinPartitions(*cut.groups, "ms")
         .mapInArrow(cycles.stepper(cut.groups, steps_schema, period_ms), steps_schema)
     )
@@ -94,7 +109,7 @@ def periodic_counts(
         .mapInArrow(cycles.chainer(keys, CHUNK, entry_schema), entry_schema)
     )
     rows = (
-        times.drop(LARGE)
+        times.unionByName(small)
         .withColumn(REAL, F.lit(1))
         .unionByName(entries.withColumn(REAL, F.lit(0)), allowMissingColumns=True)
         .repartition(*cut.groups)

@@ -1,7 +1,7 @@
 """Ordered per-key computations that survive a key holding most of the rows.
 
 A window partitioned by key puts a whole key into one task. Here the keys with
-more than ``max_rows`` rows are found first. When there are some, their rows are
+more than about ``max_rows`` rows are found first. When there are some, their rows are
 cut along the order columns into chunks of bounded size. Each chunk becomes a
 window partition of its own and starts with one *carry* row, which holds what the
 chunks before it add up to. Carries come from partial aggregates per chunk, so
@@ -26,6 +26,8 @@ from tidemark.session import enable_checkpoints
 
 # Rows one task may take from a single key.
 MAX_ROWS = 2_000_000
+# Sampled rows by which a key of that size is recognised.
+ROWS_PER_KEY = 1000
 # More large keys than this stay in a checkpointed table, off the driver.
 MAX_LISTED_KEYS = 10_000
 # Upper bound on cut points, and sampled rows per cut point.
@@ -59,19 +61,27 @@ class Chunked:
 
 
 def _large_keys(df: DataFrame, keys: list[str], max_rows: int) -> tuple[DataFrame | None, int]:
-    """Keys with more than ``max_rows`` rows, and how many rows they hold."""
+    """Keys with more than ``max_rows`` rows, and about how many rows they hold.
+
+    Counting every key would shuffle nearly as much as the computation itself, so a
+    share of the rows is counted in which such a key still has ``ROWS_PER_KEY``.
+    """
     spark = SparkSession.active()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
+    share = min(1.0, ROWS_PER_KEY / max_rows)
+    counted = df.select(*keys)
+    counted = counted if share == 1.0 else counted.sample(share, seed=11)
+    counts = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.filter(F.col("_n") > max_rows * share)
     found = counts.orderBy(F.desc("_n")).limit(MAX_LISTED_KEYS + 1).collect()
     if not found:
         return None, 0
     if len(found) <= MAX_LISTED_KEYS:
         table = spark.createDataFrame(found, counts.schema)
-        n_rows = sum(row["_n"] for row in found)
-        return F.broadcast(table.drop("_n")), n_rows
+        n_rows = sum(row["_n"] for row in found) / share
+        return F.broadcast(table.drop("_n")), math.ceil(n_rows)
     enable_checkpoints(spark)
     table = counts.checkpoint()
-    return table.drop("_n"), table.agg(F.sum("_n")).first()[0]
+    return table.drop("_n"), math.ceil(table.agg(F.sum("_n")).first()[0] / share)
 
 
 def _mark_large(df: DataFrame, keys: list[str], large: DataFrame) -> DataFrame:

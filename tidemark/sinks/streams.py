@@ -17,14 +17,19 @@ BATCH_ID = "batch_id"
 @contextmanager
 def streaming_settings(spark: SparkSession, partitions: int | None = None):
     """Settings a stateful query fixes when it first starts: RocksDB state that
-    commits changes instead of snapshots, one store per join partition, and one
-    state partition per task slot unless told otherwise."""
+    commits changes instead of snapshots, one store per join partition, and the number
+    of state partitions. Without ``partitions`` the session's shuffle partitions
+    count, or the task slots of a local master."""
+    context = spark.sparkContext
+    if partitions is None and context.master.startswith("local"):
+        partitions = context.defaultParallelism
     wanted = {
         STATE_PROVIDER_KEY: ROCKSDB_PROVIDER,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.join.stateFormatVersion": "3",
-        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
     }
+    if partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)

@@ -95,7 +95,7 @@ class AverageEveryN(Processor):
         for ms in _sorted_times(rows):
             count, total = count + 1, total + ms
             if count % self.n == 0:
-                yield self.row(*key, count, total // count)
+                yield self.row(*key, count, total // count if total >= 0 else -(-total // count))
         self.totals.update((count, Decimal(total)))
 
 
