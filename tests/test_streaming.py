@@ -164,3 +164,8 @@ def test_settings_are_restored(spark, make_stream):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     run_available_now(make_stream([[(1,)]], "x long"), partitions=3)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_a_stream_without_output_reads_back_empty(make_stream):
+    got = run_available_now(make_stream([[(1,)]], "x long").filter("x > 1"))
+    assert got.columns == ["x"] and rows(got) == []

@@ -60,7 +60,7 @@ def bill_check(app: DataFrame, third: DataFrame, timeout_ms: int = 5_000) -> Dat
         F.max("paid").alias("paid"),
         F.greatest(F.count("app_ms"), F.count("third_ms")).alias("_times"),
     )
-    repeated = F.raise_error(F.concat(F.lit("order id occurs twice: "), "order_id"))
+    repeated = F.raise_error(F.concat_ws(" ", F.lit("order id occurs twice:"), "order_id"))
     orders = orders.withColumn(
         "app_ms", F.when(F.col("_times") > 1, repeated.cast("bigint")).otherwise(F.col("app_ms"))
     )

@@ -30,9 +30,8 @@ HOURLY = """hourly AS (
 )"""
 
 SLIDING = """sliding AS (
-  SELECT url, ms - ms % 3600000 - o.back AS window_start,
-         ms - ms % 3600000 - o.back + 7200000 AS window_end, count(*) AS cnt
-  FROM e CROSS JOIN (VALUES (0), (3600000)) AS o(back)
+  SELECT url, window_start, window_start + 7200000 AS window_end, count(*) AS cnt
+  FROM (SELECT url, ms - ms % 3600000 - unnest([0, 3600000]) AS window_start FROM e)
   GROUP BY ALL
 ),
 ranked AS (

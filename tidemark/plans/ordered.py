@@ -31,7 +31,7 @@ ROWS_PER_KEY = 1000
 # More large keys than this stay in a checkpointed table, off the driver.
 MAX_LISTED_KEYS = 10_000
 # Upper bound on cut points, and sampled rows per cut point.
-MAX_PIECES = 4096
+MAX_PIECES = 8192
 ROWS_PER_CUT = 200
 
 CHUNK = "_chunk"

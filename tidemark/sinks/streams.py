@@ -97,7 +97,8 @@ def run_available_now(
     start_parquet(
         stream, path, checkpoint, mode, per_batch, partition_by, partitions
     ).awaitTermination()
-    return spark.read.parquet(path)
+    plain = mode == "append" and per_batch is None
+    return (spark.read.schema(stream.schema) if plain else spark.read).parquet(path)
 
 
 def latest_values(updates: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
