@@ -15,7 +15,7 @@ from tidemark.sources import table_stream  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8)
+    session = local_session(4)
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()

@@ -197,16 +197,11 @@ class TestPatterns:
         patterns, expected = PATTERN_CASES["in between"]
         actions = make_stream([ACTIONS[:1], ACTIONS[1:3], ACTIONS[3:]], ACTION)
         got = run_available_now(
-            streaming.match_patterns(actions, spark.createDataFrame(patterns, PATTERN))
+            streaming.previous_actions(actions),
+            per_batch=streaming.pattern_matches(lambda: spark.createDataFrame(patterns, PATTERN)),
         )
         assert rows(got, "user_id", "action1", "action2") == expected
 
-    def test_long_table_is_not_broadcast_to_a_stream(self, spark, make_stream, monkeypatch):
-        patterns = spark.createDataFrame(PATTERN_CASES["in between"][0], PATTERN)
-        monkeypatch.setattr(streaming.keyed, "is_short", lambda _: False)
-        with pytest.raises(ValueError, match="too long"):
-            streaming.match_patterns(make_stream([ACTIONS], ACTION), patterns)
-
 
 class TestKeyed:
     def test_periodic(self, spark):

@@ -43,7 +43,7 @@ def frame(spark, data):
     return spark.createDataFrame(data, SCHEMA).repartition(5).persist()
 
 
-LIMITS = pytest.mark.parametrize("max_rows", [10**6, 50, 7])
+LIMITS = pytest.mark.parametrize("max_rows", [10**6, 20])
 
 
 @LIMITS

@@ -62,7 +62,8 @@ def test_event_timers(events, replay):
     assert 2 <= seen.select("ms").distinct().count() <= 5
 
 
-def test_pattern_match(spark, events, replay):
+@pytest.mark.parametrize("max_broadcast", [100, 0])
+def test_pattern_match(spark, events, replay, max_broadcast):
     actions = events.select("user_id", "event_id", "ms", F.col("url").alias("action"))
     middle = events.agg(F.expr("percentile(ms, 0.5)")).first()[0]
     patterns = spark.createDataFrame(
@@ -70,9 +71,13 @@ def test_pattern_match(spark, events, replay):
         "action1 string, action2 string, ms long",
     )
     stream = replay.select("user_id", "event_id", "ms", F.col("url").alias("action"))
-    got = run_available_now(streaming.match_patterns(stream, patterns))
+    got = run_available_now(
+        streaming.previous_actions(stream),
+        per_batch=streaming.pattern_matches(lambda: patterns, max_broadcast=max_broadcast),
+        keep_batch=True,
+    )
     expected = rows(ops.match_patterns(actions, patterns))
-    assert expected and rows(got) == expected
+    assert expected and rows(got.drop("batch_id")) == expected
 
 
 def test_full_cogroup(events, replay):

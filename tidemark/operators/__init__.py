@@ -7,7 +7,7 @@ from tidemark.operators.joins import (
     window_join,
 )
 from tidemark.operators.keyed import average_every_n, periodic_counts
-from tidemark.operators.patterns import match_patterns, pattern_intervals
+from tidemark.operators.patterns import match_moves, match_patterns, pattern_intervals
 from tidemark.operators.reconcile import bill_check
 from tidemark.operators.routing import branch, route_alerts, split_by_user
 from tidemark.operators.traces import event_timer_trace, watermark_trace
@@ -36,6 +36,7 @@ __all__ = [
     "event_timer_trace",
     "full_chunks",
     "interval_join",
+    "match_moves",
     "match_patterns",
     "pattern_intervals",
     "periodic_counts",

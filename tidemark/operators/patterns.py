@@ -42,21 +42,20 @@ def is_short(patterns: DataFrame, max_broadcast: int = MAX_BROADCAST_PATTERNS) -
     return patterns.limit(max_broadcast + 1).count() <= max_broadcast
 
 
-def match_patterns(
-    actions: DataFrame,
+def match_moves(
+    moves: DataFrame,
     patterns: DataFrame,
     user: str = "user_id",
     tie: str = "event_id",
     max_rows: int = MAX_ROWS,
     max_broadcast: int = MAX_BROADCAST_PATTERNS,
 ) -> DataFrame:
-    """``user, event, action1, action2`` where a user's last two actions equal the
-    pattern in force at the second one.
+    """``user, event, action1, action2`` of the moves (``prev_action`` to ``action``)
+    that equal the pattern in force at their time.
 
     A short pattern table is broadcast as validity intervals. A longer one is laid
-    along one time line with the actions, and the latest pattern carried forward.
+    along one time line with the moves, and the latest pattern carried forward.
     """
-    moves = previous_value(actions, [user], ["ms", tie], "action", "prev_action", max_rows)
     moves = moves.filter(F.col("prev_action").isNotNull())
     if is_short(patterns, max_broadcast):
         matched = join_intervals(moves, pattern_intervals(patterns))
@@ -73,3 +72,17 @@ def match_patterns(
             (F.col("prev_action") == F.col("action1")) & (F.col("action") == F.col("action2"))
         )
     return matched.select(user, tie, "action1", "action2")
+
+
+def match_patterns(
+    actions: DataFrame,
+    patterns: DataFrame,
+    user: str = "user_id",
+    tie: str = "event_id",
+    max_rows: int = MAX_ROWS,
+    max_broadcast: int = MAX_BROADCAST_PATTERNS,
+) -> DataFrame:
+    """``user, event, action1, action2`` where a user's last two actions equal the
+    pattern in force at the second one."""
+    moves = previous_value(actions, [user], ["ms", tie], "action", "prev_action", max_rows)
+    return match_moves(moves, patterns, user, tie, max_rows, max_broadcast)

@@ -51,12 +51,14 @@ def start_parquet(
     per_batch: Callable[[DataFrame], DataFrame] | None = None,
     partition_by: Sequence[str] = (),
     partitions: int | None = None,
+    keep_batch: bool = False,
 ) -> StreamingQuery:
     """Write everything available now as parquet, then stop.
 
     Plain append output goes to the file sink, whose log makes it exactly-once.
     Update output and output changed by ``per_batch`` is written one folder per
-    micro-batch; a repeated batch overwrites its folder.
+    micro-batch; a repeated batch overwrites its folder. ``keep_batch`` persists a
+    micro-batch for a ``per_batch`` step that reads it more than once.
     """
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True)
@@ -67,11 +69,15 @@ def start_parquet(
     else:
 
         def write(batch: DataFrame, batch_id: int) -> None:
+            if keep_batch:
+                batch.persist()
             changed = per_batch(batch) if per_batch else batch
             out = changed.write.mode("overwrite")
             if partition_by:
                 out = out.partitionBy(*partition_by)
             out.parquet(f"{path}/{BATCH_ID}={batch_id}")
+            if keep_batch:
+                batch.unpersist()
 
         writer = writer.foreachBatch(write)
     with streaming_settings(stream.sparkSession, partitions):
@@ -86,6 +92,7 @@ def run_available_now(
     checkpoint: str | None = None,
     partition_by: Sequence[str] = (),
     partitions: int | None = None,
+    keep_batch: bool = False,
 ) -> DataFrame:
     """Run a stream over all available input and return what it wrote.
 
@@ -95,7 +102,7 @@ def run_available_now(
     path = path or scratch_dir(spark, "stream-out")
     checkpoint = checkpoint or scratch_dir(spark, "stream-state")
     start_parquet(
-        stream, path, checkpoint, mode, per_batch, partition_by, partitions
+        stream, path, checkpoint, mode, per_batch, partition_by, partitions, keep_batch
     ).awaitTermination()
     plain = mode == "append" and per_batch is None
     return (spark.read.schema(stream.schema) if plain else spark.read).parquet(path)

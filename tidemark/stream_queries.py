@@ -104,8 +104,16 @@ def bill_check_repeated(spark, data_dir):
 
 def pattern_match(spark, data_dir):
     actions = _clicks(spark, data_dir).select("user_id", ID, "ms", F.col("url").alias("action"))
-    patterns = action_patterns(sources.click_events(spark, data_dir))
-    return run_available_now(streaming.match_patterns(actions, patterns))
+
+    def patterns():
+        return action_patterns(sources.click_events(spark, data_dir))
+
+    written = run_available_now(
+        streaming.previous_actions(actions),
+        per_batch=streaming.pattern_matches(patterns),
+        keep_batch=True,
+    )
+    return written.select("user_id", ID, "action1", "action2")
 
 
 def periodic_pv(spark, data_dir):

@@ -11,7 +11,7 @@ from tidemark.streaming.keyed import (
     bill_check_repeated,
     event_timer_trace,
     full_chunks,
-    match_patterns,
+    pattern_matches,
     periodic_counts,
     previous_actions,
 )
@@ -26,7 +26,7 @@ __all__ = [
     "event_timer_trace",
     "full_chunks",
     "interval_join",
-    "match_patterns",
+    "pattern_matches",
     "periodic_counts",
     "previous_actions",
     "top_windows",

@@ -6,14 +6,14 @@ bounds how many those are. Between batches only the key's small state remains.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import row_watermark
-from tidemark.operators.patterns import is_short, join_intervals, pattern_intervals
+from tidemark.operators.patterns import MAX_BROADCAST_PATTERNS, match_moves
 from tidemark.operators.reconcile import check_outcomes, is_paid
 from tidemark.streaming import processors as p
 
@@ -178,16 +178,15 @@ def previous_actions(
     return _run(slim, [user], p.PreviousAction(), added, timed=False)
 
 
-def match_patterns(
-    stream: DataFrame, patterns: DataFrame, user: str = "user_id", tie: str = "event_id"
-) -> DataFrame:
-    """Users whose last two actions equal the pattern in force at the second one.
+def pattern_matches(
+    patterns: Callable[[], DataFrame],
+    user: str = "user_id",
+    tie: str = "event_id",
+    max_broadcast: int = MAX_BROADCAST_PATTERNS,
+) -> Callable[[DataFrame], DataFrame]:
+    """Matching step for the micro-batches of :func:`previous_actions`.
 
-    ``patterns`` is a table, read anew for every micro-batch.
+    ``patterns`` reads the pattern table, anew for every micro-batch, so its size is
+    checked each time and changes take effect.
     """
-    if not is_short(patterns):
-        raise ValueError("the pattern table is too long to broadcast to a stream")
-    moves = previous_actions(stream, user, tie)
-    return join_intervals(moves, pattern_intervals(patterns)).select(
-        user, tie, "action1", "action2"
-    )
+    return lambda moves: match_moves(moves, patterns(), user, tie, max_broadcast=max_broadcast)
