@@ -164,3 +164,11 @@ def test_means_go_towards_zero(spark):
     times.sort()
     sums = [sum(times[:i]) for i in range(1, len(times) + 1)]
     assert got == {i: abs(s) // i * (1 if s >= 0 else -1) for i, s in enumerate(sums, 1)}
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], SCHEMA).withColumnRenamed("id", "event_id")
+    assert rows(ops.periodic_counts(empty, ["k"])) == []
+    assert rows(ops.average_every_n(empty, ["k"])) == []
+    assert rows(ops.watermark_trace(empty, ["event_id"])) == []
+    assert rows(ops.chunk_summaries(empty, "k")) == []
