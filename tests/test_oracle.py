@@ -7,10 +7,12 @@ import __spark_entry__ as entry_points
 from oracle_check import duck, duck_result, spark_result, type_names
 from tidemark import operators as ops
 from tidemark import sources
-from tidemark.queries import HOUR, ID, action_patterns
+from tidemark.oracle import ORACLE as SQL
+from tidemark.queries import HOUR, ID, QUERIES, action_patterns
+from tidemark.stream_queries import STREAM_QUERIES
 
 TABLES, STREAMED = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
-SQL = entry_points.oracle_sql()
+REGISTERED = {**QUERIES, **STREAM_QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -19,17 +21,19 @@ def connections():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry_points.queries())
+    assert set(SQL) == set(REGISTERED)
+    assert set(REGISTERED) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["window_end", "rank", "url", "cnt"]
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", REGISTERED)
 def test_query(spark, connections, name):
     data_dir = STREAMED if name.startswith("stream_") else TABLES
-    df = entry_points.queries()[name](spark, data_dir)
+    df = REGISTERED[name](spark, data_dir)
     connection = connections[data_dir]
     ours, theirs = type_names(df, connection.sql(SQL[name]))
     assert ours == theirs
