@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import host_rules, licenses, sharding
+from tidemark.llm import host_rules, licenses, sharding, simhash
 from tidemark.llm.common import stored
 
 N_SHARDS = 40
@@ -39,6 +39,11 @@ def op6_license_scan(spark: SparkSession, data_dir: str) -> DataFrame:
     return licenses.scan_licenses(_documents(spark, data_dir))
 
 
+def op8_simhash_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(_documents(spark, data_dir))
+
+
 def op9_host_rules(spark: SparkSession, data_dir: str) -> DataFrame:
     """Measures and verdict of every document; the host is its source."""
     measured = host_rules.document_measures(
@@ -51,5 +56,6 @@ def op9_host_rules(spark: SparkSession, data_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op6_license_scan": op6_license_scan,
+    "op8_simhash_dedup": op8_simhash_dedup,
     "op9_host_rules": op9_host_rules,
 }
