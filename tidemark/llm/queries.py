@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import host_rules, licenses, sharding, simhash
+from tidemark.llm import decontaminate, host_rules, licenses, pii, sharding, simhash
 from tidemark.llm.common import stored
 
 N_SHARDS = 40
@@ -34,6 +34,12 @@ def op2_sharding(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def op3_pii_pseudonyms(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Every text with its personal data replaced by keyed pseudonyms."""
+    docs = _documents(spark, data_dir).select("doc_id", "text")
+    return pii.pseudonymize(docs)
+
+
 def op6_license_scan(spark: SparkSession, data_dir: str) -> DataFrame:
     """Every line, paragraph and text that matches a licence template."""
     return licenses.scan_licenses(_documents(spark, data_dir))
@@ -53,9 +59,17 @@ def op9_host_rules(spark: SparkSession, data_dir: str) -> DataFrame:
     return judged.select("doc_id", *host_rules.MEASURES, "base_failed", "kept")
 
 
+def op10_decontaminate(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Benchmark items found in documents, with the place and the edits."""
+    benchmark = spark.read.parquet(f"{data_dir}/benchmark.parquet")
+    return decontaminate.contaminated_items(_documents(spark, data_dir), benchmark)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
+    "op3_pii_pseudonyms": op3_pii_pseudonyms,
     "op6_license_scan": op6_license_scan,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_host_rules": op9_host_rules,
+    "op10_decontaminate": op10_decontaminate,
 }
