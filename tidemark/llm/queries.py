@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, host_rules, licenses, pii, sharding, simhash
+from tidemark.llm import decontaminate, host_rules, licenses, pieces, pii, sharding, simhash
 from tidemark.llm.common import stored
 
 N_SHARDS = 40
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _documents(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -40,6 +41,15 @@ def op3_pii_pseudonyms(spark: SparkSession, data_dir: str) -> DataFrame:
     return pii.pseudonymize(docs)
 
 
+def op4_sentencepiece(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The ids of every text, their number, and whether they decode to the text."""
+    model = pieces.read_model(PIECE_MODEL)
+    encoded = pieces.encode_documents(_documents(spark, data_dir), model)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", "round_trip"
+    )
+
+
 def op6_license_scan(spark: SparkSession, data_dir: str) -> DataFrame:
     """Every line, paragraph and text that matches a licence template."""
     return licenses.scan_licenses(_documents(spark, data_dir))
@@ -68,6 +78,7 @@ def op10_decontaminate(spark: SparkSession, data_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_pii_pseudonyms": op3_pii_pseudonyms,
+    "op4_sentencepiece": op4_sentencepiece,
     "op6_license_scan": op6_license_scan,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_host_rules": op9_host_rules,
