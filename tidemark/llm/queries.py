@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, host_rules, licenses, pieces, pii, sharding, simhash
+from tidemark.llm import decontaminate, host_rules, licenses, pieces, pii, sharding, simhash, toxicity
 from tidemark.llm.common import stored
 
 N_SHARDS = 40
@@ -18,6 +18,23 @@ def _documents(spark: SparkSession, data_dir: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir}/documents.parquet")
 
 
+def op1_toxicity(spark: SparkSession, data_dir: str) -> DataFrame:
+    """A toxicity score for every document, from the labels of three quarters of the ids."""
+    docs = _documents(spark, data_dir).select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    labels = spark.read.parquet(f"{data_dir}/labels.parquet").select(
+        "doc_id", F.col("toxic").alias("label")
+    )
+    taught = docs.join(labels.filter(F.col("label").isNotNull() & ~held_out), "doc_id")
+    weights = toxicity.train(taught)
+    scored = docs.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        toxicity.score(F.col("text"), weights, docs).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op2_sharding(spark: SparkSession, data_dir: str) -> DataFrame:
     """Rendezvous hashing of doc_id over 40 shards of equal weight, and over 41."""
     text = F.coalesce("text", F.lit(""))
@@ -76,6 +93,7 @@ def op10_decontaminate(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
     "op3_pii_pseudonyms": op3_pii_pseudonyms,
     "op4_sentencepiece": op4_sentencepiece,
