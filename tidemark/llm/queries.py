@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, host_rules, licenses, pieces, pii, sharding, simhash, toxicity
+from tidemark.llm import (
+    decontaminate,
+    host_rules,
+    html_render,
+    licenses,
+    pieces,
+    pii,
+    sharding,
+    simhash,
+    toxicity,
+)
 from tidemark.llm.common import stored
 
 N_SHARDS = 40
@@ -72,6 +82,14 @@ def op6_license_scan(spark: SparkSession, data_dir: str) -> DataFrame:
     return licenses.scan_licenses(_documents(spark, data_dir))
 
 
+def op7_html_text(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The visible text of every page, laid out."""
+    pages = spark.read.parquet(f"{data_dir}/pages.parquet").select("page_id", "html")
+    return html_render.extract_text(pages).select(
+        "page_id", "text", F.length("text").cast("bigint").alias("n_chars")
+    )
+
+
 def op8_simhash_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(_documents(spark, data_dir))
@@ -98,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii_pseudonyms": op3_pii_pseudonyms,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_license_scan": op6_license_scan,
+    "op7_html_text": op7_html_text,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_host_rules": op9_host_rules,
     "op10_decontaminate": op10_decontaminate,
