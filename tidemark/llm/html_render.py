@@ -56,8 +56,8 @@ MAX_SPAN = 1000  # the limit HTML itself sets for columns
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|$) | <[!?][^>]*(?:>|$)
-    | <(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)
-      (?P<attrs>(?:[^>"']|"[^"]*"|'[^']*'|["'])*?) (?P<self>/?)>""",
+    | <(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*+)
+      (?P<attrs>(?>(?:[^>"']|"[^"]*"|'[^']*')*+(?=>)|[^>]*+))>""",
     re.VERBOSE | re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -88,32 +88,37 @@ class TreeBuilder:
     def __init__(self):
         self.root = Node("html", {})
         self.open = [self.root]
+        self.places: dict[str, list[int]] = {}  # where each tag is open, innermost last
 
     def _push(self, tag: str, attrs: dict[str, str]) -> Node:
         node = Node(tag, attrs)
         self.open[-1].children.append(node)
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append(node)
         return node
 
-    def _close(self, tags: frozenset[str], until: frozenset[str]) -> bool:
-        """Ends the innermost of ``tags`` with all inside it; looks no further than ``until``."""
-        for i in range(len(self.open) - 1, 0, -1):
-            tag = self.open[i].tag
-            if tag in tags:
-                del self.open[i:]
-                return True
-            if tag in until:
-                return False
-        return False
+    def _pop(self, to: int) -> None:
+        while len(self.open) > to:
+            self.places[self.open.pop().tag].pop()
+
+    def _innermost(self, tags: frozenset[str]) -> int:
+        """The place of the innermost open one of ``tags``; 0 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def _close(self, tags: frozenset[str], until: frozenset[str]) -> None:
+        """Ends the innermost of ``tags`` with all inside it, unless ``until`` is inside it."""
+        place = self._innermost(tags)
+        if place and place >= self._innermost(until):
+            self._pop(place)
 
-    def _inside(self, tag: str) -> bool:
-        return any(node.tag == tag for node in reversed(self.open))
+    def _open_p(self) -> bool:
+        place = self._innermost(frozenset(["p"]))
+        return bool(place) and place >= self._innermost(SCOPES)
 
     def start(self, tag: str, attrs: dict[str, str], closed: bool) -> None:
         if tag in ("html", "body"):
-            node = self.root if tag == "html" else next(
-                (n for n in self.open if n.tag == "body"), None
-            )
+            bodies = self.places.get("body")
+            node = self.root if tag == "html" else self.open[bodies[0]] if bodies else None
             if tag == "body" and node is None:
                 self._close(frozenset(["head"]), frozenset())
                 node = self._push("body", {})
@@ -125,27 +130,27 @@ class TreeBuilder:
                 self._push(tag, attrs)
             return
         if self.open[-1].tag == "head" and tag not in IN_HEAD:
-            self.open.pop()  # the head ends where content begins
+            self._pop(len(self.open) - 1)  # the head ends where content begins
         if tag in CLOSES_P:
             self._close(frozenset(["p"]), SCOPES)
         if tag[0] == "h" and tag[1:].isdigit() and self.open[-1].tag[0] == "h" and self.open[-1].tag[1:].isdigit():
-            self.open.pop()
+            self._pop(len(self.open) - 1)
         if tag in CLOSES_LIKE:
             self._close(*CLOSES_LIKE[tag])
             if tag in ("tbody", "thead", "tfoot"):
                 self._close(frozenset(["tr"]), frozenset(["table"]))
-        if tag in ("td", "th") and self._inside("table") and self.open[-1].tag != "tr":
+        if tag in ("td", "th") and self.places.get("table") and self.open[-1].tag != "tr":
             self._push("tr", {})
         self._push(tag, attrs)
         if closed or tag in VOID:
-            self.open.pop()
+            self._pop(len(self.open) - 1)
 
     def end(self, tag: str) -> None:
         if tag == "br":
             self.start("br", {}, True)
-        elif tag == "p" and not self._close(frozenset(["p"]), SCOPES):
+        elif tag == "p" and not self._open_p():
             self.start("p", {}, True)
-        elif tag in ("html", "body", "p"):
+        elif tag in ("html", "body"):
             pass  # what follows them still belongs to the body
         else:
             heading = tag[0] == "h" and tag[1:].isdigit()
@@ -156,16 +161,16 @@ class TreeBuilder:
         if self.open[-1].tag == "head":
             if not text.strip():
                 return
-            self.open.pop()
+            self._pop(len(self.open) - 1)
         self.open[-1].children.append(text)
 
 
 def parse(source: str) -> Node:
     """The tree of a page; tags left out are implied, stray ones ignored."""
     builder = TreeBuilder()
-    at = 0
+    at, last = 0, source.rfind(">")
     while at < len(source):
-        match = _TOKEN.search(source, at)
+        match = _TOKEN.search(source, at) if at <= last or source.find("<!", at) >= 0 else None
         if match is None:
             builder.text(html.unescape(source[at:]))
             break
@@ -178,8 +183,9 @@ def parse(source: str) -> Node:
         if match["end"]:
             builder.end(tag)
             continue
-        builder.start(tag, _attributes(match["attrs"]) if match["attrs"] else {}, bool(match["self"]))
-        if tag in RAW_TEXT and not match["self"]:
+        closed = match["attrs"].endswith("/")
+        builder.start(tag, _attributes(match["attrs"]), closed)
+        if tag in RAW_TEXT and not closed:
             close = re.compile(f"</{tag}[\\s/>]", re.I).search(source, at)
             content = source[at : close.start() if close else len(source)]
             builder.text(html.unescape(content) if tag in ("textarea", "title") else content)
