@@ -16,6 +16,7 @@ from tidemark.llm import (
     pii,
     sharding,
     simhash,
+    suffix_dedup,
     toxicity,
 )
 from tidemark.llm.common import stored
@@ -77,6 +78,14 @@ def op4_sentencepiece(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
+    """What is left of every text without byte strings that smaller ids have."""
+    cut = suffix_dedup.remove_repeats(_documents(spark, data_dir))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_license_scan(spark: SparkSession, data_dir: str) -> DataFrame:
     """Every line, paragraph and text that matches a licence template."""
     return licenses.scan_licenses(_documents(spark, data_dir))
@@ -115,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_pii_pseudonyms": op3_pii_pseudonyms,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_license_scan": op6_license_scan,
     "op7_html_text": op7_html_text,
     "op8_simhash_dedup": op8_simhash_dedup,
