@@ -1,3 +1,156 @@
-"""DuckDB SQL for the text operators that SQL can express."""
+"""DuckDB SQL for the text operators that SQL can express.
 
-ORACLE: dict[str, str] = {}
+Fingerprints, edit distances, byte strings, keyed permutations, learned weights, token
+lattices and page trees are tested against brute force instead.
+"""
+
+from __future__ import annotations
+
+from tidemark.llm import host_rules, licenses
+
+_SPACE = r"\x20\x09-\x0D"
+
+_SHARDING = """
+WITH table_ AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+),
+sized AS (
+  SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 16 AS size,
+         CASE WHEN doc_id IS NULL THEN 'null' ELSE 'k' || doc_id END AS key
+  FROM documents
+),
+summed AS (
+  SELECT s.*, xor(list_reduce(
+      list_concat([4294967295::BIGINT],
+        list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT)),
+      lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8)), 4294967295) AS text_crc32
+  FROM sized s, table_
+),
+drawn AS (
+  SELECT *, list_min(list_transform(range({n}), lambda s: {{'draw': {draw}, 'shard': s}})).shard AS shard,
+         list_min(list_transform(range({n} + 1), lambda s: {{'draw': {draw}, 'shard': s}})).shard AS grown
+  FROM summed
+),
+cut AS (
+  SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '-') || '#' || text_crc32 || '#' || size), 1, 12))::BIGINT % 1024 AS piece
+  FROM drawn
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY piece, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+       grown::INTEGER AS grown_shard
+FROM cut
+""".format(
+    n=40,
+    draw="-ln((('0x' || substr(md5(key || '#' || s), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0)",
+)
+
+_HOSTS = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rn, doc_id, source, coalesce(text, '') AS text FROM documents
+),
+w AS (SELECT *, regexp_extract_all(text, '[^{_SPACE}]+') AS ws FROM d),
+windows AS (
+  SELECT rn, i, array_to_string(ws[i:i + 7], ' ') AS words
+  FROM (SELECT rn, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)
+),
+repeated AS (
+  SELECT rn, i FROM (SELECT rn, i, count(*) OVER (PARTITION BY rn, words) AS c FROM windows) WHERE c > 1
+),
+covered AS (
+  SELECT rn, count(DISTINCT p) AS n FROM (SELECT rn, unnest(range(i, i + 8)) AS p FROM repeated) GROUP BY rn
+),
+lines AS (
+  SELECT rn, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT rn, unnest(string_split(text, chr(10))) AS line FROM w)
+  WHERE regexp_matches(line, '[^{_SPACE}]') GROUP BY rn
+),
+m AS (
+  SELECT doc_id, source, len(ws)::BIGINT AS n_words,
+         coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN lines USING (rn) LEFT JOIN covered USING (rn)
+),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+hosts AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS k FROM f GROUP BY source),
+sums AS (
+  SELECT count(*) AS hosts, sum(n)::DOUBLE AS docs,
+         least(greatest(sum(k) / sum(n), 1e-6), 1 - 1e-6) AS mean,
+         sum(n * (k / n) * (k / n)) AS squares, sum(n::DOUBLE * n) AS docs_squared
+  FROM hosts
+),
+spread AS (
+  SELECT *, mean * (1 - mean) AS largest,
+         CASE WHEN docs - docs_squared / docs > 0
+           THEN (squares - docs * mean * mean - (hosts - 1) * mean * (1 - mean)) / (docs - docs_squared / docs)
+           ELSE 0 END AS variance
+  FROM sums
+),
+prior AS (
+  SELECT mean, CASE WHEN variance > 0
+      THEN least(greatest(largest / least(variance, largest) - 1, 1.0), 1e6) ELSE 1e6 END AS strength
+  FROM spread
+),
+suspects AS (
+  SELECT source FROM hosts, prior WHERE (k + mean * strength) / (n + strength) >= {host_rules.SUSPECT_RATE}
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (
+         EXISTS (SELECT 1 FROM suspects s WHERE s.source IS NOT DISTINCT FROM f.source)
+         AND (n_symbols * 5 > n_words OR n_dup_lines * 20 > n_words OR word_chars > 12 * n_words)
+       ) AS kept
+FROM f
+"""
+
+
+def _license_sql(threshold: float = 0.8) -> str:
+    rows = [
+        f"('{name}', {number}, [{', '.join(repr(g) for g in licenses.template_bigrams(text))}])"
+        for name, texts in sorted(licenses.TEMPLATES.items())
+        for number, text in enumerate(texts)
+    ]
+    return rf"""
+WITH templates(license, template, grams) AS (VALUES {", ".join(rows)}),
+d AS (
+  SELECT row_number() OVER () AS rn, doc_id, text, string_split_regex(text, '\n[ \t\r]*\n') AS paragraphs
+  FROM documents WHERE text IS NOT NULL
+),
+units AS (
+  SELECT rn, doc_id, 'line' AS unit, string_split(text, chr(10)) AS parts FROM d
+  UNION ALL SELECT rn, doc_id, 'paragraph', paragraphs FROM d
+  UNION ALL SELECT rn, doc_id, 'text', [text] FROM d WHERE len(paragraphs) > 1
+),
+parts AS (
+  SELECT rn, doc_id, unit, unnest(parts) AS part, generate_subscripts(parts, 1) - 1 AS position FROM units
+),
+words AS (
+  SELECT rn, doc_id, unit, position,
+         string_split(trim(lower(regexp_replace(part, '[^A-Za-z0-9]+', ' ', 'g'))), ' ') AS ws
+  FROM parts WHERE unit <> 'paragraph' OR contains(part, chr(10))
+),
+grams AS (
+  SELECT rn, doc_id, unit, position,
+         list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS g
+  FROM words
+),
+scored AS (
+  SELECT rn, doc_id, unit, position, license, template, len(g) AS n_bigrams,
+         2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
+  FROM grams JOIN templates ON list_has_any(g, grams)
+),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY rn, unit, position ORDER BY dice DESC, license, template) = 1 AS best
+  FROM scored WHERE dice >= {threshold}
+)
+SELECT doc_id, unit, position::BIGINT AS position, license, template::INTEGER AS template,
+       n_bigrams::BIGINT AS n_bigrams, dice, best FROM ranked
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op2_sharding": _SHARDING,
+    "op6_license_scan": _license_sql(),
+    "op9_host_rules": _HOSTS,
+}
