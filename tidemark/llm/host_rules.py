@@ -194,9 +194,9 @@ def document_measures(docs: DataFrame, id_col: str, text_col: str, host_col: str
 def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The documents that stay, with the columns they came with."""
     names = docs.columns
-    prefixed = docs.select(*(F.col(f"`{c}`").alias(f"{PREFIX}{c}") for c in names))
-    judged = judge_documents(prefixed, f"{PREFIX}{text_col}", f"{PREFIX}{host_col}")
-    return judged.filter("kept").select(*(F.col(f"`{PREFIX}{c}`").alias(c) for c in names))
+    prefixed = docs.select(*(F.col(f"`{c}`").alias(f"in_{c}") for c in names))
+    judged = judge_documents(prefixed, f"in_{text_col}", f"in_{host_col}")
+    return judged.filter("kept").select(*(F.col(f"`in_{c}`").alias(c) for c in names))
 
 
 def _judged(docs, text_col, host_col, suspects, max_broadcast) -> DataFrame:
