@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
-
-
 def epoch_ms(ts_ntz: Column) -> Column:
-    """Epoch milliseconds of a zone-less timestamp read as UTC, rounded down."""
-    zone = SparkSession.active().conf.get("spark.sql.session.timeZone")
-    if zone not in _UTC_NAMES:
-        ts_ntz = F.convert_timezone(F.lit("UTC"), F.lit(zone), ts_ntz)
-    return F.unix_millis(ts_ntz.cast("timestamp"))
+    """Epoch milliseconds of a zone-less timestamp read as UTC, rounded down.
+
+    Counted from the calendar fields, so no time zone plays a part.
+    """
+    days = F.unix_date(ts_ntz.cast("date")).cast("bigint")
+    seconds = F.hour(ts_ntz) * 3600 + F.minute(ts_ntz) * 60
+    millis = F.floor(F.extract(F.lit("SECOND"), ts_ntz) * 1000)
+    return days * 86_400_000 + seconds.cast("bigint") * 1000 + millis.cast("bigint")
 
 
 def window_start(ms: Column, size_ms: int, slide_ms: int | None = None) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans.ordered import MAX_ROWS, running_totals
@@ -51,9 +51,7 @@ def full_chunks(
 ) -> DataFrame:
     """The rows of all full buffers with their ``chunk``; the rest stays held back."""
     numbered = _chunk_numbers(df, shard, order, size, max_rows)
-    flushed = df.groupBy(F.col(shard).alias("_shard")).agg(
-        F.expr(f"count(1) div {int(size)}").alias("_chunks")
+    filled = F.count(F.lit(1)).over(Window.partitionBy(shard, "chunk"))
+    return numbered.withColumn("_filled", filled).filter(F.col("_filled") == size).drop(
+        "_filled", "place"
     )
-    same_shard = F.col(shard).eqNullSafe(F.col("_shard"))
-    full = numbered.join(flushed, same_shard).filter(F.col("chunk") < F.col("_chunks"))
-    return full.drop("_shard", "_chunks", "place")

@@ -51,9 +51,12 @@ def windowed_counts(
 def _covering_starts(pane: Column, size_ms: int, slide_ms: int) -> Column:
     """Starts of all windows that contain the pane; none when slide leaves a gap."""
     last = window_start(pane, slide_ms)
-    steps = -(-size_ms // slide_ms)
-    starts = F.array(*[last - F.lit(i * slide_ms) for i in range(steps)])
-    return F.filter(starts, lambda start: start + F.lit(size_ms) > pane)
+    # the earliest start whose window still reaches past the pane
+    first = last - F.call_function("div", last - pane + F.lit(size_ms - 1), F.lit(slide_ms)) * F.lit(
+        slide_ms
+    )
+    starts = F.sequence(first, last, F.lit(slide_ms).cast("bigint"))
+    return F.when(last + F.lit(size_ms) > pane, starts)
 
 
 def truncated_window_counts(

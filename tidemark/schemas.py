@@ -23,6 +23,7 @@ DOCUMENTS_TABLE = T.StructType(
     ]
 )
 
+CLICK_ROWS = "event_id bigint, user_id bigint, url string, value double, ms bigint"
 CLICKS = "name string, url string, timestamp bigint"
 URL_VIEW_COUNTS = "url string, count bigint, windowStart bigint, windowEnd bigint"
 APP_ORDERS = "order_id string, platform string, ts_ms bigint"

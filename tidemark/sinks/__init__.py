@@ -1,4 +1,5 @@
 from tidemark.sinks.streams import (
+    late_rows,
     latest_values,
     run_available_now,
     show_stream,
@@ -7,6 +8,7 @@ from tidemark.sinks.streams import (
 )
 
 __all__ = [
+    "late_rows",
     "latest_values",
     "run_available_now",
     "show_stream",

@@ -71,13 +71,15 @@ def start_parquet(
         def write(batch: DataFrame, batch_id: int) -> None:
             if keep_batch:
                 batch.persist()
-            changed = per_batch(batch) if per_batch else batch
-            out = changed.write.mode("overwrite")
-            if partition_by:
-                out = out.partitionBy(*partition_by)
-            out.parquet(f"{path}/{BATCH_ID}={batch_id}")
-            if keep_batch:
-                batch.unpersist()
+            try:
+                changed = per_batch(batch) if per_batch else batch
+                out = changed.write.mode("overwrite")
+                if partition_by:
+                    out = out.partitionBy(*partition_by)
+                out.parquet(f"{path}/{BATCH_ID}={batch_id}")
+            finally:
+                if keep_batch:
+                    batch.unpersist()
 
         writer = writer.foreachBatch(write)
     with streaming_settings(stream.sparkSession, partitions):
@@ -93,34 +95,58 @@ def run_available_now(
     partition_by: Sequence[str] = (),
     partitions: int | None = None,
     keep_batch: bool = False,
+    refuse_late: bool = False,
 ) -> DataFrame:
     """Run a stream over all available input and return what it wrote.
 
-    A checkpoint given again resumes behind the input already done.
+    A checkpoint given again resumes behind the input already done. ``refuse_late``
+    raises an error if a row came behind the watermark and was dropped.
     """
     spark = stream.sparkSession
     path = path or scratch_dir(spark, "stream-out")
     checkpoint = checkpoint or scratch_dir(spark, "stream-state")
-    start_parquet(
+    query = start_parquet(
         stream, path, checkpoint, mode, per_batch, partition_by, partitions, keep_batch
-    ).awaitTermination()
+    )
+    query.awaitTermination()
+    if refuse_late and (dropped := late_rows(query)):
+        raise RuntimeError(f"{dropped} rows came behind the watermark")
     plain = mode == "append" and per_batch is None
     return (spark.read.schema(stream.schema) if plain else spark.read).parquet(path)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped behind the watermark, in the progress reports that Spark keeps."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
 def latest_values(updates: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """The last value per key of an update stream written batch by batch."""
     return updates.groupBy(*keys).agg(F.max_by(value, BATCH_ID).alias(value))
 
 
+def _print_rows(rows) -> None:
+    for row in rows:
+        print(*(f"{name}={value}" for name, value in row.asDict().items()), flush=True)
+
+
 def show_stream(
     stream: DataFrame, label: str, mode: str = "append", tasks: int | None = None
 ) -> StreamingQuery:
-    """Print each micro-batch, rows marked with ``label``; ``tasks`` sets how many
-    partitions print. For looking at small streams: the console shows 1,000 rows."""
+    """Print every row of each micro-batch, marked with ``label``.
+
+    Rows are printed by the tasks that hold them, to the executors' output; ``tasks``
+    sets how many partitions print.
+    """
     marked = stream.select(F.lit(label).alias("label"), "*")
-    if tasks:
-        marked = marked.coalesce(tasks)
-    writer = marked.writeStream.outputMode(mode).queryName(label)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.coalesce(tasks) if tasks else batch).foreachPartition(_print_rows)
+
+    writer = marked.writeStream.outputMode(mode).queryName(label).foreachBatch(write)
     with streaming_settings(stream.sparkSession):
-        return writer.format("console").option("numRows", 1000).option("truncate", False).start()
+        return writer.start()

@@ -8,16 +8,20 @@ from tidemark.sources.files import (
     text_stream,
 )
 from tidemark.sources.orders import app_orders, third_orders
+from tidemark.sources.replay import lay_out, replay, with_end
 
 __all__ = [
     "app_orders",
     "click_events",
     "documents",
     "event_table",
+    "lay_out",
+    "replay",
     "socket_lines",
     "spread",
     "table_stream",
     "text_lines",
     "text_stream",
     "third_orders",
+    "with_end",
 ]

@@ -12,8 +12,8 @@ from tidemark.sources.files import table_stream
 
 def event_table(spark: SparkSession, data_dir: str, stream: bool = False) -> DataFrame:
     """The stored table, whole or as a stream of its files."""
-    if stream:
-        return table_stream(spark, f"{data_dir}/events*.parquet", EVENTS_TABLE)
+    if stream:  # a pattern, as a stream takes no single file; it matches this name only
+        return table_stream(spark, f"{data_dir}/event[s].parquet", EVENTS_TABLE)
     return spark.read.schema(EVENTS_TABLE).parquet(f"{data_dir}/events.parquet")
 
 

@@ -7,9 +7,9 @@ from pyspark.sql import types as T
 
 from tidemark.schemas import DOCUMENTS_TABLE
 
-# A micro-batch takes at most this much input, which bounds what a stateful
-# operator has to order at once.
-BATCH_BYTES = 1 << 30
+# A micro-batch takes about this much input for each task slot, so its size follows the
+# cluster's. A file is never split between batches.
+SLOT_BYTES = 128 << 20
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
 def documents(spark: SparkSession, data_dir: str, stream: bool = False) -> DataFrame:
     """``doc_id, text`` of the ``documents`` table, whole or as a stream of its files."""
     if stream:
-        table = table_stream(spark, f"{data_dir}/documents*.parquet", DOCUMENTS_TABLE)
+        table = table_stream(spark, f"{data_dir}/document[s].parquet", DOCUMENTS_TABLE)
         return table.select("doc_id", "text")
     table = spark.read.schema(DOCUMENTS_TABLE).parquet(f"{data_dir}/documents.parquet")
     return spread(table.select("doc_id", "text"))
@@ -61,11 +61,12 @@ def table_stream(
     path: str,
     schema: T.StructType | str,
     files_per_batch: int | None = None,
-    bytes_per_batch: int = BATCH_BYTES,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """Parquet files read as a stream, oldest first, in bounded micro-batches."""
     reader = spark.readStream.schema(schema)
     if files_per_batch is None:
+        bytes_per_batch = bytes_per_batch or SLOT_BYTES * spark.sparkContext.defaultParallelism
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     else:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

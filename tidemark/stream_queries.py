@@ -1,8 +1,9 @@
 """The registered streaming queries: each replays the stored tables as a stream,
 runs until all input is read and returns what was written.
 
-Time stops at the last event, so windows, cycles and timeouts that end later stay
-open, as they would in a live stream.
+Rows come in order of time over any number of files and micro-batches, and a last row
+far in the future closes what is open, so streams report what tables do. A query fails
+if a row came too late and was dropped.
 """
 
 from __future__ import annotations
@@ -15,14 +16,46 @@ from pyspark.sql import functions as F
 from tidemark import operators as ops
 from tidemark import sources, streaming
 from tidemark.functions import split_lines
-from tidemark.queries import DAY, HOUR, ID, _of_url, action_patterns
-from tidemark.schemas import APP_ORDERS, THIRD_ORDERS
+from tidemark.queries import DAY, HOUR, ID, action_patterns
+from tidemark.schemas import CLICK_ROWS, PATTERNS, THIRD_ORDERS
 from tidemark.session import scratch_dir
-from tidemark.sinks import latest_values, run_available_now
+from tidemark.sinks import latest_values
+from tidemark.sinks import run_available_now as run_stream
+from tidemark.sources.replay import END_KEY, END_NAME, FAR_MS, lay_out, replay, with_end
+
+
+def run_available_now(stream, **options):
+    return run_stream(stream, refuse_late=True, **options)
+
+
+class Clicks:
+    """The click events, laid out once by time or ``order`` and read as often as asked."""
+
+    def __init__(self, spark, data_dir, order=None):
+        events = with_end(
+            sources.click_events(spark, data_dir),
+            event_id=END_KEY, user_id=END_KEY, url=END_NAME, ms=FAR_MS,
+        )
+        if order is not None:
+            last = F.when(F.col("event_id") == END_KEY, F.lit(1 << 62))
+            events = events.withColumn("arrival", F.coalesce(last, order))
+        self.spark = spark
+        self.path = lay_out(events, "ms" if order is None else "arrival", "clicks")
+
+    def stream(self):
+        return replay(self.spark, self.path, CLICK_ROWS)
+
+    def of_url(self, url, id_name):
+        kept = self.stream().filter(F.col("url").isin(url, END_NAME))
+        return kept.select("user_id", F.col(ID).alias(id_name), "ms")
 
 
 def _clicks(spark, data_dir):
-    return sources.click_events(spark, data_dir, stream=True)
+    return Clicks(spark, data_dir).stream()
+
+
+def _real(df, column="user_id"):
+    return df.filter(F.col(column) != END_KEY)
 
 
 def word_count(spark, data_dir):
@@ -33,29 +66,45 @@ def word_count(spark, data_dir):
 
 
 def url_tumbling_count(spark, data_dir):
-    return run_available_now(streaming.windowed_counts(_clicks(spark, data_dir), ["url"], HOUR))
+    counts = streaming.windowed_counts(_clicks(spark, data_dir), ["url"], HOUR)
+    return run_available_now(counts).filter(F.col("url") != END_NAME)
 
 
-def url_topn(spark, data_dir):
+def url_delayed_count(spark, data_dir):
+    """Rows arrive up to an hour out of order, which the watermark's delay covers."""
+    arrival = F.col("ms") + F.pmod(F.col(ID) * 7_919_000, F.lit(HOUR))
+    clicks = Clicks(spark, data_dir, arrival).stream()
+    counts = streaming.windowed_counts(clicks, ["url"], HOUR, delay_ms=HOUR)
+    return run_available_now(counts).filter(F.col("url") != END_NAME)
+
+
+def url_topn(spark, data_dir, n=3):
     counts = streaming.windowed_counts(_clicks(spark, data_dir), ["url"], 2 * HOUR, HOUR)
-    written = run_available_now(counts, per_batch=streaming.top_windows(3))
+    written = run_available_now(counts, per_batch=streaming.top_windows(n))
+    written = written.filter(F.col("url") != END_NAME)
     return written.select("window_end", "rank", "url", "cnt")
 
 
+def url_topn_all(spark, data_dir):
+    return url_topn(spark, data_dir, n=2)
+
+
 def window_join(spark, data_dir):
-    clicks = _of_url(_clicks(spark, data_dir), "click", "click_id")
-    purchases = _of_url(_clicks(spark, data_dir), "purchase", "purchase_id")
+    events = Clicks(spark, data_dir)
+    clicks, purchases = events.of_url("click", "click_id"), events.of_url("purchase", "purchase_id")
     pairs = streaming.window_join(clicks, purchases, "user_id", DAY)
-    return run_available_now(pairs.select("user_id", "window_start", "click_id", "purchase_id"))
+    pairs = pairs.select("user_id", "window_start", "click_id", "purchase_id")
+    return _real(run_available_now(pairs))
 
 
 def _cogroup(spark, data_dir, join):
-    clicks = _of_url(_clicks(spark, data_dir), "click", "left_id")
-    purchases = _of_url(_clicks(spark, data_dir), "purchase", "right_id")
+    events = Clicks(spark, data_dir)
+    clicks, purchases = events.of_url("click", "left_id"), events.of_url("purchase", "right_id")
     purchases = purchases.withColumn("right_val", F.col("right_id"))
     grouped = join(clicks, purchases, "user_id", "right_val", -1, "right_id", DAY)
     left_id = F.coalesce("left_id", F.lit(-1)).alias("left_id")
-    return run_available_now(grouped.select("user_id", "window_start", left_id, "right_val"))
+    grouped = grouped.select("user_id", "window_start", left_id, "right_val")
+    return _real(run_available_now(grouped))
 
 
 def cogroup_left_join(spark, data_dir):
@@ -67,81 +116,100 @@ def cogroup_full_join(spark, data_dir):
 
 
 def interval_join(spark, data_dir):
-    purchases = _of_url(_clicks(spark, data_dir), "purchase", "purchase_id")
-    clicks = _of_url(_clicks(spark, data_dir), "click", "click_id")
+    events = Clicks(spark, data_dir)
+    clicks, purchases = events.of_url("click", "click_id"), events.of_url("purchase", "purchase_id")
     pairs = streaming.interval_join(purchases, clicks, "user_id", 5 * HOUR, 10 * HOUR)
-    return run_available_now(pairs.select("user_id", "purchase_id", "click_id"))
+    return _real(run_available_now(pairs.select("user_id", "purchase_id", "click_id")))
+
+
+def two_stream_join(spark, data_dir, within_ms=None):
+    events = Clicks(spark, data_dir)
+    signups, errors = events.of_url("signup", "left_id"), events.of_url("error", "right_id")
+    pairs = streaming.two_stream_join(signups, errors, "user_id", within_ms=within_ms)
+    return _real(run_available_now(pairs.select("user_id", "left_id", "right_id")))
 
 
-def two_stream_join(spark, data_dir):
-    signups = _of_url(_clicks(spark, data_dir), "signup", "left_id")
-    errors = _of_url(_clicks(spark, data_dir), "error", "right_id")
-    pairs = streaming.two_stream_join(signups, errors, "user_id")
-    return run_available_now(pairs.select("user_id", "left_id", "right_id"))
+def two_stream_join_within(spark, data_dir):
+    return two_stream_join(spark, data_dir, within_ms=DAY)
 
 
 def _order_streams(spark, data_dir):
-    """Both order tables, written out once and read back as streams."""
+    """Both kinds of orders, laid out in one table so that they come in step with each
+    other, and read back as a stream each."""
     events = sources.click_events(spark, data_dir)
-    app_path, third_path = (scratch_dir(spark, label) for label in ("app-orders", "third-orders"))
-    sources.app_orders(events).write.parquet(app_path)
-    sources.third_orders(events).write.parquet(third_path)
-    return (
-        sources.table_stream(spark, app_path, APP_ORDERS),
-        sources.table_stream(spark, third_path, THIRD_ORDERS),
+    both = sources.third_orders(events).unionByName(
+        sources.app_orders(events), allowMissingColumns=True
     )
+    for platform in ("app", "third"):
+        both = with_end(both, order_id=f"{END_NAME}-{platform}", platform=platform, ts_ms=FAR_MS)
+    path = lay_out(both, "ts_ms", "orders")
+    return [
+        replay(spark, path, THIRD_ORDERS).filter(F.col("platform") == platform)
+        for platform in ("app", "third")
+    ]
+
+
+def _real_orders(df):
+    return df.filter(~F.col("order_id").startswith(END_NAME))
 
 
 def bill_check(spark, data_dir):
     app, third = _order_streams(spark, data_dir)
-    return run_available_now(streaming.bill_check(app, third, 6 * HOUR))
+    return _real_orders(run_available_now(streaming.bill_check(app, third, 6 * HOUR)))
 
 
 def bill_check_repeated(spark, data_dir):
     app, third = _order_streams(spark, data_dir)
-    return run_available_now(streaming.bill_check_repeated(app, third, 6 * HOUR))
+    return _real_orders(run_available_now(streaming.bill_check_repeated(app, third, 6 * HOUR)))
 
 
 def pattern_match(spark, data_dir):
+    events = sources.click_events(spark, data_dir)
+    rules = scratch_dir(spark, "patterns")
+    action_patterns(events).write.parquet(rules)  # a few rows, read in every micro-batch
     actions = _clicks(spark, data_dir).select("user_id", ID, "ms", F.col("url").alias("action"))
-
-    def patterns():
-        return action_patterns(sources.click_events(spark, data_dir))
-
     written = run_available_now(
         streaming.previous_actions(actions),
-        per_batch=streaming.pattern_matches(patterns),
+        per_batch=streaming.pattern_matches(lambda: spark.read.schema(PATTERNS).parquet(rules)),
         keep_batch=True,
     )
-    return written.select("user_id", ID, "action1", "action2")
+    return _real(written.select("user_id", ID, "action1", "action2"))
 
 
 def periodic_pv(spark, data_dir):
-    return run_available_now(
-        streaming.periodic_counts(_clicks(spark, data_dir), ["user_id"], 6 * HOUR)
-    )
+    counts = streaming.periodic_counts(_clicks(spark, data_dir), ["user_id"], 6 * HOUR)
+    return _real(run_available_now(counts))
 
 
 def avg_ts_every_n(spark, data_dir):
-    return run_available_now(streaming.average_every_n(_clicks(spark, data_dir), ["user_id"], 5))
+    means = streaming.average_every_n(_clicks(spark, data_dir), ["user_id"], 5)
+    return _real(run_available_now(means))
 
 
 def buffered_rows(spark, data_dir):
-    events = _clicks(spark, data_dir)
+    events = _real(Clicks(spark, data_dir, F.col(ID)).stream())
     sharded = events.select((F.col("user_id") % 4).alias("shard"), ID)
     return run_available_now(streaming.full_chunks(sharded))
 
 
 def event_timer_trace(spark, data_dir):
     # The watermark seen depends on how input falls into micro-batches.
-    return run_available_now(
-        streaming.event_timer_trace(_clicks(spark, data_dir), watermarks=False)
-    )
+    trace = streaming.event_timer_trace(_clicks(spark, data_dir), watermarks=False)
+    return run_available_now(trace).filter(F.col("ms") < FAR_MS)
+
+
+def route_alerts(spark, data_dir):
+    routed = ops.route_alerts(
+        _real(_clicks(spark, data_dir)), ["click", "purchase"],
+        by="url", name="user_id", url="url", ms="ms",
+    )
+    written = run_available_now(routed.select(ID, "route", "message"), partition_by=["route"])
+    return written.select(ID, "route", "message")
 
 
 def split_by_user(spark, data_dir):
     routed = ops.split_by_user(
-        _clicks(spark, data_dir), {1: "user-1", 2: "user-2"}, user="user_id"
+        _real(_clicks(spark, data_dir)), {1: "user-1", 2: "user-2"}, user="user_id"
     )
     written = run_available_now(
         routed.select("route", "user_id", "url", "ms"), partition_by=["route"]
@@ -152,12 +220,15 @@ def split_by_user(spark, data_dir):
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_word_count": word_count,
     "stream_url_tumbling_count": url_tumbling_count,
+    "stream_url_delayed_count": url_delayed_count,
     "stream_url_topn": url_topn,
+    "stream_url_topn_all": url_topn_all,
     "stream_window_join": window_join,
     "stream_cogroup_left_join": cogroup_left_join,
     "stream_cogroup_full_join": cogroup_full_join,
     "stream_interval_join": interval_join,
     "stream_two_stream_join": two_stream_join,
+    "stream_two_stream_join_within": two_stream_join_within,
     "stream_bill_check": bill_check,
     "stream_bill_check_repeated": bill_check_repeated,
     "stream_pattern_match": pattern_match,
@@ -165,5 +236,6 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_avg_ts_every_n": avg_ts_every_n,
     "stream_buffered_rows": buffered_rows,
     "stream_event_timer_trace": event_timer_trace,
+    "stream_route_alerts": route_alerts,
     "stream_split_by_user": split_by_user,
 }

@@ -134,7 +134,7 @@ def event_timer_trace(
     after_ms: int = 10,
     delay_ms: int = 0,
     watermarks: bool = True,
-    shards: int = 64,
+    shards: int | None = None,
     ms: str = "ms",
 ) -> DataFrame:
     """``kind, user_id, ms``: arrivals, the watermark each meets, and one firing per
@@ -144,6 +144,7 @@ def event_timer_trace(
     sharded; ``watermarks=False`` leaves it out.
     """
     if watermarks:
+        shards = shards or 4 * stream.sparkSession.sparkContext.defaultParallelism
         shard = F.pmod(F.xxhash64(ms), F.lit(shards)).alias("shard")
         slim = stream.select(shard, F.col(user).alias("user"), F.col(ms).alias("ms"))
         added = {"kind": T.StringType(), user: stream.schema[user].dataType, ms: T.LongType()}

@@ -161,6 +161,11 @@ class BillCheck(Processor):
             yield self.row(*key, outcome, due)
 
 
+def _nulls_first(values) -> tuple:
+    """A sort key in which nulls come first, as in Spark's own order."""
+    return tuple((value is not None, value) for value in values)
+
+
 class FullChunks(Processor):
     """Holds rows until a buffer is full."""
 
@@ -176,7 +181,7 @@ class FullChunks(Processor):
         names = self.held_schema.fieldNames()
         places = [names.index(name) for name in self.order]
         arrived = [tuple(row[name] for name in names) for row in rows]
-        arrived.sort(key=lambda values: tuple(values[i] for i in places))
+        arrived.sort(key=lambda values: _nulls_first(values[i] for i in places))
         buffer = [tuple(values) for values in self.held.get()] + arrived
         (done,) = self.chunks.get() or (0,)
         full = len(buffer) // self.size
@@ -209,7 +214,8 @@ class PreviousAction(Processor):
 
     def handleInputRows(self, key, rows, timerValues):
         (previous,) = self.last.get() or (None,)
-        for ms, at, action in sorted((row.ms, row.id, row.action) for row in rows):
+        moves = ((row.ms, row.id, row.action) for row in rows)
+        for ms, at, action in sorted(moves, key=_nulls_first):
             if previous is not None:
                 yield self.row(*key, at, ms, action, previous)
             previous = action

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -21,19 +22,23 @@ def windowed_counts(
     ms: str = "ms",
 ) -> DataFrame:
     """``keys, window_start, window_end, count``, with late rows dropped."""
-    window = F.window(
-        "event_time", f"{size_ms} milliseconds", f"{slide_ms or size_ms} milliseconds"
-    )
-    return (
+    slide_ms = slide_ms or size_ms
+    pane_ms = math.gcd(size_ms, slide_ms)
+    panes = (
         with_event_time(stream, delay_ms, ms)
-        .groupBy(window, *keys)
+        .groupBy(F.window("event_time", f"{pane_ms} milliseconds").alias("window"), *keys)
         .agg(F.count(F.lit(1)).alias(count))
-        .select(
-            *keys,
-            F.unix_millis("window.start").alias("window_start"),
-            F.unix_millis("window.end").alias("window_end"),
-            count,
-        )
+    )
+    if pane_ms != size_ms:  # only pane totals are copied to the windows over them
+        window = F.window(
+            F.col("window"), f"{size_ms} milliseconds", f"{slide_ms} milliseconds"
+        ).alias("window")
+        panes = panes.groupBy(window, *keys).agg(F.sum(count).alias(count))
+    return panes.select(
+        *keys,
+        F.unix_millis("window.start").alias("window_start"),
+        F.unix_millis("window.end").alias("window_end"),
+        count,
     )
 
 
