@@ -38,9 +38,11 @@ _PATTERN = re.compile(
     | (?<![\w./-]) (?P<date> [0-9]{4}-[0-9]{2}-[0-9]{2} | [0-9]{4}/[0-9]{2}/[0-9]{2}
         | [0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4} | [0-9]{1,2}/[0-9]{1,2}/[0-9]{4} ) (?![/-]?\w)
     | (?<![\w-]) (?P<ssn> [0-9]{3}-[0-9]{2}-[0-9]{4} ) (?![\w-])
-    | (?<!\w) (?P<phone> \+[0-9]{1,3} [\ .-]? (?:\([0-9]{1,4}\)|[0-9]{1,4}) (?:[\ .-]?[0-9]{2,4}){2,4}
+    | (?<!\w) (?P<phone> \+1 [\ .-]? (?:\([0-9]{3}\)|[0-9]{3}) [\ .-]? [0-9]{3} [\ .-]? [0-9]{4}
+        | \+[0-9]{1,3} [\ .-]? (?:\([0-9]{1,4}\)|[0-9]{1,4}) (?:[\ .-]?[0-9]{2,4}){2,4}
         | \([0-9]{3}\)\ ?[0-9]{3}[\ .-][0-9]{4} | [0-9]{3}-[0-9]{3}-[0-9]{4} | [0-9]{3}\.[0-9]{3}\.[0-9]{4} ) (?!\w)
-    | (?<![\w.-]) (?P<card> [0-9] (?:[\ -]?[0-9]){12,18} ) (?!\w|[.-][0-9])
+    | (?<![\w.-]) (?P<card> [0-9]{13,19} | [0-9]{4}(?:-[0-9]{4}){3}(?:-[0-9]{1,3})?
+        | [0-9]{4}(?:\ [0-9]{4}){3} | [0-9]{4}[\ -][0-9]{6}[\ -][0-9]{5} ) (?!\w|[.-][0-9])
     """,
     re.VERBOSE,
 )
@@ -153,14 +155,20 @@ class Pseudonymizer:
         return f"{self._permute_letters('email', local)}@{domain}"
 
     def _iban(self, value: str) -> str | None:
-        plain = value.replace(" ", "")
         number = lambda s: int("".join(str(int(c, 36)) for c in s))
-        if not 15 <= len(plain) <= 34 or number(plain[4:] + plain[:4]) % 97 != 1:
-            return None
+        head, tail = value, ""
+        while True:  # the match may reach into the words behind
+            plain = head.replace(" ", "")
+            if 15 <= len(plain) <= 34 and number(plain[4:] + plain[:4]) % 97 == 1:
+                break
+            head, space, last = head.rpartition(" ")
+            if not space:
+                return None
+            tail = space + last + tail
         body = self._permute_letters("iban" + plain[:2], plain[4:])
         check = 98 - number(body + plain[:2] + "00") % 97
         fresh = iter(f"{plain[:2]}{check:02d}{body}")
-        return "".join(c if c == " " else next(fresh) for c in value)
+        return "".join(c if c == " " else next(fresh) for c in head) + tail
 
     def _token(self, value: str) -> str | None:
         if value.isdigit() or value.isalpha():
@@ -214,14 +222,20 @@ class Pseudonymizer:
         return _refill(value, f"{number:09d}")
 
     def _phone(self, value: str) -> str | None:
-        digits = _digits(value)
-        country = re.match(r"\+([0-9]+)", value) if value[0] == "+" else None
+        head, tail = value, ""
+        while len(_digits(head)) > 15:  # longer than any number: groups behind it
+            parts = re.fullmatch(r"(.*)([ .-][0-9]+)", head)
+            if parts is None:
+                return None
+            head, tail = parts[1], parts[2] + tail
+        digits = _digits(head)
+        country = re.match(r"\+([0-9]+)", head)
         kept = len(country[1]) if country else 0
-        if country and kept > 3:  # no mark after the country code: one digit, as in +1
+        if kept > 3 or head.startswith("+1"):  # no mark after the country code
             kept = 1
         if not 7 <= len(digits) - kept <= 14:
             return None
-        return _refill(value, digits[:kept] + self._permute_digits("phone", digits[kept:]))
+        return _refill(head, digits[:kept] + self._permute_digits("phone", digits[kept:])) + tail
 
     def _card(self, value: str) -> str | None:
         digits = _digits(value)
