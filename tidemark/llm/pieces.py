@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -36,7 +37,7 @@ GIANT = 32768
 # Chunks whose matrices one task combines.
 BLOCK = 64
 # Encoded segments and judged pairs that a Python worker remembers.
-MEMORY = 500_000
+MEMORY = 800_000
 START = -2
 _UNKNOWN = -1
 _NEVER = -np.inf
@@ -103,7 +104,12 @@ class Model:
             if len(self._pairs) >= MEMORY:
                 self._pairs.clear()
             pair = [self.pieces[i] for i in (left, right) if i != START]
-            known = self._pairs[key] = self.merged("".join(pair)) == pair
+            whole = self.ids.get("".join(pair)) if left != START else None
+            if whole is not None and self.may_follow(START, whole):
+                known = False  # the two merge into one piece
+            else:
+                known = self.merged("".join(pair)) == pair
+            self._pairs[key] = known
         return known
 
     def forward(self, text: str, origin: int, start: int, stop: int) -> dict[int, tuple[int, int]]:
@@ -157,6 +163,35 @@ class Model:
         """Ids between a piece ``origin`` ending at ``start`` and the place ``end``."""
         return self.trace(text, self.forward(text, origin, start, end), start, end)
 
+    def segment(self, text: str) -> bytes:
+        """Packed ids of a short text between two places that no piece crosses.
+
+        The same path as ``span``, kept in lists because most of the time goes here.
+        """
+        known, n = self._pairs.get, len(text)
+        piece_at: list[int | None] = [None] * (n + 1)
+        left_key = [0] * (n + 1)
+        size = [0] * (n + 1)
+        piece_at[0] = START
+        for offset, (piece, length) in self.automaton.iter(text):
+            end = offset + 1
+            begin = end - length
+            if piece_at[end] is None and piece_at[begin] is not None:
+                ok = known(left_key[begin] | piece)
+                if ok is None:
+                    ok = self.may_follow(piece_at[begin], piece)
+                if ok:
+                    piece_at[end], size[end] = piece, length
+                    left_key[end] = (piece - START) << 32
+        if piece_at[n] is None:  # it holds characters without a piece
+            return array("i", self.span(text, START, 0, n)).tobytes()
+        ids = []
+        while n:
+            ids.append(piece_at[n])
+            n -= size[n]
+        ids.reverse()
+        return array("i", ids).tobytes()
+
     def whole_segments(self, text: str) -> bytes:
         """Packed ids of a text that begins and ends where no piece can cross."""
         return b"".join(map(self.segments.__getitem__, _SEGMENT.findall(text)))
@@ -181,17 +216,21 @@ _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
 
 class _Segments(dict):
-    """Packed ids by segment; segments repeat, so most are encoded once per worker."""
+    """Packed ids by segment; segments repeat, so most are encoded once per worker.
+
+    What was not used since the memory last filled up is forgotten.
+    """
 
     def __init__(self, model: Model):
         super().__init__()
         self._model = model
+        self._older: dict[str, bytes] = {}
 
     def __missing__(self, segment: str) -> bytes:
-        ids = self._model.span(segment, START, 0, len(segment))
-        packed = np.array(ids, np.int32).tobytes()
+        packed = self._older.get(segment) or self._model.segment(segment)
         if len(segment) <= 64:
-            if len(self) >= MEMORY:
+            if len(self) >= MEMORY // 2:
+                self._older = dict(self)
                 self.clear()
             self[segment] = packed
         return packed
