@@ -1,17 +1,19 @@
 """Registered streams over many files and micro-batches give the table results."""
 
 import importlib
-import time
+import re
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import ROOT, rows
 from oracle_check import duck, duck_result, spark_result
 from tidemark import sources, streaming
 from tidemark.functions import epoch_ms
 from tidemark.oracle import ORACLE
-from tidemark.sinks import run_available_now, show_stream
+from tidemark.sinks import run_available_now
 from tidemark.sources import lay_out, replay
 from tidemark.stream_queries import STREAM_QUERIES
 
@@ -70,13 +72,24 @@ def test_epoch_in_any_zone(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-def test_every_row_is_printed(spark, make_stream, capfd):
-    stream = make_stream([[(i,) for i in range(2_500)]], "x long")
-    query = show_stream(stream, "shown")
-    query.processAllAvailable()
-    query.stop()
-    printed, until = "", time.time() + 30
-    while printed.count("label=shown x=") < 2_500 and time.time() < until:
-        time.sleep(0.2)  # the executor passes its tasks' output on
-        printed += "".join(capfd.readouterr())
-    assert printed.count("label=shown x=") == 2_500
+PRINTING = """
+from tidemark.session import local_session
+from tidemark.sinks import show_stream
+
+spark = local_session(2)
+spark.range(2_500).repartition(3).write.parquet({path!r})
+query = show_stream(spark.readStream.schema("id bigint").parquet({path!r}), "shown")
+query.processAllAvailable()
+query.stop()
+spark.stop()
+"""
+
+
+def test_every_row_is_printed(tmp_path):
+    # in a process of its own, whose output the executor's tasks share
+    code = PRINTING.format(path=str(tmp_path / "rows"))
+    ran = subprocess.run(
+        [sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=300
+    )
+    printed = re.findall(r"label=shown id=(\d+)", ran.stdout + ran.stderr)
+    assert ran.returncode == 0 and sorted(map(int, printed)) == list(range(2_500))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
@@ -131,7 +132,9 @@ def latest_values(updates: DataFrame, keys: Sequence[str], value: str) -> DataFr
 
 def _print_rows(rows) -> None:
     for row in rows:
-        print(*(f"{name}={value}" for name, value in row.asDict().items()), flush=True)
+        fields = (f"{name}={value}" for name, value in row.asDict().items())
+        sys.stdout.write(" ".join(fields) + "\n")  # in one piece: other tasks print too
+        sys.stdout.flush()
 
 
 def show_stream(
