@@ -25,9 +25,9 @@ from tidemark.llm.common import plain_columns
 LENGTH = 50
 GRAM = 16
 # Bytes of text from which one batch of segments is made.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 # Bytes of segments that one group holds, about.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 24 << 20
 # Words of eight bytes that multikey quicksort compares before blind tries take over.
 SHALLOW_WORDS = 3
 _PLACE_BITS = 24
@@ -61,7 +61,8 @@ def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """``first, count, minimizer, hash`` of the runs of suffixes that share a minimizer.
+    """``first, count, minimizer`` of the runs of suffixes that share a minimizer, and
+    the hashes of all grams.
 
     ``ends`` are the ends of the documents within ``data``; suffixes stay inside one.
     """
@@ -88,17 +89,15 @@ def segments(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int
     count = np.diff(first, append=n)
     kept = inside[first]
     first, count = first[kept], count[kept]
-    return first, count, minimizer[first], hashes[minimizer[first]]
+    return first, count, minimizer[first], hashes
 
 
-def _segment_hashes(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """A hash of each segment, from sums over the text up to its two ends."""
-    n = len(data)
-    powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, _BASE, np.uint64))))
-    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-    inverses = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, inverse, np.uint64))))
-    sums = np.concatenate(([np.uint64(0)], np.cumsum(_TABLE[data] * powers[:n])))
-    return _mix((sums[first + size] - sums[first]) * inverses[first] + size.astype(np.uint64))
+def _segment_hashes(hashes: np.ndarray, first: np.ndarray, size: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of each segment, from those of grams that cover it."""
+    total = size.astype(np.uint64)
+    for offset in range(0, int(size.max(initial=0)), gram):
+        total = _mix(total * _BASE + hashes[first + np.minimum(offset, size - gram)])
+    return total
 
 
 def _gather(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -201,16 +200,27 @@ def equal_suffixes(
 
 # --- Spark --------------------------------------------------------------------------
 
-_SEGMENT_ROWS = "bucket bigint, ids binary, marks binary, counts binary, starts binary, sizes binary, offsets binary, data binary"
+_SEGMENT_ROWS = "bucket bigint, part bigint, packed binary"
 _SPANS = "doc_id bigint, mark int, starts array<bigint>, ends array<bigint>"
+_KINDS = (np.int64, np.int32, np.int32, np.int64, np.uint8, np.uint8, np.uint8)
+_LEVEL = 5
 
 
-def _pack(array: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(array).tobytes())
+def _pack(press: zstandard.ZstdCompressor, arrays: list[np.ndarray]) -> bytes:
+    """Arrays of ``_KINDS`` in one frame, their lengths first."""
+    parts = [np.ascontiguousarray(a.astype(k, copy=False)) for a, k in zip(arrays, _KINDS)]
+    sizes = np.array([len(p) for p in parts], np.int64)
+    return press.compress(b"".join([sizes.tobytes(), *(p.tobytes() for p in parts)]))
 
 
-def _unpack(value: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value), kind)
+def _unpack(press: zstandard.ZstdDecompressor, value: bytes) -> list[np.ndarray]:
+    data = press.decompress(value)
+    sizes = np.frombuffer(data, np.int64, len(_KINDS))
+    arrays, at = [], sizes.nbytes
+    for kind, size in zip(_KINDS, sizes.tolist()):
+        arrays.append(np.frombuffer(data, kind, size, at))
+        at += arrays[-1].nbytes
+    return arrays
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tuple[int, int, int, bytes]]]:
@@ -243,54 +253,53 @@ def _emit(length: int, buckets: int):
     the rest are repeats, which is noted in bucket -1."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=_LEVEL)
         for block in _blocks(batches, length):
             block.sort(key=lambda piece: piece[:3])
             sizes = np.array([len(piece) for *_, piece in block])
             ends = np.cumsum(sizes)
             data = np.frombuffer(b"".join(piece for *_, piece in block), np.uint8)
-            first, count, minimizer, gram = segments(data, ends, length)
+            first, count, minimizer, hashes = segments(data, ends, length)
             piece = np.searchsorted(ends, first, "right")
             size = count + length - 1
             ids = np.array([p[0] for p in block])
-            shape = _segment_hashes(data, first, size)
+            shape = _segment_hashes(hashes, first, size, GRAM)
             order = np.argsort(shape, kind="stable")  # pieces are in order of id
             fresh = np.diff(shape[order], prepend=~shape[order][:1]) != 0
             smallest = ids[piece[order]][fresh][np.cumsum(fresh) - 1]
-            repeat = np.zeros(len(first), bool)
-            repeat[order] = ids[piece[order]] > smallest
-            yield from _rows(block, data, ends - sizes, first, size, piece, minimizer, gram, repeat)
+            bucket = (hashes[minimizer] % np.uint64(buckets)).astype(np.int64)
+            bucket[order[ids[piece[order]] > smallest]] = -1
+            del hashes, shape, order
+            yield from _rows(press, block, data, ends - sizes, first, size, piece, minimizer, bucket)
 
-    def _rows(block, data, begins, first, size, piece, minimizer, gram, repeat):
+    def _rows(press, block, data, begins, first, size, piece, minimizer, bucket):
         marks = np.array([p[1] for p in block], np.int32)
         ids = np.array([p[0] for p in block], np.int64)
         shifts = np.array([p[2] for p in block], np.int64) - begins
-        bucket = (gram % np.uint64(buckets)).astype(np.int64)
-        bucket[repeat] = -1
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order], prepend=-2))
-        columns: list[list] = [[] for _ in range(8)]
+        rows: list[tuple[int, int, bytes]] = []
         for part in np.split(order, cuts[1:]):
             number = int(bucket[part[0]])
             pieces, counts = np.unique(piece[part], return_counts=True)
             starts = first[part] + shifts[piece[part]]
-            values = [
-                number, _pack(ids[pieces]), _pack(marks[pieces]), _pack(counts.astype(np.int32)),
-                _pack(np.diff(starts, prepend=0)), _pack(size[part].astype(np.uint8)),
-                b"" if number < 0 else _pack((minimizer - first)[part].astype(np.uint8)),
-                b"" if number < 0 else _pack(_gather(data, first[part], size[part])),
-            ]
-            for column, value in zip(columns, values):
-                column.append(value)
-            if len(columns[0]) >= 256:
-                yield _batch(columns)
-                columns = [[] for _ in range(8)]
-        if columns[0]:
-            yield _batch(columns)
-
-    def _batch(columns):
-        kinds = [pa.int64(), *[pa.binary()] * 7]
-        names = [f.split()[0] for f in _SEGMENT_ROWS.split(", ")]
-        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+            arrays = [ids[pieces], marks[pieces], counts, np.diff(starts, prepend=0), size[part]]
+            if number >= 0:
+                arrays += [(minimizer - first)[part], _gather(data, first[part], size[part])]
+            else:  # repeats already: spread over parts of their own
+                arrays += [np.empty(0, np.uint8)] * 2
+            part_number = 0 if number >= 0 else int(ids[0] % buckets)
+            rows.append((number, part_number, _pack(press, arrays)))
+            if len(rows) >= 64:
+                yield _batch(rows)
+                rows = []
+        if rows:
+            yield _batch(rows)
+
+    def _batch(rows):
+        kinds = (pa.int64(), pa.int64(), pa.binary())
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+        return pa.record_batch(columns, ["bucket", "part", "packed"])
 
     return emit
 
@@ -313,20 +322,19 @@ def _spans_table(ids, marks, piece, places, length) -> pa.Table:
 
 def _sort_group(length: int, gram: int):
     def sort(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        ids = np.concatenate([_unpack(r["ids"], np.int64) for r in rows])
-        marks = np.concatenate([_unpack(r["marks"], np.int32) for r in rows])
-        counts = np.concatenate([_unpack(r["counts"], np.int32) for r in rows])
-        starts = np.concatenate([np.cumsum(_unpack(r["starts"], np.int64)) for r in rows])
-        size = np.concatenate([_unpack(r["sizes"], np.uint8) for r in rows]).astype(np.int64)
+        press = zstandard.ZstdDecompressor()
+        unpacked = [_unpack(press, value.as_py()) for value in table["packed"]]
+        ids, marks, counts = (np.concatenate([u[k] for u in unpacked]) for k in range(3))
+        starts = np.concatenate([np.cumsum(u[3]) for u in unpacked])
+        size, offset = (np.concatenate([u[k] for u in unpacked]).astype(np.int64) for k in (4, 5))
+        data = np.concatenate([u[6] for u in unpacked])
+        del unpacked
         piece = np.repeat(np.arange(len(ids)), counts)
-        if rows[0]["bucket"] < 0:  # repeats already
+        if table["bucket"][0].as_py() < 0:  # repeats already
             count = size - length + 1
             places = np.repeat(starts - np.concatenate(([0], np.cumsum(count)[:-1])), count)
             places += np.arange(int(count.sum()))
             return _spans_table(ids, marks, np.repeat(piece, count), places, length)
-        offset = np.concatenate([_unpack(r["offsets"], np.uint8) for r in rows]).astype(np.int64)
-        data = np.concatenate([_unpack(r["data"], np.uint8) for r in rows])
         begin = np.cumsum(size) - size
         # segments whose minimizer no other document has cannot hold a repeat
         at = begin + offset
@@ -354,13 +362,26 @@ def _sort_group(length: int, gram: int):
     return sort
 
 
-def _cut(length: int):
+def _pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, key, mark`` and the compressed text, for the way to its repeats."""
+    press = zstandard.ZstdCompressor(level=_LEVEL)
+    for batch in batches:
+        texts = [
+            press.compress((t or "").encode("utf-8", "surrogatepass"))
+            for t in batch.column("text").to_pylist()
+        ]
+        columns = [batch.column(name) for name in ("doc_id", "key", "mark")]
+        yield pa.record_batch([*columns, pa.array(texts, pa.binary())], ["doc_id", "key", "mark", "pressed"])
+
+
+def _cut():
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdDecompressor()
         for batch in batches:
             texts, spans = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             sizes, removed, pieces, kept, stretches = [], [], [], [], []
             for text, found in zip(texts, spans):
-                data = (text or "").encode("utf-8", "surrogatepass")
+                data = press.decompress(text)
                 pairs = sorted(
                     pair for part in found or () for pair in zip(part["starts"], part["ends"])
                 )
@@ -419,19 +440,17 @@ def remove_repeats(
     per_byte = 1 + 2 * (length - 1) / (length - GRAM + 2)  # of segments, for a byte of text
     buckets = max(1, int(total * per_byte / group_bytes))
     dealt = rows.mapInArrow(_emit(length, buckets), _SEGMENT_ROWS)
-    # noted repeats spread over keys of their own
-    spread = F.when(F.col("bucket") < 0, F.xxhash64("ids", "starts") % F.lit(buckets)).otherwise(0)
-    found = dealt.groupBy("bucket", spread.alias("part")).applyInArrow(
-        _sort_group(length, GRAM), _SPANS
-    )
+    found = dealt.groupBy("bucket", "part").applyInArrow(_sort_group(length, GRAM), _SPANS)
     per_doc = found.groupBy("doc_id", "mark").agg(
         F.collect_list(F.struct("starts", "ends")).alias("found")
     )
-    keyed = rows.withColumn("key", F.coalesce("doc_id", F.lit(int(_LAST_ID))))
+    keyed = rows.withColumn("key", F.coalesce("doc_id", F.lit(int(_LAST_ID)))).mapInArrow(
+        _pressed, "doc_id bigint, key bigint, mark int, pressed binary"
+    )
     per_doc = per_doc.withColumnRenamed("doc_id", "key").hint("shuffle_hash")
-    joined = keyed.join(per_doc, ["key", "mark"], "left").select("doc_id", "text", "found")
+    joined = keyed.join(per_doc, ["key", "mark"], "left").select("doc_id", "pressed", "found")
     return joined.mapInArrow(
-        _cut(length),
+        _cut(),
         "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
         "spans array<struct<start:bigint,`end`:bigint>>, kept binary",
     )
