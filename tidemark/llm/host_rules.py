@@ -1,8 +1,9 @@
 """Quality rules with host verdicts.
 
-Every text is measured by rules. Rule failures are summed per host, each host's
+Every text is measured by rules. Failures of all rules are summed per host, each host's
 failure rate is shrunk towards the rate of all hosts by an empirical beta prior, and
-the verdict goes back to the documents: in a suspect host the strict rules bind too.
+the verdict goes back to the documents: the worse the host, the less a text may exceed
+the strict rules' limits, and nowhere may it exceed them many times.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +23,11 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 SUSPECT_RATE = 0.5
-# Suspect hosts up to this number are broadcast; more are joined by shuffle.
+# A text this many times over a strict limit is rejected in any host.
+GROSS = 10.0
+# Evidence of an excess grows with this power of it.
+EVIDENCE_POWER = 3
+# Hosts that reject by strict rules, up to this number are broadcast; more are joined by shuffle.
 MAX_BROADCAST_HOSTS = 100_000
 # A host's documents are spread over so many keys in the shuffled join.
 HOST_SALTS = 64
@@ -98,17 +103,39 @@ def strict_failed():
     )
 
 
-def host_rates(measured: DataFrame, host: str = "host") -> DataFrame:
-    """One row per host: documents, failures and the shrunk failure rate.
+def excess():
+    """How many times a text is over its most exceeded strict limit; over 1 is a failure."""
+    words = F.greatest("n_words", F.lit(1))
+    return F.greatest(
+        F.col("n_symbols") * 5 / words, F.col("n_dup_lines") * 20 / words, F.col("word_chars") / (12 * words)
+    )
+
+
+def excess_limit(rate: Column, suspect_rate: float = SUSPECT_RATE) -> Column:
+    """The excess that a host of this failure rate tolerates: from GROSS down to 1.
+
+    A text is rejected where the host's odds of failure, against those of a suspect
+    host, times the excess to the EVIDENCE_POWER are over 1.
+    """
+    if not 0 < suspect_rate < 1:
+        return F.when(rate >= suspect_rate, F.lit(1.0)).otherwise(F.lit(GROSS))
+    odds = (1 - rate) / rate * (suspect_rate / (1 - suspect_rate))
+    return F.greatest(F.lit(1.0), F.least(F.lit(GROSS), F.pow(odds, F.lit(1.0 / EVIDENCE_POWER))))
 
-    A document fails if it fails the base rules. The prior is a beta distribution
+
+def host_rates(measured: DataFrame, host: str = "host", failed: Column | None = None) -> DataFrame:
+    """One row per host: documents, failures, largest excess and the shrunk failure rate.
+
+    A document fails if it fails any rule, or as ``failed`` says. The prior is a beta distribution
     fitted to the hosts' rates by moments, each host weighted by its documents: the
     mean is the overall rate, the variance is what differs beyond chance. Hosts that
     differ by no more than chance share one rate. Null hosts count as one host.
     """
+    failed = base_failed() | strict_failed() if failed is None else failed
     counts = measured.groupBy(host).agg(
         F.count(F.lit(1)).alias("n_docs"),
-        F.sum(base_failed().cast("bigint")).alias("n_failed"),
+        F.sum(failed.cast("bigint")).alias("n_failed"),
+        F.max(excess()).alias("max_excess"),
     )
     counts = stored(counts, "host-counts")
     rate = F.col("n_failed") / F.col("n_docs")
@@ -154,8 +181,9 @@ def judge_documents(
 ) -> DataFrame:
     """All columns of ``docs`` with the five measures, ``base_failed`` and ``kept``.
 
-    ``kept`` is false for documents that fail a base rule, and in hosts whose shrunk
-    failure rate reaches ``suspect_rate`` for those that fail a strict rule. A host's
+    ``kept`` is false for documents that fail a base rule, and for those that exceed a
+    strict rule's limit more often than their host may (``excess_limit``): once where the
+    shrunk failure rate reaches ``suspect_rate``, ``GROSS`` times anywhere. A host's
     verdict never rejects a document that passes every rule. Null texts have no words
     and fail; null hosts are judged together as one host; repeated rows are judged
     alike and all stay rows; an empty table stays empty. Columns of the input that are
@@ -165,10 +193,14 @@ def judge_documents(
     """
     narrow = plain_columns(docs, host=host_col, text=text_col)
     measured = narrow.select("host", _measures("text").alias("m")).select("host", "m.*")
-    suspects = (
-        host_rates(measured).filter(F.col("rate") >= suspect_rate).select("host")
+    # only hosts with a document over their limit are listed
+    limits = (
+        host_rates(measured)
+        .select("host", "max_excess", excess_limit(F.col("rate"), suspect_rate).alias("limit"))
+        .filter(F.col("max_excess") > F.col("limit"))
+        .select("host", "limit")
     )
-    return _judged(docs, text_col, host_col, suspects, max_broadcast)
+    return _judged(docs, text_col, host_col, limits, max_broadcast)
 
 
 def judge_measured(
@@ -177,10 +209,14 @@ def judge_measured(
     suspect_rate: float = SUSPECT_RATE,
     max_broadcast: int = MAX_BROADCAST_HOSTS,
 ) -> DataFrame:
-    """The same verdicts for rows that carry their measures already."""
-    rates = host_rates(measured.withColumnRenamed(host_col, "host"))
-    suspects = rates.filter(F.col("rate") >= suspect_rate).select("host")
-    return _verdicts(measured, host_col, suspects, max_broadcast)
+    """The verdicts of the query's SQL, for rows that carry their measures already.
+
+    There only base failures count for a host, and strict rules bind only where the
+    shrunk rate reaches ``suspect_rate``.
+    """
+    rates = host_rates(measured.withColumnRenamed(host_col, "host"), failed=base_failed())
+    limits = rates.filter(F.col("rate") >= suspect_rate).select("host", F.lit(1.0).alias("limit"))
+    return _verdicts(measured, host_col, limits, max_broadcast)
 
 
 def document_measures(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
@@ -199,29 +235,29 @@ def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source")
     return judged.filter("kept").select(*(F.col(f"`in_{c}`").alias(c) for c in names))
 
 
-def _judged(docs, text_col, host_col, suspects, max_broadcast) -> DataFrame:
+def _judged(docs, text_col, host_col, limits, max_broadcast) -> DataFrame:
     results = (*MEASURES, "base_failed", "kept")
     kept = docs.select(
         *(F.col(f"`{c}`") for c in docs.columns if c not in results),
         _measures(F.col(f"`{text_col}`")).alias(f"{PREFIX}m"),
     )
     measured = kept.select("*", f"{PREFIX}m.*").drop(f"{PREFIX}m")
-    return _verdicts(measured, host_col, suspects, max_broadcast)
+    return _verdicts(measured, host_col, limits, max_broadcast)
 
 
-def _verdicts(measured, host_col, suspects, max_broadcast) -> DataFrame:
-    suspect = f"{PREFIX}suspect"
+def _verdicts(measured, host_col, limits, max_broadcast) -> DataFrame:
+    limit = f"{PREFIX}limit"
     key = F.coalesce(F.concat(F.lit("h"), F.col(f"`{host_col}`").cast("string")), F.lit("null"))
-    listed = suspects.select(
+    listed = limits.select(
         F.coalesce(F.concat(F.lit("h"), F.col("host").cast("string")), F.lit("null")).alias(
             f"{PREFIX}host"
         ),
-        F.lit(True).alias(suspect),
+        F.col("limit").alias(limit),
     )
     rows = measured.withColumn(f"{PREFIX}host", key)
     n = len(listed.take(max_broadcast + 1))
     if n == 0:
-        joined = rows.withColumn(suspect, F.lit(None).cast("boolean"))
+        joined = rows.withColumn(limit, F.lit(None).cast("double"))
     elif n <= max_broadcast:
         joined = rows.join(F.broadcast(listed), f"{PREFIX}host", "left")
     else:  # every host's documents go to HOST_SALTS keys
@@ -233,6 +269,6 @@ def _verdicts(measured, host_col, suspects, max_broadcast) -> DataFrame:
             salted, [f"{PREFIX}host", f"{PREFIX}salt"], "left"
         )
     verdict = joined.withColumn("base_failed", base_failed()).withColumn(
-        "kept", ~F.col("base_failed") & ~(F.coalesce(suspect, F.lit(False)) & strict_failed())
+        "kept", ~F.col("base_failed") & ~F.coalesce(excess() > F.col(limit), F.lit(False))
     )
-    return verdict.drop(f"{PREFIX}host", suspect, f"{PREFIX}salt")
+    return verdict.drop(f"{PREFIX}host", limit, f"{PREFIX}salt")
