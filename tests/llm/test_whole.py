@@ -7,7 +7,7 @@ import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import host_rules, simhash
+from tidemark.llm import decontaminate, host_rules, simhash
 
 TABLES, SMALL = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
 
@@ -100,3 +100,37 @@ def test_links_of_sets():
         if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b])):
             want = [want[a] if r == want[b] else r for r in want]
     assert [root.index(r) for r in root] == [want.index(r) for r in want]
+
+
+# --- decontamination
+
+
+def test_partial_passages_at_every_offset():
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(45)]
+    item = " ".join(words)
+    index = decontaminate.build_index([("i", item), ("j", "zz " * 30)])
+    lead, tail = "klmno pqrs " * 9, " tuv wxyz" * 9
+    for size in (64, 75):
+        for at in range(len(item) - size):
+            passage = item[at : at + size].strip()
+            if len(passage) < 64:
+                continue
+            changed = passage[:20] + "Q" + passage[21:40] + passage[41:]
+            for text in (passage, changed):
+                found = decontaminate.leaks_of_texts([lead + text + tail, lead + tail], index)
+                assert list(found) == [(0, 0)], (size, at)
+    assert not decontaminate.leaks_of_texts([lead + item[5:50] + tail], index)
+
+
+def test_short_items_are_whole_words(monkeypatch):
+    items = [(1, "Go 7!"), (2, "a"), (3, "what is the capital of"), (4, "x" * 40)]
+    index = decontaminate.build_index(items)
+    texts = ["we go, 7 times", "go 77", "ergo 7", "A", "ab", None, "go", "7", "So: what is--the CAPITAL of France?", "whatis the capital of"]
+    found = decontaminate.leaks_of_texts(texts, index)
+    assert set(found) == {(0, 0), (3, 1), (8, 2)}
+    assert found[0, 0][0][1:] == (0, 3, 8)
+    monkeypatch.setattr(decontaminate, "SEGMENT", 500)
+    for lead in range(470, 520):
+        inside = decontaminate.leaks_of_texts(["b" * lead + "a" + "b" * 6000, "b" * lead + " a " + "b" * 6000], index)
+        assert list(inside) == [(1, 1)]

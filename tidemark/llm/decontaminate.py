@@ -1,9 +1,10 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Benchmark items are cut into overlapping windows. A text region within ``k`` edits of a
+Every window of a benchmark item is searched, from each of its characters on. A text region within ``k`` edits of a
 window of ``m`` characters shares at least ``m + 1 - q (k + 1)`` character q-grams with
 it, all on ``k + 1`` neighbouring diagonals. Shared q-grams are counted in overlapping
-diagonal bands; bands that meet the bound are verified by banded alignment.
+diagonal bands; windows that meet the bound are verified by banded alignment. Items too
+short for that are searched as whole words.
 """
 
 from __future__ import annotations
@@ -21,9 +22,8 @@ from tidemark.llm.common import PREFIX, plain_columns
 
 Q = 8
 WINDOW = 64
-STEP = 32
 EDIT_RATE = 0.1
-# Items with fewer normalised characters are too short to tell a leak from chance.
+# Items with fewer normalised characters only count as exact runs of whole words.
 MIN_CHARS = 32
 # Characters of benchmark text whose index one pass over the texts carries along.
 BLOCK_CHARS = 4_000_000
@@ -79,75 +79,95 @@ def gram_hashes(chars: np.ndarray, q: int = Q) -> np.ndarray:
 
 @dataclass
 class Index:
-    """q-grams of all windows of a block of benchmark items."""
+    """q-grams of a block of benchmark items; a window's number is the place it starts at."""
 
     items: list  # item id by item number
-    item_of: np.ndarray  # item number by window
-    offset: np.ndarray  # first character of the window within the item
-    size: np.ndarray
+    text: np.ndarray  # the items' characters, one item after the other, and a window of zeros
+    item_of: np.ndarray  # item number by place
+    start: np.ndarray  # an item's first place, by item number
+    length: np.ndarray
+    size: np.ndarray  # characters of each of the item's windows
     budget: np.ndarray
     needed: np.ndarray
-    chars: np.ndarray  # all windows, one row each, padded with zeros
     grams: np.ndarray  # sorted different q-gram hashes
     first: np.ndarray  # start of each gram's entries, and the end
-    window: np.ndarray
     place: np.ndarray
     seen: np.ndarray  # filter on the hashes' high bits
     q: int
+    short: dict  # sorted hashes and places of the items under the least size, by their size
+
+    @property
+    def chars(self) -> np.ndarray:
+        """All windows, one row each."""
+        return np.lib.stride_tricks.sliding_window_view(self.text, len(self.text) - len(self.item_of) + 1)
+
+    @property
+    def of_windows(self) -> np.ndarray:
+        return self.length - self.size + 1
 
 
 def build_index(
     items: list[tuple[object, str]],
     q: int = Q,
     window: int = WINDOW,
-    step: int = STEP,
     rate: float = EDIT_RATE,
     min_chars: int = MIN_CHARS,
 ) -> Index | None:
-    rows, ids = [], []
+    texts, ids = [], []
     for item_id, text in items:
         chars, _ = normalize((text or "").strip())
         chars = chars[1:] if len(chars) and chars[0] == 32 else chars
         chars = chars[:-1] if len(chars) and chars[-1] == 32 else chars
-        if len(chars) < min_chars:
-            continue
-        starts = list(range(0, max(len(chars) - window, 0) + 1, step))
-        if starts[-1] + window < len(chars):
-            starts.append(len(chars) - window)
-        rows += [(len(ids), at, chars[at : at + window]) for at in starts]
-        ids.append(item_id)
-    if not rows:
+        if len(chars):
+            texts.append(chars)
+            ids.append(item_id)
+    if not texts:
         return None
-    size = np.array([len(r[2]) for r in rows])
+    length = np.array([len(t) for t in texts])
+    start = np.cumsum(length) - length
+    size = np.where(length < min_chars, length, np.minimum(length, window))
     budget = (size * rate).astype(int)
     budget = np.minimum(budget, np.maximum((size - q) // q, 0))  # the lemma needs one gram
-    grams = [gram_hashes(r[2], q) for r in rows]
-    numbers = np.repeat(np.arange(len(rows)), [len(g) for g in grams])
-    places = np.concatenate([np.arange(len(g)) for g in grams])
-    hashes = np.concatenate(grams)
+    budget[length < min_chars] = 0
+    long = [(gram_hashes(t, q), at) for t, at in zip(texts, start.tolist()) if len(t) >= min_chars]
+    hashes = np.concatenate([np.empty(0, np.uint64), *(g for g, _ in long)])
+    places = np.concatenate([np.empty(0, np.int64), *(np.arange(at, at + len(g)) for g, at in long)])
     order = np.argsort(hashes, kind="stable")
     hashes = hashes[order]
     distinct, first = np.unique(hashes, return_index=True)
     seen = np.zeros(1 << _FILTER_BITS, bool)
     seen[distinct >> np.uint64(64 - _FILTER_BITS)] = True
-    padded = np.zeros((len(rows), int(size.max())), np.uint32)
-    for i, row in enumerate(rows):
-        padded[i, : len(row[2])] = row[2]
+    short = {}
+    for n in sorted(set(length[length < min_chars].tolist())):
+        at = start[length == n]
+        found = np.concatenate([gram_hashes(_spaced(texts[i]), n + 2) for i in np.flatnonzero(length == n)])
+        by_hash = np.argsort(found, kind="stable")
+        short[n] = found[by_hash], at[by_hash]
     return Index(
-        ids, np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), size, budget,
-        size + 1 - q * (budget + 1), padded, distinct, np.append(first, len(hashes)),
-        numbers[order], places[order], seen, q,
+        ids, np.concatenate([*texts, np.zeros(max(window, int(size.max())) - 1, np.uint32)]),
+        np.repeat(np.arange(len(ids)), length), start, length, size, budget,
+        size + 1 - q * (budget + 1), distinct, np.append(first, len(hashes)), places[order], seen, q, short,
     )
 
 
+def _spaced(chars: np.ndarray) -> np.ndarray:
+    """The text between spaces, ends of texts turned into spaces."""
+    padded = np.full(len(chars) + 2, 32, np.uint32)
+    padded[1:-1] = np.where(chars == 0, 32, chars)
+    return padded
+
+
 def band_candidates(chars: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
     """Windows and lowest diagonals of the bands with enough shared q-grams.
 
     A band is ``2 (k + 1)`` diagonals wide and starts at every ``k + 1``-th, so any
-    ``k + 1`` neighbouring diagonals lie within one band.
+    ``k + 1`` neighbouring diagonals lie within one band. In each band of an item the
+    shared q-grams are in order of their place, so those of a window follow each other.
     """
     none = np.empty(0, np.int64), np.empty(0, np.int64)
     hashes = gram_hashes(chars, index.q)
+    if not len(index.grams):
+        return none
     maybe = np.flatnonzero(index.seen[hashes >> np.uint64(64 - _FILTER_BITS)])
     found = np.searchsorted(index.grams, hashes[maybe])
     found[found == len(index.grams)] = 0
@@ -158,17 +178,46 @@ def band_candidates(chars: np.ndarray, index: Index) -> tuple[np.ndarray, np.nda
     counts = index.first[gram + 1] - index.first[gram]
     ends = np.cumsum(counts)
     entry = np.arange(ends[-1]) - np.repeat(ends - counts - index.first[gram], counts)
-    window = index.window[entry]
-    # diagonals start at the window's size below the text, to stay positive
-    pitch = index.budget[window] + 1
-    band = (np.repeat(at, counts) - index.place[entry] + index.size[window]) // pitch
-    bands = int(band.max()) + 2
-    keys = window * bands + band + 1
-    keys, number = np.unique(np.concatenate([keys, keys - 1]), return_counts=True)
-    window = keys // bands
-    enough = number >= index.needed[window]
-    window, band = window[enough], keys[enough] % bands - 1
-    return window, band * (index.budget[window] + 1) - index.size[window]
+    place = index.place[entry]
+    item = index.item_of[place]
+    place = place - index.start[item]
+    # diagonals start at the item's length below the text, to stay positive
+    band = (np.repeat(at, counts) - place + index.length[item]) // (index.budget[item] + 1)
+    bands, longest = int(band.max()) + 2, int(index.length.max())
+    keys = (item * bands + band + 1) * longest + place
+    keys = np.sort(np.concatenate([keys, keys - longest]))
+    group, place = np.divmod(keys, longest)
+    item, band = group // bands, group % bands - 1
+    last = np.arange(len(keys)) + index.needed[item] - 1
+    inside = last < len(keys)
+    i, last = np.flatnonzero(inside), last[inside]
+    reach = (index.size - index.q)[item[i]]
+    enough = (group[last] == group[i]) & (place[last] - place[i] <= reach)
+    i, last, reach = i[enough], last[enough], reach[enough]
+    if not len(i):
+        return none
+    # every window that holds the q-grams from i to last
+    low = np.maximum(place[last] - reach, 0)
+    high = np.minimum(place[i], (index.length - index.size)[item[i]])
+    wide = np.maximum(high - low + 1, 0)
+    offset = np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide - low, wide)
+    group, offset = np.divmod(np.unique(np.repeat(group[i], wide) * longest + offset), longest)
+    item, band = group // bands, group % bands - 1
+    return index.start[item] + offset, band * (index.budget[item] + 1) - index.length[item] + offset
+
+
+def whole_words(chars: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
+    """``window, first, end, 0`` of every short item between spaces or ends of texts."""
+    leaks = []
+    padded = _spaced(chars) if index.short else chars
+    for n, (hashes, places) in index.short.items():
+        grams = gram_hashes(padded, n + 2)
+        low, high = np.searchsorted(hashes, grams), np.searchsorted(hashes, grams, "right")
+        for first in np.flatnonzero(low < high).tolist():
+            for place in places[low[first] : high[first]].tolist():
+                if np.array_equal(chars[first : first + n], index.text[place : place + n]):
+                    leaks.append((place, first, first + n, 0))
+    return leaks
 
 
 def align(
@@ -206,21 +255,21 @@ def align(
 def find_leaks(chars: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
     """``window, first, end, edits`` of every verified region of normalised text."""
     window, low = band_candidates(chars, index)
-    if not len(window):
-        return []
-    leaks = []
+    leaks = whole_words(chars, index)
+    rows, broad = index.chars, index.chars.shape[1]
     for part in range(0, len(window), 1 << 14):
         w, lo = window[part : part + (1 << 14)], low[part : part + (1 << 14)]
-        edits, end = align(chars, index.chars[w], index.size[w], lo, 2 * (index.budget[w] + 1))
-        good = edits <= index.budget[w]
-        w, edits, end = w[good], edits[good], end[good]
+        item = index.item_of[w]
+        size, budget = index.size[item], index.budget[item]
+        edits, end = align(chars, rows[w], size, lo, 2 * (budget + 1))
+        end = np.minimum(end, len(chars))  # edits at a text's end may reach over it
+        good = edits <= budget
+        w, edits, end, size, budget = w[good], edits[good], end[good], size[good], budget[good]
         if not len(w):
             continue
         # the start: the window backwards, from the end found
-        size, budget = index.size[w], index.budget[w]
-        backwards = np.zeros_like(index.chars[w])
-        for row, (number, length) in enumerate(zip(w.tolist(), size.tolist())):
-            backwards[row, :length] = index.chars[number, :length][::-1]
+        turned = np.maximum(size[:, None] - 1 - np.arange(broad), 0)
+        backwards = np.take_along_axis(rows[w], turned, axis=1)
         mirrored = len(chars) - end
         _, far_end = align(chars[::-1], backwards, size, mirrored, budget + 1)
         first = np.maximum(len(chars) - far_end, 0)
@@ -260,8 +309,14 @@ def leaks_of_texts(texts: list[str | None], index: Index) -> dict[tuple[int, int
         for window, first, end, edits in leaks:
             from_place, to_place = int(places[first]), int(places[end - 1]) + 1
             k = int(np.searchsorted(starts, from_place, "right")) - 1
-            number, offset, _ = group[k]
+            number, offset, piece = group[k]
             shift = offset - int(starts[k])
+            if index.length[index.item_of[window]] < MIN_CHARS:
+                # a word may go on in the segment before or after, which has it whole
+                cut_left = offset and from_place == starts[k]
+                cut_right = offset + len(piece) < len(texts[number]) and to_place == starts[k] + len(piece)
+                if cut_left or cut_right:
+                    continue
             known = found.setdefault((number, int(index.item_of[window])), {})
             row = (edits, from_place + shift, to_place + shift)
             known[window] = min(row, known.get(window, row))
@@ -291,13 +346,14 @@ def contaminated_items(
 ) -> DataFrame:
     """One row per document row and benchmark item found in it.
 
+    A window is any 64 normalised characters of an item, or the whole of a shorter one.
     Returns the ids, ``n_windows`` found of ``of_windows``, ``start`` and ``end`` (code
     points of the whole text that the found windows span) and the fewest ``edits`` of a
     window. A window is found where the normalised text (letters and digits in lower
     case, everything else one space) is within a tenth of its characters in edits.
 
-    Null and empty texts hold nothing; items under 32 normalised characters are not
-    searched; repeated rows give repeated results; equal items each give a row; null
+    Null and empty texts hold nothing; items under 32 normalised characters are searched
+    as exact runs of whole words; repeated rows give repeated results; equal items each give a row; null
     ids are kept. Texts are read whole and in place, without a shuffle, once per block
     of ``block_chars`` benchmark characters, which bounds what is broadcast.
     """
@@ -331,7 +387,7 @@ def _search(spark: SparkSession, index: Index):
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        of_windows = np.bincount(index.item_of)
+        of_windows = index.of_windows
         for batch in batches:
             leaks = leaks_of_texts(batch.column(1).to_pylist(), index)
             if not leaks:
