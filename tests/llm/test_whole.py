@@ -7,7 +7,7 @@ import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, host_rules, simhash
+from tidemark.llm import decontaminate, host_rules, html_render, simhash
 
 TABLES, SMALL = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
 
@@ -134,3 +134,40 @@ def test_short_items_are_whole_words(monkeypatch):
     for lead in range(470, 520):
         inside = decontaminate.leaks_of_texts(["b" * lead + "a" + "b" * 6000, "b" * lead + " a " + "b" * 6000], index)
         assert list(inside) == [(1, 1)]
+
+
+# --- pages
+
+
+def test_sheets_that_do_not_hold_hide_nothing():
+    for sheet in (
+        "<style>@media print { .x { display:none } }</style>",
+        "<style>@media (max-width:600px) { .y{color:red} .x { display:none } }</style>",
+        "<style media=print>.x{display:none}</style>",
+        "<style>@media not screen{.x{display:none}} @keyframes k{from{display:none}} @page{display:none}</style>",
+        "<style>.x{display:none} .x{display:block}</style>",
+        "<style>#i{visibility:hidden}</style><style>#i{visibility:visible}</style>",
+        "<style>.x{display:none}</style><style>p.x{display:block} .x{display:none}</style>",
+        "<style>.x{display:none !important} .x{display:block!important}</style>",
+        "<style>.x{content:'}';color:red;&:hover{display:none}}</style>",
+        "<style>.x{display:block}</style><style>@supports not (display:grid){.x{display:none}}</style>",
+    ):
+        assert html_render.visible_text(sheet + "<p class=x id=i>seen") == "seen", sheet
+    assert html_render.visible_text("<style>.x{display:none}</style><p class=x style='display:block'>seen") == "seen"
+    assert html_render.visible_text("<p hidden style='display:block'>seen") == "seen"
+    assert html_render.visible_text("<div style='visibility:hidden'>no<ul><li>no<li style='visibility:visible'>yes</ul></div>") == "- yes"
+
+
+def test_sheets_that_hold_hide():
+    for sheet in (
+        "<style>@media screen and (min-width:600px) { .x { display:none } }</style>",
+        "<style>@import 'a.css'; @media all{@supports (display:grid){p{display:none}}}</style>",
+        "<style media='only screen'>.x{display:none}</style>",
+        "<style>.x{display:none!important} #i{display:block}</style>",
+        "<style>.x{display:block} /* {} */ .x{display:none}</style>",
+        "<style>#i{visibility:hidden} .x{visibility:visible}</style>",
+        "<style>.x{display:none",
+    ):
+        page = sheet + "</style><p class=x id=i>gone</p>and <b>more</b>"
+        assert html_render.visible_text(page) == "and more", sheet
+    assert html_render.visible_text("<style>.x{display:none!important}</style><p class=x style='display:block'>gone") == ""

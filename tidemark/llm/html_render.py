@@ -62,9 +62,11 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
-_INVISIBLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_SIMPLE = re.compile(r"^(?:([a-zA-Z][\w-]*)|\.([\w-]+)|\#([\w-]+))$")
+_CSS = re.compile(r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[{};]""", re.DOTALL)
+_COMPOUND = re.compile(r"(?:\*|[a-zA-Z][\w-]*)?(?:[.#][\w-]+)*")
+_WIDTH = re.compile(r"\(\s*(min|max)-width\s*:\s*([0-9.]+)\s*(px|em|rem)\s*\)")
+# The page is shown on a screen of this many pixels across.
+SCREEN_WIDTH = 1280
 
 
 class Node:
@@ -196,38 +198,153 @@ def parse(source: str) -> Node:
     return builder.root
 
 
-def hiding_rules(root: Node) -> tuple[set[str], set[str], set[str]]:
-    """Tags, classes and ids that the page's style sheets hide by a simple selector."""
-    tags, classes, ids = set(), set(), set()
-    stack: list[Node] = [root]
-    while stack:
-        node = stack.pop()
-        if node.tag == "style":
-            sheet = re.sub(r"/\*.*?\*/", "", "".join(c for c in node.children if isinstance(c, str)), flags=re.S)
-            for selectors, body in _RULE.findall(sheet):
-                if _INVISIBLE.search(body):
-                    for selector in selectors.split(","):
-                        simple = _SIMPLE.match(selector.strip())
-                        if simple:
-                            for found, kind in zip(simple.groups(), (tags, classes, ids)):
-                                if found:
-                                    kind.add(found)
-        stack += [c for c in node.children if isinstance(c, Node)]
-    return tags, classes, ids
-
-
-def visible(node: Node, rules: tuple[set[str], set[str], set[str]]) -> bool:
-    attrs = node.attrs
-    if node.tag in HIDDEN or "hidden" in attrs:
-        return False
-    if node.tag == "input" or (node.tag == "dialog" and "open" not in attrs):
-        return False
-    if "style" in attrs and _INVISIBLE.search(attrs["style"]):
-        return False
-    tags, classes, ids = rules
-    if node.tag in tags or attrs.get("id") in ids:
+def css_blocks(sheet: str) -> Iterator[tuple[str, str]]:
+    """Preludes and contents of the outer blocks of a style sheet."""
+    depth = start = body = 0
+    prelude = ""
+    for match in _CSS.finditer(sheet):
+        mark = match[0]
+        if mark == "{":
+            if not depth:
+                prelude, body = sheet[start : match.start()].strip(), match.end()
+            depth += 1
+        elif mark == "}":
+            depth = max(depth - 1, 0)
+            if not depth:
+                if body:
+                    yield prelude, sheet[body : match.start()]
+                start, body = match.end(), 0
+        elif mark == ";" and not depth:
+            start = match.end()
+    if depth:
+        yield prelude, sheet[body:]
+
+
+def on_screen(media: str) -> bool:
+    """Whether a media query list holds on a wide screen; features not known do not hold."""
+
+    def holds(part: str) -> bool:
+        if part in ("all", "screen"):
+            return True
+        width = _WIDTH.fullmatch(part)
+        if not width:
+            return False
+        pixels = float(width[2].strip(".") or 0) * (1 if width[3] == "px" else 16)
+        return SCREEN_WIDTH >= pixels if width[1] == "min" else SCREEN_WIDTH <= pixels
+
+    def query(text: str) -> bool:
+        if text.startswith("not "):
+            return not query(text[4:].strip())
+        return all(holds(part.strip()) for part in text.removeprefix("only ").split(" and "))
+
+    return not media.strip() or any(query(" ".join(q.split())) for q in media.lower().split(","))
+
+
+def _declarations(body: str) -> Iterator[tuple[str, str, bool]]:
+    """``display`` and ``visibility`` of a block, and whether they are important."""
+    if "{" in body:  # rules nested in a rule are left out
+        depth, start, kept = 0, 0, []
+        for match in _CSS.finditer(body):
+            if match[0] == "{":
+                depth += 1
+            elif match[0] == "}":
+                depth -= 1
+                start = match.end() if depth <= 0 else start
+            elif match[0] == ";" and depth <= 0:
+                kept.append(body[start : match.start()])
+                start = match.end()
+        body = ";".join([*kept, body[start:] if depth <= 0 else ""])
+    for declaration in body.split(";"):
+        name, colon, value = declaration.partition(":")
+        name, value = name.strip().lower(), value.strip().lower()
+        if colon and name in ("display", "visibility"):
+            value, mark, important = value.partition("!")
+            if value.strip() and (not mark or important.strip() == "important"):
+                yield name, value.strip(), bool(mark)
+
+
+class Styles:
+    """What a page's style sheets say about ``display`` and ``visibility``.
+
+    Selectors of one element (tag, classes, ids) are known; others are left out.
+    """
+
+    def __init__(self, root: Node):
+        self.rules: dict[str, list] = {}  # by the selector's last id, class or tag
+        self.shows = False  # something may be visible inside what is not
+        self.order = 0
+        stack: list[Node] = [root]
+        while stack:
+            node = stack.pop()
+            if node.tag == "style" and on_screen(node.attrs.get("media", "")):
+                self._read("".join(c for c in node.children if isinstance(c, str)))
+            if "style" in node.attrs:
+                self._note(_declarations(node.attrs["style"]))
+            stack += [c for c in reversed(node.children) if isinstance(c, Node)]
+
+    def _note(self, found) -> list:
+        found = list(found)
+        self.shows |= any(name == "visibility" and value == "visible" for name, value, _ in found)
+        return found
+
+    def _read(self, sheet: str) -> None:
+        sheet = re.sub(r"/\*.*?(?:\*/|\Z)|<!--|-->", " ", sheet, flags=re.S)
+        open_blocks = [css_blocks(sheet)]
+        while open_blocks:
+            block = next(open_blocks[-1], None)
+            if block is None:
+                open_blocks.pop()
+                continue
+            prelude, body = block
+            if prelude.startswith("@"):
+                name, _, condition = prelude[1:].replace("(", " (", 1).partition(" ")
+                condition = condition.strip().lower()
+                if (
+                    (name.lower() == "media" and on_screen(condition))
+                    or (name.lower() == "supports" and not condition.startswith("not"))
+                    or name.lower() == "layer"
+                ):
+                    open_blocks.append(css_blocks(body))
+                continue
+            found = self._note(_declarations(body)) if re.search("display|visibility", body, re.I) else ()
+            for selector in prelude.split(",") if found else ():
+                selector = selector.strip()
+                if not selector or not _COMPOUND.fullmatch(selector):
+                    continue
+                tag, *parts = re.split(r"(?=[.#])", selector)
+                key = parts[-1] if parts else tag.lower()
+                ids = sum(part[0] == "#" for part in parts)
+                rank = (ids, len(parts) - ids, tag not in ("", "*"))
+                self.order += 1
+                self.rules.setdefault(key, []).append((tag.lower(), frozenset(parts), rank, self.order, found))
+
+    def of(self, node: Node) -> tuple[str, str]:
+        """``display`` and ``visibility`` of an element, empty where nothing is said."""
+        inline = node.attrs.get("style")
+        if not self.rules and not inline:
+            return "", ""
+        names = {f".{c}" for c in node.attrs.get("class", "").split()}
+        if node.attrs.get("id"):
+            names.add("#" + node.attrs["id"])
+        best: dict[str, tuple] = {}
+        for key in ("*", node.tag, *names):
+            for tag, parts, rank, order, found in self.rules.get(key, ()):
+                if tag in ("", "*", node.tag) and parts <= names:
+                    for place, (name, value, important) in enumerate(found):
+                        weight = (important, False, rank, order, place)
+                        best[name] = max(best.get(name, (weight, value)), (weight, value))
+        for place, (name, value, important) in enumerate(_declarations(inline or "")):
+            weight = (important, True, (0, 0, False), 0, place)
+            best[name] = max(best.get(name, (weight, value)), (weight, value))
+        return tuple(best[n][1] if n in best else "" for n in ("display", "visibility"))
+
+
+def displayed(node: Node, display: str) -> bool:
+    if node.tag in HIDDEN or node.tag == "input":
         return False
-    return not classes or classes.isdisjoint(attrs.get("class", "").split())
+    if display:
+        return display != "none"
+    return "hidden" not in node.attrs and (node.tag != "dialog" or "open" in node.attrs)
 
 
 class Flow:
@@ -359,30 +476,40 @@ def layout_table(rows: list[list[tuple[Node, list[str]]]]) -> list[str]:
 
 def render(root: Node) -> str:
     """The page's visible text."""
-    rules = hiding_rules(root)
+    styles = Styles(root)
     flow = Flow()
     flows = [flow]
     tables: list[list[list[tuple[Node, list[str]]]]] = []
     lists: list[list] = []  # [ordered, next number]
-    stack: list[tuple[Node | str, bool]] = [(root, False)]
+    stack: list[tuple[Node | str, bool, bool]] = [(root, False, True)]
     while stack:
-        node, leaving = stack.pop()
+        node, leaving, seen = stack.pop()
         flow = flows[-1]
         if isinstance(node, str):
-            flow.text(node)
+            if seen:
+                flow.text(node)
             continue
         tag = node.tag
         cell = tag in ("td", "th") and bool(tables) and bool(tables[-1])
         if not leaving:
-            if not visible(node, rules):
+            display, visibility = styles.of(node)
+            if not displayed(node, display):
+                continue
+            if visibility in ("hidden", "collapse"):
+                seen = False
+            elif visibility in ("visible", "initial"):
+                seen = True
+            if not seen and not styles.shows:
                 continue
             if tag == "br":
-                flow.line_break()
+                if seen:
+                    flow.line_break()
                 continue
             if tag in BLOCKS:
                 flow.block(1 if tag in SPACED and not (tag in ("ul", "ol", "menu") and lists) else 0)
             if tag == "hr":
-                flow.raw(["---"])
+                if seen:
+                    flow.raw(["---"])
                 flow.block(1)
                 continue
             if tag in ("ul", "ol", "menu"):
@@ -392,8 +519,9 @@ def render(root: Node) -> str:
                 ordered, number = lists[-1] if lists else (False, 1)
                 if lists:
                     lists[-1][1] += 1
-                flow.marker = f"{number}. " if ordered else "- "
-                flow.indents.append(" " * len(flow.marker))
+                marker = f"{number}. " if ordered else "- "
+                flow.marker = marker if seen else ""
+                flow.indents.append(" " * len(marker))
             elif tag in ("dd", "blockquote"):
                 flow.indents.append("  ")
             elif tag in ("pre", "textarea"):
@@ -404,7 +532,7 @@ def render(root: Node) -> str:
                 tables[-1].append([])
             elif cell:
                 flows.append(Flow())
-            stack.append((node, True))
+            stack.append((node, True, seen))
             children = node.children
             if tag == "details" and "open" not in node.attrs:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"]
@@ -412,7 +540,7 @@ def render(root: Node) -> str:
                 children = [children[0][1:], *children[1:]]
             elif tag in ("table", "tr", "thead", "tbody", "tfoot"):
                 children = [c for c in children if isinstance(c, Node) or c.strip()]
-            stack.extend((c, False) for c in reversed(children))
+            stack.extend((c, False, seen) for c in reversed(children))
             continue
         if cell:
             lines = flows.pop().finish()
