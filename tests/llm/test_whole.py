@@ -7,7 +7,7 @@ import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, host_rules, html_render, simhash
+from tidemark.llm import decontaminate, host_rules, html_render, pii, simhash
 
 TABLES, SMALL = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
 
@@ -171,3 +171,39 @@ def test_sheets_that_hold_hide():
         page = sheet + "</style><p class=x id=i>gone</p>and <b>more</b>"
         assert html_render.visible_text(page) == "and more", sheet
     assert html_render.visible_text("<style>.x{display:none!important}</style><p class=x style='display:block'>gone") == ""
+
+
+# --- personal data
+
+
+def test_values_behind_and_inside_others_are_found():
+    there, back = pii.Pseudonymizer("k"), pii.Pseudonymizer("k", inverse=True)
+    card = "4111 1111 1111 1111"
+    for text, expected in (
+        ("born 1985-04-12T09:30:00Z", ["date"]),
+        ("at 1985-04-12T093000Z", ["date"]),
+        (f"+44 20 7946 0958 {card}", ["card", "phone"]),
+        (f"BE68 5390 0754 7034 {card}", ["card", "iban"]),
+        (f"AB12 {card}", ["card"]),
+        (f"9999 {card}", ["card"]),
+    ):
+        new, kinds = there.text(text)
+        assert sorted(kinds) == expected and back.text(new)[0] == text, text
+        assert card not in new and "1985-04-12" not in new
+    for text in ("1985-04-12x", "1985-04-12Test", "1985-04-123", "10.0.0.1.2024-01-01"):
+        assert there.text(text) == (text, [])
+
+
+def test_dates_are_linked_in_every_spelling():
+    there, back = pii.Pseudonymizer("k"), pii.Pseudonymizer("k", inverse=True)
+    images = set()
+    for day in ("2020-04-13", "1999-12-31", "2020-04-05"):
+        y, m, d = day.split("-")
+        spelled = [day, f"{y}/{m}/{d}", f"{d}.{m}.{y}", f"{m}/{d}/{y}"] + [f"{d}/{m}/{y}"] * (int(d) > 12)
+        new, kinds = there.text(" ".join(spelled))
+        assert len(kinds) == len(spelled) and back.text(new)[0] == " ".join(spelled)
+        y, m, d = new.split()[0].split("-")
+        want = [f"{y}-{m}-{d}", f"{y}/{m}/{d}", f"{d}.{m}.{y}", f"{m}/{d}/{y}"] + [f"{d}/{m}/{y}"] * (len(spelled) > 4)
+        assert new.split() == want
+        images.add(new.split()[0])
+    assert len(images) == 3

@@ -28,7 +28,7 @@ DEFAULT_KEY = "replace this key in production"
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
 
-# What a value looks like; the first alternative that fits at a place is checked.
+# What a value looks like; of the alternatives at a place the first that passes its check counts.
 _PATTERN = re.compile(
     r"""
       (?<![\w.+%-]) (?P<email> [\w.+%-]+ @ [A-Za-z0-9-]+ (?:\.[A-Za-z0-9-]+)* \.[A-Za-z]{2,} )
@@ -36,7 +36,7 @@ _PATTERN = re.compile(
     | (?<!\w) (?P<token> [0-9a-f]{32,128} | [0-9A-F]{32,128} ) (?!\w)
     | (?<![\w.]) (?P<ip> [0-9]{1,3} (?:\.[0-9]{1,3}){3} ) (?!\w|\.[0-9])
     | (?<![\w./-]) (?P<date> [0-9]{4}-[0-9]{2}-[0-9]{2} | [0-9]{4}/[0-9]{2}/[0-9]{2}
-        | [0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4} | [0-9]{1,2}/[0-9]{1,2}/[0-9]{4} ) (?![/-]?\w)
+        | [0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4} | [0-9]{1,2}/[0-9]{1,2}/[0-9]{4} ) (?![/-]?(?![Tt][0-9]{2})\w)
     | (?<![\w-]) (?P<ssn> [0-9]{3}-[0-9]{2}-[0-9]{4} ) (?![\w-])
     | (?<!\w) (?P<phone> \+1 [\ .-]? (?:\([0-9]{3}\)|[0-9]{3}) [\ .-]? [0-9]{3} [\ .-]? [0-9]{4}
         | \+[0-9]{1,3} [\ .-]? (?:\([0-9]{1,4}\)|[0-9]{1,4}) (?:[\ .-]?[0-9]{2,4}){2,4}
@@ -46,6 +46,11 @@ _PATTERN = re.compile(
     """,
     re.VERBOSE,
 )
+_KINDS = {
+    kind: re.compile(alternative, re.VERBOSE)
+    for alternative in re.split(r"\n    \| (?=\(\?<!)", _PATTERN.pattern)
+    for kind in re.findall(r"\(\?P<(\w+)>", alternative)
+}
 _MAY_HOLD = re.compile(r"[0-9@]").search
 
 
@@ -156,19 +161,18 @@ class Pseudonymizer:
 
     def _iban(self, value: str) -> str | None:
         number = lambda s: int("".join(str(int(c, 36)) for c in s))
-        head, tail = value, ""
+        head = value
         while True:  # the match may reach into the words behind
             plain = head.replace(" ", "")
             if 15 <= len(plain) <= 34 and number(plain[4:] + plain[:4]) % 97 == 1:
                 break
-            head, space, last = head.rpartition(" ")
+            head, space, _ = head.rpartition(" ")
             if not space:
                 return None
-            tail = space + last + tail
         body = self._permute_letters("iban" + plain[:2], plain[4:])
         check = 98 - number(body + plain[:2] + "00") % 97
         fresh = iter(f"{plain[:2]}{check:02d}{body}")
-        return "".join(c if c == " " else next(fresh) for c in head) + tail
+        return "".join(c if c == " " else next(fresh) for c in head)
 
     def _token(self, value: str) -> str | None:
         if value.isdigit() or value.isalpha():
@@ -202,11 +206,12 @@ class Pseudonymizer:
                 continue
             if not 0 <= number < DAYS:
                 return None
-            # a day-first date must not turn into one that reads month-first
-            day_first = order == (2, 1, 0) and mark == "/"
             narrow = any(len(f) == 1 for f in fields)
-            fits = lambda n: not day_first or datetime.date.fromordinal(FIRST_DAY + n).day > 12
-            fresh = datetime.date.fromordinal(FIRST_DAY + self._permute("date-late" if day_first else "date", DAYS, number, fits))
+            # days that cannot be months map among themselves, or a day-first date would
+            # turn into one that reads month-first; so do all other spellings of them
+            late = day > 12
+            fits = lambda n: n < DAYS and (datetime.date.fromordinal(FIRST_DAY + n).day > 12) == late
+            fresh = datetime.date.fromordinal(FIRST_DAY + self._permute("date", DAYS, number, fits))
             parts = {order[0]: f"{fresh.year}", order[1]: f"{fresh.month:02d}", order[2]: f"{fresh.day:02d}"}
             if narrow:
                 parts = {i: str(int(p)) for i, p in parts.items()}
@@ -222,12 +227,12 @@ class Pseudonymizer:
         return _refill(value, f"{number:09d}")
 
     def _phone(self, value: str) -> str | None:
-        head, tail = value, ""
+        head = value
         while len(_digits(head)) > 15:  # longer than any number: groups behind it
-            parts = re.fullmatch(r"(.*)([ .-][0-9]+)", head)
+            parts = re.fullmatch(r"(.*)[ .-][0-9]+", head)
             if parts is None:
                 return None
-            head, tail = parts[1], parts[2] + tail
+            head = parts[1]
         digits = _digits(head)
         country = re.match(r"\+([0-9]+)", head)
         kept = len(country[1]) if country else 0
@@ -235,7 +240,7 @@ class Pseudonymizer:
             kept = 1
         if not 7 <= len(digits) - kept <= 14:
             return None
-        return _refill(head, digits[:kept] + self._permute_digits("phone", digits[kept:])) + tail
+        return _refill(head, digits[:kept] + self._permute_digits("phone", digits[kept:]))
 
     def _card(self, value: str) -> str | None:
         digits = _digits(value)
@@ -252,16 +257,23 @@ class Pseudonymizer:
         if not text or not _MAY_HOLD(text):
             return text, []
         kinds: list[str] = []
-
-        def swap(match: re.Match) -> str:
-            kind = match.lastgroup
-            fresh = self._known(kind, match[0])
-            if fresh is None:
-                return match[0]
-            kinds.append(kind)
-            return fresh
-
-        return _PATTERN.sub(swap, text), kinds
+        parts: list[str] = []
+        done = at = 0
+        while match := _PATTERN.search(text, at):
+            start = match.start()
+            at = start + 1  # a match without a valid value may hold one farther on
+            for kind, pattern in _KINDS.items():
+                match = pattern.match(text, start)
+                fresh = self._known(kind, match[0]) if match else None
+                if fresh is None:
+                    continue
+                # a phone number or IBAN may end before the match does, and keeps its length
+                at = start + len(fresh) if kind in ("phone", "iban") else match.end()
+                kinds.append(kind)
+                parts += [text[done:start], fresh]
+                done = at
+                break
+        return "".join([*parts, text[done:]]), kinds
 
 
 _RESULT = T.StructType(
@@ -298,7 +310,9 @@ def pseudonymize(
     """All columns, the text with pseudonyms, and ``n_values`` and ``kinds`` of them.
 
     Kinds: email, iban, token (hexadecimal secrets), ip, date, ssn, phone, card. Values
-    that fail their check stay as they are, so do texts without values. Null texts stay
+    that fail their check stay as they are, so do texts without values; what follows a
+    value, or stands inside a failed one, is searched again. A date is linked in all its
+    spellings; whether its day is over 12 stays. Null texts stay
     null and empty ones empty; each row is handled alone, so repeated rows come out
     equal; columns of the input named like the two new ones are replaced. No shuffle.
     The key is ``key`` or the session's ``spark.tidemark.pii.key``.
