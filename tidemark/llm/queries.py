@@ -12,6 +12,7 @@ from tidemark.llm import (
     host_rules,
     html_render,
     licenses,
+    neighbours,
     pieces,
     pii,
     sharding,
@@ -119,6 +120,12 @@ def op10_decontaminate(spark: SparkSession, data_dir: str) -> DataFrame:
     return decontaminate.contaminated_items(_documents(spark, data_dir), benchmark)
 
 
+def op13_adaptive_ann(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every row whose id is divisible by 20."""
+    table = spark.read.parquet(f"{data_dir}/embeddings.parquet")
+    return neighbours.nearest(table, F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
@@ -130,4 +137,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_host_rules": op9_host_rules,
     "op10_decontaminate": op10_decontaminate,
+    "op13_adaptive_ann": op13_adaptive_ann,
 }
