@@ -54,10 +54,18 @@ def test_third_column_cuts_too(spark):
     assert rows(ordered.running_totals(df, ["k"], order, {"n": None}, 300), "id", "n") == rows(plain, "id", "n")
 
 
-def test_many_pieces_come_from_a_sorted_sample(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "SUMMARY_PIECES", 2)
-    monkeypatch.setattr(ordered, "ROWS_PER_CUT", 10)
-    df = table(spark, SHAPES["near 2**60"]).persist()
-    plain = ordered.running_totals(df, ["k"], ["ms", "id"], {"n": None}, 10**6)
-    cut = ordered.running_totals(df, ["k"], ["ms", "id"], {"n": None}, 300)
+def test_strings_cut_too(spark):
+    df = table(spark, SHAPES["two values"]).withColumn("name", F.concat(F.lit("n"), "id")).persist()
+    order = ["ms", "name"]
+    plain = ordered.running_totals(df, ["k"], order, {"n": None}, 10**6)
+    cut = ordered.running_totals(df, ["k"], order, {"n": None}, 300)
     assert rows(cut, "id", "n") == rows(plain, "id", "n")
+
+
+def test_cuts_are_neither_collected_nor_in_the_plan(spark):
+    df = table(spark, SHAPES["wide"]).persist()
+    cut = ordered.running_totals(df, ["k"], ["ms", "id"], {"n": None}, 30)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 20_000
+    few = ordered.running_totals(df, ["k"], ["ms", "id"], {"n": None}, 300)
+    assert abs(len(plan) - len(few._jdf.queryExecution().optimizedPlan().toString())) < 200

@@ -8,7 +8,8 @@ chunks before it add up to. Carries come from partial aggregates per chunk, so
 rows travel once and nothing is joined back. Without a large key the plan is the
 plain window.
 
-The order columns must be numeric, and together they should be unique per key.
+The order columns may be of any type that Spark sorts, and together they should be
+unique per key.
 """
 
 from __future__ import annotations
@@ -18,13 +19,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.session import enable_checkpoints
+from tidemark.session import enable_checkpoints, written
 
 # Rows one task may take from a single key.
 MAX_ROWS = 2_000_000
@@ -32,11 +30,6 @@ MAX_ROWS = 2_000_000
 ROWS_PER_KEY = 1000
 # More large keys than this stay in a checkpointed table, off the driver.
 MAX_LISTED_KEYS = 10_000
-# Sampled rows per cut point; more cut points than this come from a sorted sample.
-ROWS_PER_CUT = 200
-SUMMARY_PIECES = 8192
-# Whole numbers up to this are exact as doubles.
-EXACT = 1 << 53
 
 CHUNK = "_chunk"
 LARGE = "_large"
@@ -97,102 +90,19 @@ def _mark_large(df: DataFrame, keys: list[str], large: DataFrame) -> DataFrame:
     )
 
 
-def _digits(large: DataFrame, order: Sequence[str]) -> list[Column]:
-    """The order columns as doubles that lose nothing; null comes first.
-
-    Whole numbers count from the column's smallest value. Where they spread over more
-    than a double can hold, the high and the low 32 bits are a digit each.
-    """
-    whole = [c for c in order if isinstance(large.schema[c].dataType, T.IntegralType)]
-    bounds = {}
-    if whole:
-        ends = [f(c).cast("bigint").alias(f"{f.__name__}_{c}") for c in whole for f in (F.min, F.max)]
-        found = large.agg(*ends).first()
-        bounds = {c: (found[f"min_{c}"], found[f"max_{c}"]) for c in whole}
-    digits = []
-    for name in order:
-        column = F.col(name)
-        low, high = bounds.get(name, (None, None))
-        if name not in bounds or low is None:
-            digits.append(column.cast("double"))
-        elif high - low < EXACT:
-            digits.append((column.cast("bigint") - F.lit(low)).cast("double"))
-        else:
-            digits.append(F.shiftright(column.cast("bigint"), 32).cast("double"))
-            digits.append(column.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)).cast("double"))
-    return [F.coalesce(d, F.lit(-math.inf)) for d in digits]
-
-
-def _every_nth(n: int):
-    def pick(batches):
-        seen = 0
-        for batch in batches:
-            first = -(seen + 1) % n
-            seen += batch.num_rows
-            yield batch.take(pa.array(range(first, batch.num_rows, n), pa.int64()))
-
-    return pick
-
-
-def _quantiles(rows: DataFrame, column: str, pieces: int, n_rows: int) -> list[float]:
-    """Cut points of about equal row counts, from a sample; balance only, so any
-    sample leaves the result right."""
-    share = min(1.0, ROWS_PER_CUT * pieces / max(n_rows, 1))
-    sample = rows if share == 1.0 else rows.sample(share, seed=17)
-    if pieces > SUMMARY_PIECES:
-        picked = (
-            sample.select(column)
-            .repartitionByRange(column)
-            .sortWithinPartitions(column)
-            .mapInArrow(_every_nth(ROWS_PER_CUT), f"`{column}` double")
-        )
-        return sorted(row[0] for row in picked.collect())
-    cuts = sample.agg(
-        F.percentile_approx(column, [i / pieces for i in range(1, pieces)], 10 * pieces)
-    ).first()[0]
-    return cuts or []
-
-
-def _bucket(df: DataFrame, column: str, cuts: list[float], out: str) -> DataFrame:
-    splits = [-math.inf, *sorted(c for c in set(cuts) if c > -math.inf), math.inf]
-    if len(splits) < 3:
-        return df.withColumn(out, F.lit(0).cast("bigint"))
-    bucketed = Bucketizer(
-        splits=splits, inputCol=column, outputCol="_cut_out", handleInvalid="keep"
-    ).transform(df)
-    return bucketed.withColumn(out, F.col("_cut_out").cast("bigint")).drop("_cut_out")
-
-
-def _cut(df: DataFrame, order: Sequence[str], n_rows: int, max_rows: int) -> DataFrame:
+def _cut(
+    df: DataFrame, keys: list[str], order: Sequence[str], n_rows: int, max_rows: int
+) -> DataFrame:
     """Set ``CHUNK``, rising with the order, on the rows marked ``LARGE``.
 
-    Values drawn twice as cut points fill a piece alone: they get a bucket of their own,
-    which the next digit cuts further, and so on over all order columns.
+    Spark's range partitioning by keys and order makes the chunks, whatever the types
+    and however often a value repeats. The numbered rows are written once, so all
+    readers see the same cuts and the driver holds none of them.
     """
     pieces = max(2, math.ceil(2 * n_rows / max_rows))
-    digits = {f"_d{i}": d for i, d in enumerate(_digits(df.filter(LARGE), order))}
-    df = df.withColumns(digits)
-    pool = df.filter(LARGE)
-    chunk, deeper, levels, numbers = F.lit(0).cast("bigint"), None, [], 1
-    for digit in digits:
-        cuts = _quantiles(pool, digit, pieces, n_rows)
-        full = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-        splits = {*cuts, *(math.nextafter(v, math.inf) for v in full)}
-        numbers *= len(splits) + 2
-        if numbers >= 1 << 62:
-            break
-        level = f"_c{len(levels)}"
-        df = _bucket(df, digit, list(splits), level)
-        levels.append(level)
-        inner = F.col(level) if deeper is None else F.when(deeper, F.col(level)).otherwise(0)
-        chunk = chunk * F.lit(len(splits) + 2) + inner
-        if not full:
-            break
-        here = F.col(digit).isin(full)
-        deeper = here if deeper is None else deeper & here
-        pool = pool.filter(here)
-    chunk = F.when(F.col(LARGE), chunk).otherwise(F.lit(0)).cast("bigint")
-    return df.withColumn(CHUNK, chunk).drop(*levels, *digits)
+    ranges = df.filter(LARGE).repartitionByRange(pieces, *keys, *order)
+    cut = written(ranges.withColumn(CHUNK, F.spark_partition_id().cast("bigint")), "cut-rows")
+    return df.filter(~F.col(LARGE)).withColumn(CHUNK, F.lit(0).cast("bigint")).unionByName(cut)
 
 
 def chunked(
@@ -214,7 +124,7 @@ def chunked(
         slots = SparkSession.active().sparkContext.defaultParallelism
         max_rows = min(max_rows, max(1, math.ceil(2 * n_rows / max(slots, 2))))
         marked = df.withColumn(LARGE, F.lit(True))
-    return Chunked(_cut(marked, order, n_rows, max_rows), keys, split=True)
+    return Chunked(_cut(marked, keys, order, n_rows, max_rows), keys, split=True)
 
 
 def _tidy(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -54,3 +54,22 @@ def enable_checkpoints(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_root(spark))
+
+
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Have the folder deleted when the application ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.deleteOnExit(folder)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written once below the checkpoint root and read back.
+
+    Cuts the lineage: what reads them sees the same rows, and a lost executor costs a
+    read. The folder goes when the application ends.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    delete_at_end(df.sparkSession, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
