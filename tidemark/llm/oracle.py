@@ -1,12 +1,12 @@
 """DuckDB SQL for the text operators that SQL can express.
 
 Fingerprints, edit distances, byte strings, keyed permutations, learned weights, token
-lattices and page trees are tested against brute force instead.
+lattices, page trees and approximate search are tested against brute force instead.
 """
 
 from __future__ import annotations
 
-from tidemark.llm import host_rules, licenses
+from tidemark.llm import host_rules, licenses, prefix_trie
 
 _SPACE = r"\x20\x09-\x0D"
 
@@ -45,6 +45,56 @@ FROM cut
     draw="-ln((('0x' || substr(md5(key || '#' || s), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0)",
 )
 
+_TRIE = """
+WITH table_ AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+),
+own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+heads AS (
+  SELECT conv_id, conv_id - conv_id % {family} AS base, xor(list_reduce(
+      list_concat([4294967295::BIGINT],
+        list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda h: ('0x' || h)::BIGINT)),
+      lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8)), 4294967295) % {heads} AS h
+  FROM (SELECT DISTINCT conv_id FROM own), table_
+),
+rebuilt AS (
+  SELECT h.conv_id, o.role, o.text, row_number() OVER (PARTITION BY h.conv_id ORDER BY o.conv_id <> h.base OR o.i > h.h, o.i) AS d
+  FROM heads h JOIN own o ON (o.conv_id = h.base AND o.i <= h.h) OR (o.conv_id = h.conv_id AND o.i > h.h)
+),
+paths AS (
+  SELECT conv_id, d, strlen(text) AS bytes,
+         list(md5(length(role) || ':' || role || ':' || text)) OVER (PARTITION BY conv_id ORDER BY d) AS key
+  FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, [] FROM heads
+),
+nodes AS (
+  SELECT key, min(conv_id) AS conv_id, any_value(d) AS depth, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS own_saved
+  FROM paths GROUP BY key
+),
+children AS (SELECT key[:-2] AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+below AS (
+  SELECT DISTINCT a.key AS top, b.key AS key FROM paths a JOIN paths b ON a.conv_id = b.conv_id AND b.d >= a.d
+),
+sums AS (
+  SELECT top AS key, count(*) FILTER (c.n IS NULL) AS n_leaves, sum(own_saved) AS saved
+  FROM below b JOIN nodes USING (key) LEFT JOIN children c USING (key) GROUP BY top
+),
+ends AS (
+  SELECT key, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, max_by(key, d) AS key FROM paths GROUP BY conv_id) GROUP BY key
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(c.n, 0)::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens,
+       sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN sums s USING (key) LEFT JOIN children c USING (key) LEFT JOIN ends e USING (key)
+LEFT JOIN nodes p ON n.depth > 0 AND p.key = n.key[:-2]
+""".format(family=prefix_trie.FAMILY, heads=prefix_trie.HEADS)
+
 _HOSTS = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rn, doc_id, source, coalesce(text, '') AS text FROM documents
@@ -153,4 +203,5 @@ ORACLE: dict[str, str] = {
     "op2_sharding": _SHARDING,
     "op6_license_scan": _license_sql(),
     "op9_host_rules": _HOSTS,
+    "op11_prefix_trie": _TRIE,
 }

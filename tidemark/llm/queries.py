@@ -15,6 +15,7 @@ from tidemark.llm import (
     neighbours,
     pieces,
     pii,
+    prefix_trie,
     sharding,
     simhash,
     suffix_dedup,
@@ -120,6 +121,11 @@ def op10_decontaminate(spark: SparkSession, data_dir: str) -> DataFrame:
     return decontaminate.contaminated_items(_documents(spark, data_dir), benchmark)
 
 
+def op11_prefix_trie(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Every distinct prefix of the rebuilt conversations."""
+    return prefix_trie.prefix_nodes(spark.read.parquet(f"{data_dir}/conversations.parquet"))
+
+
 def op13_adaptive_ann(spark: SparkSession, data_dir: str) -> DataFrame:
     """The 20 nearest rows found for every row whose id is divisible by 20."""
     table = spark.read.parquet(f"{data_dir}/embeddings.parquet")
@@ -137,5 +143,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_host_rules": op9_host_rules,
     "op10_decontaminate": op10_decontaminate,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_adaptive_ann": op13_adaptive_ann,
 }
