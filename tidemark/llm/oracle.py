@@ -6,7 +6,7 @@ lattices, page trees and approximate search are tested against brute force inste
 
 from __future__ import annotations
 
-from tidemark.llm import host_rules, licenses, prefix_trie
+from tidemark.llm import collocations, host_rules, licenses, prefix_trie
 
 _SPACE = r"\x20\x09-\x0D"
 
@@ -95,6 +95,44 @@ FROM nodes n JOIN sums s USING (key) LEFT JOIN children c USING (key) LEFT JOIN
 LEFT JOIN nodes p ON n.depth > 0 AND p.key = n.key[:-2]
 """.format(family=prefix_trie.FAMILY, heads=prefix_trie.HEADS)
 
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS id, lang, piece FROM (
+    SELECT coalesce(lang, '{no_lang}') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece
+    FROM documents)
+),
+words AS (SELECT id, lang, regexp_extract_all(piece, '[^ 	]+') AS ws FROM pieces),
+total AS (SELECT lang, sum(len(ws)) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM words), range(1, {longest} + 1) s(m)
+  WHERE i + m - 1 <= len(ws) GROUP BY ALL HAVING count(*) >= {least}
+),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, array_to_string(string_split(phrase, ' ')[:k], ' ') AS left_, array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS right_
+  FROM grams c, range(1, {longest}) s(k)
+  WHERE c.m > 1 AND k < c.m AND NOT EXISTS (
+    SELECT 1 FROM grams g WHERE g.lang = c.lang AND g.m > c.m AND 100 * g.f >= {percent} * c.f
+    AND contains(' ' || g.phrase || ' ', ' ' || c.phrase || ' '))
+),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, l.f AS l, r.f AS r, n::BIGINT AS n,
+         ((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts JOIN grams l ON l.lang = cuts.lang AND l.phrase = left_ JOIN grams r ON r.lang = cuts.lang AND r.phrase = right_
+  JOIN total ON total.lang = cuts.lang
+),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= {kept}
+""".format(
+    longest=collocations.LONGEST, least=collocations.LEAST, percent=collocations.SUBSUMED_PERCENT,
+    kept=collocations.KEPT, no_lang=collocations.NO_LANG,
+)
+
 _HOSTS = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rn, doc_id, source, coalesce(text, '') AS text FROM documents
@@ -204,4 +242,5 @@ ORACLE: dict[str, str] = {
     "op6_license_scan": _license_sql(),
     "op9_host_rules": _HOSTS,
     "op11_prefix_trie": _TRIE,
+    "op12_collocations": _PHRASES,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    collocations,
     decontaminate,
     host_rules,
     html_render,
@@ -126,6 +127,11 @@ def op11_prefix_trie(spark: SparkSession, data_dir: str) -> DataFrame:
     return prefix_trie.prefix_nodes(spark.read.parquet(f"{data_dir}/conversations.parquet"))
 
 
+def op12_collocations(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The 2,000 best phrases of two to five words of each language."""
+    return collocations.collocations(_documents(spark, data_dir))
+
+
 def op13_adaptive_ann(spark: SparkSession, data_dir: str) -> DataFrame:
     """The 20 nearest rows found for every row whose id is divisible by 20."""
     table = spark.read.parquet(f"{data_dir}/embeddings.parquet")
@@ -144,5 +150,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_host_rules": op9_host_rules,
     "op10_decontaminate": op10_decontaminate,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_collocations": op12_collocations,
     "op13_adaptive_ann": op13_adaptive_ann,
 }
