@@ -37,6 +37,8 @@ BLOCK = 16
 CONFIDENCE = 2.1
 _SLICE = 1024
 _AT_ONCE = 512
+# Pairs are followed one by one once fewer than one in so many are left.
+_FEW = 16
 _BUCKETS = 1 << 20
 
 
@@ -137,21 +139,28 @@ class ListPart:
         tau = tau - 1e-9 * (1 + np.abs(tau))
         best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
         for start in range(0, len(self.firsts), _SLICE):
-            q, x = np.nonzero(np.ones((len(queries), min(_SLICE, len(self.firsts) - start)), bool))
-            x += start
-            product, seen = None, 0
+            rows = slice(start, start + _SLICE)
+            product, alive, pairs, seen = 0, True, None, 0
             for b, block in enumerate(blocks):
+                # the partial distance is at most the slack share of the limit exactly
+                # when the partial product is at least a query's and a member's number
                 seen += block.shape[1]
-                mine = self.blocks[b]
-                if product is None:
-                    product = (block @ mine[start : start + _SLICE].T).ravel()
-                else:
-                    product = product + np.einsum("ij,ij->i", block[q], mine[x])
-                partial = squares[b][q] + self.squares[b][x] - 2 * product
-                limit = squares[-1][q] + self.squares[-1][x] - 2 * tau[q]
                 slack = (1 + CONFIDENCE / math.sqrt(seen)) ** 2 * seen / width if seen < width else 1 + 1e-9
-                alive = partial <= slack * limit + 1e-12
-                q, x, product = q[alive], x[alive], product[alive]
+                of_query = 0.5 * (squares[b] - slack * (squares[-1] - 2 * tau)) - 1e-12
+                of_member = 0.5 * (self.squares[b][rows] - slack * self.squares[-1][rows])
+                if pairs is None:  # many are left: whole blocks at once
+                    product = product + block @ self.blocks[b][rows].T
+                    alive = alive & (product >= np.add.outer(of_query, of_member))
+                    if _FEW * np.count_nonzero(alive) < alive.size:
+                        pairs = np.nonzero(alive)
+                        product = product[pairs]
+                else:  # few are left: only their rows
+                    q, x = pairs
+                    product = product + np.einsum("ij,ij->i", block[q], self.blocks[b][rows][x])
+                    left = product >= of_query[q] + of_member[x]
+                    pairs, product = (q[left], x[left]), product[left]
+            q, x = np.nonzero(alive) if pairs is None else pairs
+            x = x + start
             score = ordered_products(columns[:, q], self.columns[:, x])
             best = tuple(np.concatenate(pair) for pair in zip(best, (q, x, score)))
             order = np.lexsort((self.firsts[best[1]], -best[2], best[0]))
