@@ -5,13 +5,19 @@ Windows are counted in the tasks that read them and dealt by ranges of their ord
 all windows with a common prefix are neighbours and their runs are the prefix's stripe:
 each run's size is the counter of a next word. A stripe cut by a range is merged
 elementwise. One structure gives extensions, prefix totals and the largest extension.
+
+A window ends early where two words in a row cannot occur often enough together, which a
+table of counters shared by many word pairs shows: it never counts too little, so no
+phrase is lost, and where it is too small for the text windows just stay longer.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +36,10 @@ PIECE_ENDS = re.compile(rb"[.,;:!?\n-\r]+")
 # Windows that a task counts before it hands them on, and rows read at once behind that.
 HELD_WINDOWS = 200_000
 ROWS_AT_ONCE = 1 << 17
+# Counters of word pairs, in blocks; only a bit for each is sent to the tasks.
+PAIR_BITS = 24
+PAIR_BLOCK = 1 << 18
+_PAIRS_AT_ONCE = 1 << 20
 # Between the words of a window; below every byte of a word once these are escaped.
 GAP, ESCAPE = b"\x00", b"\x01"
 
@@ -45,34 +55,128 @@ def _plain(phrase: Column) -> Column:
     return F.replace(F.replace(spaced, F.lit("\x01\x01"), F.lit("\x00")), F.lit("\x01\x02"), F.lit("\x01"))
 
 
-def windows_of(text: str | None, lang: str | None, longest: int = LONGEST) -> Iterator[list[bytes]]:
-    """The windows of each piece of a text, led by the language."""
+def words_of(text: str | None) -> tuple[list[bytes], np.ndarray]:
+    """The words of a text, and whether each is in one piece with the next."""
+    words: list[bytes] = []
+    ends = []
     raw = (text or "").encode("utf-8", "surrogatepass").lower()
-    start = _escaped((NO_LANG if lang is None else lang).encode()) + GAP
-    join = GAP.join
     for piece in PIECE_ENDS.split(_escaped(raw)):
-        words = piece.split()
-        if words:
-            yield [start + join(words[i : i + longest]) for i in range(len(words))]
+        words += piece.split()
+        ends.append(len(words) - 1)
+    joined = np.ones(len(words), bool)
+    if words:
+        joined[[end for end in ends if end >= 0]] = False
+    return words, joined
+
+
+def _lang(lang: str | None) -> bytes:
+    return _escaped((NO_LANG if lang is None else lang).encode())
+
+
+def pair_slots(lang: bytes, words: list[bytes]) -> np.ndarray:
+    """The counter of each word with the next; the last word's is meaningless."""
+    codes = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+    mixed = codes * np.uint64(0x9E3779B97F4A7C15) + np.roll(codes, -1) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = (mixed ^ np.uint64(zlib.crc32(lang))) * np.uint64(0xD6E8FEB86659FD93)
+    return (mixed >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+
+
+def windows_of(words: list[bytes], joined: np.ndarray, longest: int = LONGEST) -> Iterator[bytes]:
+    """The windows of all words; a window ends where ``joined`` is false."""
+    lengths, going = np.ones(len(words), np.int64), joined
+    for step in range(1, longest):
+        lengths += going
+        going = going & np.append(joined[step:], np.zeros(min(step, len(words)), bool))
+    long = np.flatnonzero(lengths > 1)
+    ends = (long + lengths[long]).tolist()
+    alone = compress(words, (lengths == 1).tolist())
+    return chain(alone, map(GAP.join, map(words.__getitem__, map(slice, long.tolist(), ends))))
+
+
+def _pair_counters(least: int):
+    """Each task's pair counters, which stop at ``least``, in blocks."""
+    kind = np.min_scalar_type(least)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters, waiting, n = np.zeros(1 << PAIR_BITS, kind), [], 0
+
+        def add() -> None:
+            slots, times = np.unique(np.concatenate(waiting), return_counts=True)
+            counters[slots] = np.minimum(counters[slots] + times, least).astype(kind)
+            waiting.clear()
+
+        for batch in batches:
+            for lang, text in zip(batch.column("lang"), batch.column("text")):
+                words, joined = words_of(text.as_py())
+                waiting.append(pair_slots(_lang(lang.as_py()), words)[joined])
+                n += len(words)
+                if n > _PAIRS_AT_ONCE:
+                    add()
+                    n = 0
+        if waiting:
+            add()
+        for block, at in enumerate(range(0, len(counters), PAIR_BLOCK)):
+            part = counters[at : at + PAIR_BLOCK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "counters"]
+                )
+
+    return count
+
+
+def _frequent_bits(least: int):
+    """The blocks of all tasks added up; a bit for each counter that reaches ``least``."""
+    kind = np.min_scalar_type(least)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counters in zip(batch.column("block").to_pylist(), batch.column("counters")):
+                part = np.frombuffer(counters.as_buffer(), kind)
+                total = totals.setdefault(block, np.zeros(len(part), np.int64))
+                np.minimum(total + part, least, out=total)
+        for block, total in totals.items():
+            bits = np.packbits(total >= least, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([bits], pa.binary())], ["block", "bits"])
+
+    return add
+
+
+def frequent_pairs(docs: DataFrame, least: int) -> np.ndarray:
+    """One bit per pair counter: 2 MB, whatever the size of the table."""
+    counted = docs.mapInArrow(_pair_counters(least), "block int, counters binary")
+    rows = counted.repartition("block").mapInArrow(_frequent_bits(least), "block int, bits binary").collect()
+    bits = np.zeros((1 << PAIR_BITS) // 8, np.uint8)
+    for row in rows:
+        at = row["block"] * PAIR_BLOCK // 8
+        bits[at : at + PAIR_BLOCK // 8] = np.frombuffer(row["bits"], np.uint8)
+    return bits
 
 
-def _counted(longest: int):
+def _counted(longest: int, frequent):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
+        held: defaultdict[bytes, Counter[bytes]] = defaultdict(Counter)
 
-        def emit() -> pa.RecordBatch:
-            columns = [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())]
+        def emit() -> Iterator[pa.RecordBatch]:
+            for lang, windows in held.items():
+                keys = pa.array([lang + GAP + w for w in windows], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([keys, pa.array(list(windows.values()), pa.int64())], ["k", "n"])
             held.clear()
-            return pa.RecordBatch.from_arrays(columns, ["k", "n"])
 
+        bits = frequent.value
         for batch in batches:
             for lang, text in zip(batch.column("lang"), batch.column("text")):
-                for windows in windows_of(text.as_py(), lang.as_py(), longest):
-                    held.update(windows)
-                    if len(held) > HELD_WINDOWS:
-                        yield emit()
-        if held:
-            yield emit()
+                words, joined = words_of(text.as_py())
+                if not words:
+                    continue
+                name = _lang(lang.as_py())
+                slots = pair_slots(name, words)
+                joined &= (bits[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
+                held[name].update(windows_of(words, joined, longest))
+                if sum(map(len, held.values())) > HELD_WINDOWS:
+                    yield from emit()
+        yield from emit()
 
     return count
 
@@ -96,7 +200,7 @@ def stripes_of(table: pa.Table, longest: int, least: int) -> list[tuple]:
     whatever their size; of the others those of at least ``least``. ``m`` is the length
     of the phrase; the total of a language is that of m = 0.
     """
-    words = pc.split_pattern(table["k"].combine_chunks(), GAP)
+    words = pc.split_pattern(table["k"].combine_chunks().cast(pa.binary()), GAP)
     counts = table["n"].to_numpy()
     offsets = words.offsets.to_numpy()
     sizes, n_rows = np.diff(offsets), len(counts)
@@ -145,7 +249,10 @@ def _striped(longest: int, least: int):
 
 def phrase_counts(docs: DataFrame, lang_col: str, text_col: str, longest: int, least: int) -> DataFrame:
     """``lang, m, prefix, word, f``: the merged stripes, with the counts from ``least`` on."""
-    windows = plain_columns(docs, lang=lang_col, text=text_col).mapInArrow(_counted(longest), "k binary, n bigint")
+    narrow = plain_columns(docs, lang=lang_col, text=text_col)
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_pairs(narrow, least))
+    # stored, as the ranges are drawn from a first pass over them
+    windows = stored(narrow.mapInArrow(_counted(longest, frequent), "k string, n bigint"), "windows")
     stripes = (
         windows.repartitionByRange("k").sortWithinPartitions("k").mapInArrow(_striped(longest, least), STRIPES)
     )
