@@ -260,7 +260,7 @@ def usable(vec: Column) -> Column:
 
 def nearest(
     table: DataFrame,
-    is_query: Column,
+    is_query: Column | str,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
     k: int = NEIGHBOURS,
