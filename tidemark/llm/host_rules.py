@@ -181,26 +181,18 @@ def judge_documents(
 ) -> DataFrame:
     """All columns of ``docs`` with the five measures, ``base_failed`` and ``kept``.
 
-    ``kept`` is false for documents that fail a base rule, and for those that exceed a
-    strict rule's limit more often than their host may (``excess_limit``): once where the
-    shrunk failure rate reaches ``suspect_rate``, ``GROSS`` times anywhere. A host's
-    verdict never rejects a document that passes every rule. Null texts have no words
-    and fail; null hosts are judged together as one host; repeated rows are judged
-    alike and all stay rows; an empty table stays empty. Columns of the input that are
-    named like a result are replaced.
-
-    Texts are measured twice (once to sum up hosts, once to judge), which moves no text.
+    :func:`judge_measured` says what is kept. Null texts have no words and fail; repeated
+    rows are judged alike and all stay rows; an empty table stays empty. Columns of the
+    input that are named like a result are replaced. Texts are measured once and written
+    with their measures, so hosts are summed up without them.
     """
-    narrow = plain_columns(docs, host=host_col, text=text_col)
-    measured = narrow.select("host", _measures("text").alias("m")).select("host", "m.*")
-    # only hosts with a document over their limit are listed
-    limits = (
-        host_rates(measured)
-        .select("host", "max_excess", excess_limit(F.col("rate"), suspect_rate).alias("limit"))
-        .filter(F.col("max_excess") > F.col("limit"))
-        .select("host", "limit")
+    results = (*MEASURES, "base_failed", "kept")
+    rows = docs.select(
+        *(F.col(f"`{c}`") for c in docs.columns if c not in results),
+        _measures(F.col(f"`{text_col}`")).alias(f"{PREFIX}m"),
     )
-    return _judged(docs, text_col, host_col, limits, max_broadcast)
+    measured = stored(rows.select("*", f"{PREFIX}m.*").drop(f"{PREFIX}m"), "measured-texts")
+    return judge_measured(measured, host_col, suspect_rate, max_broadcast)
 
 
 def judge_measured(
@@ -209,13 +201,22 @@ def judge_measured(
     suspect_rate: float = SUSPECT_RATE,
     max_broadcast: int = MAX_BROADCAST_HOSTS,
 ) -> DataFrame:
-    """The verdicts of the query's SQL, for rows that carry their measures already.
+    """Adds ``base_failed`` and ``kept`` to rows that carry their measures already.
 
-    There only base failures count for a host, and strict rules bind only where the
-    shrunk rate reaches ``suspect_rate``.
+    ``kept`` is false for documents that fail a base rule, and for those that exceed a
+    strict rule's limit more often than their host may (``excess_limit``): once where the
+    shrunk failure rate reaches ``suspect_rate``, ``GROSS`` times anywhere. A host's
+    verdict never rejects a document that passes every rule; null hosts are judged
+    together as one host.
     """
-    rates = host_rates(measured.withColumnRenamed(host_col, "host"), failed=base_failed())
-    limits = rates.filter(F.col("rate") >= suspect_rate).select("host", F.lit(1.0).alias("limit"))
+    hosts = measured.select(F.col(f"`{host_col}`").alias("host"), *MEASURES)
+    # only hosts with a document over their limit are listed
+    limits = (
+        host_rates(hosts)
+        .select("host", "max_excess", excess_limit(F.col("rate"), suspect_rate).alias("limit"))
+        .filter(F.col("max_excess") > F.col("limit"))
+        .select("host", "limit")
+    )
     return _verdicts(measured, host_col, limits, max_broadcast)
 
 
@@ -235,16 +236,6 @@ def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source")
     return judged.filter("kept").select(*(F.col(f"`in_{c}`").alias(c) for c in names))
 
 
-def _judged(docs, text_col, host_col, limits, max_broadcast) -> DataFrame:
-    results = (*MEASURES, "base_failed", "kept")
-    kept = docs.select(
-        *(F.col(f"`{c}`") for c in docs.columns if c not in results),
-        _measures(F.col(f"`{text_col}`")).alias(f"{PREFIX}m"),
-    )
-    measured = kept.select("*", f"{PREFIX}m.*").drop(f"{PREFIX}m")
-    return _verdicts(measured, host_col, limits, max_broadcast)
-
-
 def _verdicts(measured, host_col, limits, max_broadcast) -> DataFrame:
     limit = f"{PREFIX}limit"
     key = F.coalesce(F.concat(F.lit("h"), F.col(f"`{host_col}`").cast("string")), F.lit("null"))

@@ -100,7 +100,8 @@ WITH pieces AS (
   SELECT row_number() OVER () AS id, lang, piece FROM (
     SELECT coalesce(lang, '{no_lang}') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
     FROM documents)
 ),
 words AS (SELECT id, lang, regexp_extract_all(piece, '[^ 	]+') AS ws FROM pieces),
@@ -160,8 +161,17 @@ m AS (
          coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN lines USING (rn) LEFT JOIN covered USING (rn)
 ),
-f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
-hosts AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS k FROM f GROUP BY source),
+f AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         greatest(n_symbols * 5 / greatest(n_words, 1), n_dup_lines * 20 / greatest(n_words, 1),
+                  word_chars / (12 * greatest(n_words, 1))) AS excess
+  FROM m
+),
+hosts AS (
+  SELECT source, count(*) AS n, sum((base_failed OR n_symbols * 5 > n_words OR n_dup_lines * 20 > n_words
+                                     OR word_chars > 12 * n_words)::INT) AS k
+  FROM f GROUP BY source
+),
 sums AS (
   SELECT count(*) AS hosts, sum(n)::DOUBLE AS docs,
          least(greatest(sum(k) / sum(n), 1e-6), 1 - 1e-6) AS mean,
@@ -180,15 +190,15 @@ prior AS (
       THEN least(greatest(largest / least(variance, largest) - 1, 1.0), 1e6) ELSE 1e6 END AS strength
   FROM spread
 ),
-suspects AS (
-  SELECT source FROM hosts, prior WHERE (k + mean * strength) / (n + strength) >= {host_rules.SUSPECT_RATE}
+rates AS (SELECT source, (k + mean * strength) / (n + strength) AS rate FROM hosts, prior),
+limits AS (
+  SELECT source, greatest(1.0, least({host_rules.GROSS},
+    pow((1 - rate) / rate * {host_rules.SUSPECT_RATE / (1 - host_rules.SUSPECT_RATE)}, 1.0::DOUBLE / {host_rules.EVIDENCE_POWER}))) AS limit_
+  FROM rates
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (
-         EXISTS (SELECT 1 FROM suspects s WHERE s.source IS NOT DISTINCT FROM f.source)
-         AND (n_symbols * 5 > n_words OR n_dup_lines * 20 > n_words OR word_chars > 12 * n_words)
-       ) AS kept
-FROM f
+       NOT base_failed AND excess <= limit_ AS kept
+FROM f JOIN limits l ON l.source IS NOT DISTINCT FROM f.source
 """
 
 

@@ -8,7 +8,6 @@ for certain; there is no chance of a miss.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -30,13 +29,6 @@ HASH_SEED = 42
 MAX_BUCKET = 4096
 # Crowded entries up to this number are broadcast; more are joined by shuffle.
 MAX_BROADCAST_BUCKETS = 100_000
-# Near copies in keep_first: the least similarity, and MinHash bands of so many rows.
-SIMILAR_PERCENT = 80
-BANDS, ROWS = 24, 4
-# Sets, and hashes in them, that are compared with each other in one group.
-GROUP_SETS = 1024
-GROUP_HASHES = 4_000_000
-_SIGNED_AT_ONCE = 4096
 _CHUNK = 1 << 15
 _ODD = 0x9E3779B97F4A7C15
 
@@ -248,7 +240,7 @@ def near_duplicates(
 
 
 def component_of_rows(prints: DataFrame, radius: int, max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """Adds ``component_id`` to rows of ``doc_id, fp``."""
+    """Adds ``root``, a name of the component, and ``component_id`` to rows of ``doc_id, fp``."""
     classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     one_series = classes.select(F.lit(0).alias("j"), "fp")
     roots = components(fingerprint_links(one_series, radius, max_bucket))
@@ -256,152 +248,24 @@ def component_of_rows(prints: DataFrame, radius: int, max_bucket: int = MAX_BUCK
         "fp", F.coalesce("root", "fp").alias("root"), "first_id"
     )
     firsts = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = linked.join(firsts, "root").select("fp", "component_id")
+    labels = linked.join(firsts, "root").select("fp", "root", "component_id")
     # a fingerprint that many rows share is split by the adaptive skew join
     return prints.join(labels, "fp", "left")
 
 
-@dataclass(frozen=True)
-class Signature:
-    """MinHash bands: sets of Jaccard similarity s share one with 1 - (1 - s ** rows) ** bands."""
-
-    bands: int = BANDS
-    rows: int = ROWS
-
-    def keys(self, members: np.ndarray) -> list[int]:
-        """One signed 64-bit key per band of a set of hashes; none of an empty set."""
-        if not len(members):
-            return []
-        count = self.bands * self.rows
-        factors = np.random.default_rng(HASH_SEED).integers(0, 1 << 63, count, np.uint64) * np.uint64(2)
-        factors = (factors + np.uint64(1))[:, None]
-        least = np.full(count, np.uint64((1 << 64) - 1))
-        for at in range(0, len(members), _SIGNED_AT_ONCE):
-            part = members[None, at : at + _SIGNED_AT_ONCE] * factors
-            np.minimum(least, part.min(axis=1), out=least)
-        return [_signed(xxhash.xxh64_intdigest(row.tobytes(), t)) for t, row in enumerate(least.reshape(self.bands, -1))]
-
-
-def _set_column(text: Column, shingle: int) -> Column:
-    """The distinct shingle hashes, sorted, as bytes."""
-
-    @F.pandas_udf(T.BinaryType())
-    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([np.unique(shingle_hashes(t, shingle)).tobytes() for t in texts], dtype=object)
-
-    return compute(text)
-
-
-def _signed_sets(text: Column, shingle: int, signature: Signature) -> Column:
-    """``class`` (a hash of the whole set), ``n`` of its members and the band keys."""
-    schema = "class bigint, n int, keys array<bigint>"
-
-    @F.pandas_udf(schema)
-    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            sets = [np.unique(shingle_hashes(t, shingle)) for t in texts]
-            yield pd.DataFrame(
-                {
-                    "class": pd.Series([_signed(xxhash.xxh64_intdigest(s.tobytes(), HASH_SEED)) for s in sets], dtype="int64"),
-                    "n": pd.Series([len(s) for s in sets], dtype="int32"),
-                    "keys": pd.Series([signature.keys(s) for s in sets], dtype=object),
-                }
-            )
-
-    return compute(text)
-
-
-def alike_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that connect what pairs with Jaccard similarity of ``percent`` or more connect.
-
-    A breadth-first search over the sets not seen yet; at most one link per set.
-    """
-    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    ends = np.cumsum([len(s) for s in sets])
-    parts = np.split(ids, ends[:-1])
-    marked = np.zeros(int(ids.max()) + 1, bool)
-    left = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    links = []
-    while left:
-        frontier, left = [left[0]], left[1:]
-        while frontier and left:
-            here = frontier.pop()
-            size = len(parts[here])
-            near = [i for i in left if 100 * min(size, len(parts[i])) >= percent * max(size, len(parts[i]))]
-            if not near:
-                continue
-            marked[parts[here]] = True
-            found = set()
-            for i in near:
-                shared = int(np.count_nonzero(marked[parts[i]]))
-                if 100 * shared >= percent * (size + len(parts[i]) - shared):
-                    found.add(i)
-                    links.append((here, i))
-            marked[parts[here]] = False
-            frontier += sorted(found)
-            left = [i for i in left if i not in found]
-    return links
-
-
-def _group_links(percent: int):
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, classes, sets = None, [], []
-
-        def links() -> Iterator[pa.RecordBatch]:
-            found = alike_links(sets, percent) if len(sets) > 1 else []
-            if found:
-                ends = [pa.array([classes[pair[k]] for pair in found], pa.int64()) for k in (0, 1)]
-                yield pa.record_batch(ends, ["a", "b"])
-
-        for batch in batches:
-            for g, c, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                if g != group:
-                    yield from links()
-                    group, classes, sets = g, [], []
-                classes.append(c)
-                sets.append(np.frombuffer(data.as_buffer(), np.uint64))
-        yield from links()
-
-    return linked
-
-
-def compared_groups(entries: DataFrame, most: int = GROUP_SETS, most_hashes: int = GROUP_HASHES) -> DataFrame:
-    """``grp, class``: every two classes of a band entry are together in some group.
-
-    ``entries`` has rows ``t, key, class, n``. Entries with the same members are one
-    list; a list of many sets, or of large ones, is cut into parts and every two parts
-    are a group, so groups are bounded and no pair is lost.
-    """
-    lists = entries.groupBy("t", "key").agg(F.sort_array(F.collect_set(F.struct("class", "n"))).alias("m"))
-    lists = lists.filter(F.size("m") > 1).select("m").distinct()
-    hashes = F.aggregate("m", F.lit(0).cast("bigint"), lambda total, x: total + x["n"])
-    parts = F.ceil(F.greatest(F.size("m") / F.lit(most / 2), hashes / F.lit(most_hashes / 2)) / 2)
-    rows = lists.select(F.xxhash64("m").alias("list"), F.greatest(parts, F.lit(1)).cast("bigint").alias("c"), F.inline("m"))
-    part = F.when(F.col("c") > 1, F.pmod(F.xxhash64("class", F.lit(7)), 2 * F.col("c"))).otherwise(F.lit(0))
-    rows = rows.select("list", "class", "c", part.alias("p")).select(
-        "*", F.explode(F.when(F.col("c") > 1, F.sequence(F.lit(0).cast("bigint"), 2 * F.col("c") - 1)).otherwise(F.array(F.lit(0).cast("bigint")))).alias("q")
-    )
-    rows = rows.filter((F.col("c") == 1) | (F.col("p") != F.col("q")))
-    return rows.select(F.xxhash64("list", F.least("p", "q"), F.greatest("p", "q")).alias("grp"), "class")
-
-
 def keep_first(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    shingle: int = 5,
-    percent: int = SIMILAR_PERCENT,
-    signature: Signature = Signature(),
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
 ) -> DataFrame:
-    """One document of every group of near copies, with the columns it came with.
-
-    Texts are linked if the Jaccard similarity of their word shingles is ``percent`` or
-    more, which is computed for all pairs that share a MinHash band. At 0.8 a pair shares
-    none of 24 bands of 4 with a chance of 3 in a million. A group is what links
-    connect; the row with the smallest id stays (null ids last, then the smallest row
-    hash), rows repeated in every column once. Texts without words are one group. Texts
-    are shuffled by row hash: all for the rows that stay, and those to compare.
+    """One document of every component of :func:`near_duplicates`, with all its columns.
+
+    The row with the smallest id stays (null ids last, then the smallest row hash), a row
+    repeated in every column once. Null and empty texts have fingerprint 0 and are linked
+    like any other; an empty table stays empty; columns of any name are kept. Only ids,
+    row hashes and fingerprints are grouped; texts are shuffled once, by row hash.
     """
     first_hash, second_hash = row_hashes(docs)
     h1, h2 = f"{PREFIX}h1", f"{PREFIX}h2"
@@ -410,36 +274,14 @@ def keep_first(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.col(h1).alias("h1"),
         F.col(h2).alias("h2"),
-        _signed_sets(F.col(f"`{text_col}`"), shingle, signature).alias("s"),
-    )
-    prints = stored(prints.select("doc_id", "h1", "h2", "s.*"), "signatures")
-    classes = prints.groupBy("class", "n").agg(
-        F.first("keys").alias("keys"), F.min(F.struct("h1", "h2")).alias("row")
+        fingerprint_column(F.col(f"`{text_col}`"), shingle)[0].alias("fp"),
     )
-    classes = stored(classes.select("class", "n", "keys", "row.*"), "shingle-classes")
-    entries = classes.select("class", "n", F.posexplode("keys").alias("t", "key"))
-    groups = stored(compared_groups(entries), "compared-groups")
-    wanted = classes.join(groups.select("class").distinct(), "class", "left_semi").select(
-        "class", F.col("h1").alias(h1), F.col("h2").alias(h2)
-    )
-    sets = (
-        keyed.select(h1, h2, F.col(f"`{text_col}`").alias("text"))
-        .join(wanted, [h1, h2])
-        .groupBy("class")
-        .agg(F.first("text").alias("text"))
-        .select("class", _set_column(F.col("text"), shingle).alias("members"))
-    )
-    links = (
-        groups.join(sets, "class")
-        .select("grp", "class", "members")
-        .repartition("grp")
-        .sortWithinPartitions("grp")
-        .mapInArrow(_group_links(percent), "a bigint, b bigint")
-    )
-    roots = components(links, "alike-links").withColumnRenamed("node", "class")
-    grouped = prints.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    prints = stored(prints, "fingerprints")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2")
-    keepers = grouped.groupBy("root").agg(F.min(rank).alias("first"))
+    keepers = component_of_rows(prints, radius).groupBy("root").agg(F.min(rank).alias("first"))
     keepers = keepers.select(F.col("first.h1").alias(h1), F.col("first.h2").alias(h2))
-    kept = keyed.dropDuplicates([h1, h2]).join(keepers, [h1, h2], "left_semi")
+    again = prints.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if again.take(1):
+        keyed = keyed.dropDuplicates([h1, h2])
+    kept = keyed.join(keepers, [h1, h2], "left_semi")
     return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
