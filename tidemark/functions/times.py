@@ -7,6 +7,22 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The flag of the row that ends a replayed stream; it holds nothing but a far time.
+END = "end_of_stream"
+# 0001-01-01, before any time that Spark reads.
+FIRST_MS = -62_135_596_800_000
+
+
+def pick(df: DataFrame, *columns) -> DataFrame:
+    """The columns, and the end flag where the stream has one."""
+    return df.select(*columns, *([END] if END in df.columns else []))
+
+
+def without_end(df: DataFrame) -> DataFrame:
+    """The rows of a stream without its flagged end; for operators without a watermark."""
+    return df.filter(~F.col(END)).drop(END) if END in df.columns else df
+
+
 def epoch_ms(ts_ntz: Column) -> Column:
     """Epoch milliseconds of a zone-less timestamp read as UTC, rounded down.
 
@@ -32,9 +48,22 @@ def truncated_window_start(ms: Column, size_ms: int) -> Column:
 def with_event_time(
     df: DataFrame, delay_ms: int | None = None, ms: str = "ms", ts: str = "event_time"
 ) -> DataFrame:
-    """Add a timestamp column for ``ms``; a delay also sets the watermark."""
+    """Add a timestamp column for ``ms``; a delay also sets the watermark.
+
+    A flagged end moves the watermark and goes. Spark moves filters that do without the
+    time, and those it derives from join keys, ahead of the watermark, where they would
+    take the end away; so filter and columns are tied to the time.
+    """
     timed = df.withColumn(ts, F.timestamp_millis(ms))
-    return timed if delay_ms is None else timed.withWatermark(ts, f"{delay_ms} milliseconds")
+    if delay_ms is None:
+        return without_end(timed)
+    marked = timed.withWatermark(ts, f"{delay_ms} milliseconds")
+    if END not in df.columns:
+        return marked
+    first_day = F.timestamp_millis(F.lit(FIRST_MS))
+    rows = marked.filter(~F.col(END) | (F.col(ts) < first_day))
+    others = [c for c in df.columns if c not in (END, ts)]
+    return rows.select(*(F.when(F.col(ts) >= first_day, F.col(f"`{c}`")).alias(c) for c in others), ts)
 
 
 def row_watermark(df: DataFrame, delay_ms: int, ms: str = "ms", ts: str = "event_time") -> DataFrame:

@@ -1,17 +1,19 @@
 from tidemark.sinks.streams import (
-    late_rows,
+    counted_drops,
     latest_values,
     run_available_now,
     show_stream,
+    split_late,
     start_parquet,
     streaming_settings,
 )
 
 __all__ = [
-    "late_rows",
+    "counted_drops",
     "latest_values",
     "run_available_now",
     "show_stream",
+    "split_late",
     "start_parquet",
     "streaming_settings",
 ]

@@ -8,14 +8,15 @@ from tidemark.sources.files import (
     text_stream,
 )
 from tidemark.sources.orders import app_orders, third_orders
-from tidemark.sources.replay import lay_out, replay, with_end
+from tidemark.sources.replay import END_MS, range_cuts, replay
 
 __all__ = [
+    "END_MS",
     "app_orders",
     "click_events",
     "documents",
     "event_table",
-    "lay_out",
+    "range_cuts",
     "replay",
     "socket_lines",
     "spread",
@@ -23,5 +24,4 @@ __all__ = [
     "text_lines",
     "text_stream",
     "third_orders",
-    "with_end",
 ]

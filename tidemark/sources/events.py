@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import epoch_ms
+from tidemark.functions import epoch_ms, pick
 from tidemark.schemas import EVENTS_TABLE
 from tidemark.sources.files import table_stream
 
@@ -19,7 +19,13 @@ def event_table(spark: SparkSession, data_dir: str, stream: bool = False) -> Dat
 
 def click_events(spark: SparkSession, data_dir: str, stream: bool = False) -> DataFrame:
     """Events as ``event_id, user_id, url, value, ms``."""
-    return event_table(spark, data_dir, stream).select(
+    return clicks_of(event_table(spark, data_dir, stream))
+
+
+def clicks_of(events: DataFrame) -> DataFrame:
+    """The click events among rows of the stored table, whole or a stream."""
+    return pick(
+        events,
         "event_id",
         "user_id",
         F.col("event_type").alias("url"),

@@ -1,9 +1,9 @@
 """The registered streaming queries: each replays the stored tables as a stream,
 runs until all input is read and returns what was written.
 
-Rows come in order of time over any number of files and micro-batches, and a last row
-far in the future closes what is open, so streams report what tables do. A query fails
-if a row came too late and was dropped.
+Rows come in order of time over any number of micro-batches, and a flagged end closes
+what is open, so streams report what tables do. A query fails if a row came too late and
+was dropped.
 """
 
 from __future__ import annotations
@@ -15,49 +15,43 @@ from pyspark.sql import functions as F
 
 from tidemark import operators as ops
 from tidemark import sources, streaming
-from tidemark.functions import split_lines
+from tidemark.functions import END, pick, split_lines, without_end
 from tidemark.queries import DAY, HOUR, ID, action_patterns
-from tidemark.schemas import CLICK_ROWS, PATTERNS, THIRD_ORDERS
-from tidemark.session import scratch_dir
+from tidemark.schemas import EVENTS_TABLE
+from tidemark.session import written
 from tidemark.sinks import latest_values
 from tidemark.sinks import run_available_now as run_stream
-from tidemark.sources.replay import END_KEY, END_NAME, FAR_MS, lay_out, replay, with_end
+from tidemark.sources.events import clicks_of
+from tidemark.sources.replay import END_MS
 
 
 def run_available_now(stream, **options):
-    return run_stream(stream, refuse_late=True, **options)
+    return run_stream(stream, refuse_late=True, drain=True, **options)
 
 
 class Clicks:
-    """The click events, laid out once by time or ``order`` and read as often as asked."""
-
-    def __init__(self, spark, data_dir, order=None):
-        events = with_end(
-            sources.click_events(spark, data_dir),
-            event_id=END_KEY, user_id=END_KEY, url=END_NAME, ms=FAR_MS,
-        )
-        if order is not None:
-            last = F.when(F.col("event_id") == END_KEY, F.lit(1 << 62))
-            events = events.withColumn("arrival", F.coalesce(last, order))
-        self.spark = spark
-        self.path = lay_out(events, "ms" if order is None else "arrival", "clicks")
-
-    def stream(self):
-        return replay(self.spark, self.path, CLICK_ROWS)
+    """The click events as a stream in order of time, as often as asked."""
+
+    def __init__(self, spark, data_dir, order="ts", end=True, cuts=None):
+        self.spark, self.order, self.end = spark, order, end
+        self.path = f"{data_dir}/events.parquet"
+        self.cuts = cuts or sources.range_cuts(spark.read.schema(EVENTS_TABLE).parquet(self.path), order)
+
+    def stream(self, **options):
+        end = {"ts": 1000 * END_MS} if self.end else None
+        rows = sources.replay(self.spark, self.path, EVENTS_TABLE, self.order, end, self.cuts, **options)
+        return clicks_of(rows)
 
     def of_url(self, url, id_name):
-        kept = self.stream().filter(F.col("url").isin(url, END_NAME))
-        return kept.select("user_id", F.col(ID).alias(id_name), "ms")
+        rows = self.stream()
+        kept = rows.filter((F.col("url") == url) | F.col(END))
+        return pick(kept, "user_id", F.col(ID).alias(id_name), "ms")
 
 
 def _clicks(spark, data_dir):
     return Clicks(spark, data_dir).stream()
 
 
-def _real(df, column="user_id"):
-    return df.filter(F.col(column) != END_KEY)
-
-
 def word_count(spark, data_dir):
     documents = sources.documents(spark, data_dir, stream=True)
     lines = documents.select(F.explode(split_lines(F.col("text"))).alias("line"))
@@ -67,22 +61,22 @@ def word_count(spark, data_dir):
 
 def url_tumbling_count(spark, data_dir):
     counts = streaming.windowed_counts(_clicks(spark, data_dir), ["url"], HOUR)
-    return run_available_now(counts).filter(F.col("url") != END_NAME)
+    return run_available_now(counts)
 
 
 def url_delayed_count(spark, data_dir):
     """Rows arrive up to an hour out of order, which the watermark's delay covers."""
     arrival = F.col("ms") + F.pmod(F.col(ID) * 7_919_000, F.lit(HOUR))
-    clicks = Clicks(spark, data_dir, arrival).stream()
+    events = sources.click_events(spark, data_dir).withColumn("arrival", arrival)
+    clicks = _replayed(events, "arrival", {"ms": END_MS, "arrival": END_MS})
     counts = streaming.windowed_counts(clicks, ["url"], HOUR, delay_ms=HOUR)
-    return run_available_now(counts).filter(F.col("url") != END_NAME)
+    return run_available_now(counts)
 
 
 def url_topn(spark, data_dir, n=3):
     counts = streaming.windowed_counts(_clicks(spark, data_dir), ["url"], 2 * HOUR, HOUR)
-    written = run_available_now(counts, per_batch=streaming.top_windows(n))
-    written = written.filter(F.col("url") != END_NAME)
-    return written.select("window_end", "rank", "url", "cnt")
+    ranked = run_available_now(counts, per_batch=streaming.top_windows(n))
+    return ranked.select("window_end", "rank", "url", "cnt")
 
 
 def url_topn_all(spark, data_dir):
@@ -94,7 +88,7 @@ def window_join(spark, data_dir):
     clicks, purchases = events.of_url("click", "click_id"), events.of_url("purchase", "purchase_id")
     pairs = streaming.window_join(clicks, purchases, "user_id", DAY)
     pairs = pairs.select("user_id", "window_start", "click_id", "purchase_id")
-    return _real(run_available_now(pairs))
+    return run_available_now(pairs)
 
 
 def _cogroup(spark, data_dir, join):
@@ -104,7 +98,7 @@ def _cogroup(spark, data_dir, join):
     grouped = join(clicks, purchases, "user_id", "right_val", -1, "right_id", DAY)
     left_id = F.coalesce("left_id", F.lit(-1)).alias("left_id")
     grouped = grouped.select("user_id", "window_start", left_id, "right_val")
-    return _real(run_available_now(grouped))
+    return run_available_now(grouped)
 
 
 def cogroup_left_join(spark, data_dir):
@@ -119,75 +113,70 @@ def interval_join(spark, data_dir):
     events = Clicks(spark, data_dir)
     clicks, purchases = events.of_url("click", "click_id"), events.of_url("purchase", "purchase_id")
     pairs = streaming.interval_join(purchases, clicks, "user_id", 5 * HOUR, 10 * HOUR)
-    return _real(run_available_now(pairs.select("user_id", "purchase_id", "click_id")))
+    return run_available_now(pairs.select("user_id", "purchase_id", "click_id"))
 
 
 def two_stream_join(spark, data_dir, within_ms=None):
     events = Clicks(spark, data_dir)
     signups, errors = events.of_url("signup", "left_id"), events.of_url("error", "right_id")
     pairs = streaming.two_stream_join(signups, errors, "user_id", within_ms=within_ms)
-    return _real(run_available_now(pairs.select("user_id", "left_id", "right_id")))
+    return run_available_now(pairs.select("user_id", "left_id", "right_id"))
 
 
 def two_stream_join_within(spark, data_dir):
     return two_stream_join(spark, data_dir, within_ms=DAY)
 
 
-def _order_streams(spark, data_dir):
-    """Both kinds of orders, laid out in one table so that they come in step with each
-    other, and read back as a stream each."""
-    events = sources.click_events(spark, data_dir)
-    both = sources.third_orders(events).unionByName(
-        sources.app_orders(events), allowMissingColumns=True
-    )
-    for platform in ("app", "third"):
-        both = with_end(both, order_id=f"{END_NAME}-{platform}", platform=platform, ts_ms=FAR_MS)
-    path = lay_out(both, "ts_ms", "orders")
-    return [
-        replay(spark, path, THIRD_ORDERS).filter(F.col("platform") == platform)
-        for platform in ("app", "third")
-    ]
+def _replayed(df, order, end):
+    """Rows that Spark derives, written once and replayed in order."""
+    stored = written(df, "replayed")
+    path = stored.inputFiles()[0].rsplit("/", 1)[0] if stored.inputFiles() else None
+    return sources.replay(df.sparkSession, path, df.schema, order, end)
 
 
-def _real_orders(df):
-    return df.filter(~F.col("order_id").startswith(END_NAME))
+def _order_streams(spark, data_dir, orders=None):
+    """Both kinds of orders, in step with each other, as a stream each."""
+    events = sources.click_events(spark, data_dir)
+    streams = []
+    for side in (sources.app_orders(events), sources.third_orders(events)):
+        streams.append(_replayed(orders(side) if orders else side, "ts_ms", {"ts_ms": END_MS}))
+    return streams
 
 
 def bill_check(spark, data_dir):
     app, third = _order_streams(spark, data_dir)
-    return _real_orders(run_available_now(streaming.bill_check(app, third, 6 * HOUR)))
+    return run_available_now(streaming.bill_check(app, third, 6 * HOUR))
 
 
 def bill_check_repeated(spark, data_dir):
     app, third = _order_streams(spark, data_dir)
-    return _real_orders(run_available_now(streaming.bill_check_repeated(app, third, 6 * HOUR)))
+    return run_available_now(streaming.bill_check_repeated(app, third, 6 * HOUR))
 
 
 def pattern_match(spark, data_dir):
     events = sources.click_events(spark, data_dir)
-    rules = scratch_dir(spark, "patterns")
-    action_patterns(events).write.parquet(rules)  # a few rows, read in every micro-batch
-    actions = _clicks(spark, data_dir).select("user_id", ID, "ms", F.col("url").alias("action"))
-    written = run_available_now(
+    rules = written(action_patterns(events), "patterns")  # a few rows, read in every micro-batch
+    actions = pick(_clicks(spark, data_dir), "user_id", ID, "ms", F.col("url").alias("action"))
+    matched = run_available_now(
         streaming.previous_actions(actions),
-        per_batch=streaming.pattern_matches(lambda: spark.read.schema(PATTERNS).parquet(rules)),
+        per_batch=streaming.pattern_matches(lambda: rules),
         keep_batch=True,
     )
-    return _real(written.select("user_id", ID, "action1", "action2"))
+    return matched.select("user_id", ID, "action1", "action2")
 
 
 def periodic_pv(spark, data_dir):
     counts = streaming.periodic_counts(_clicks(spark, data_dir), ["user_id"], 6 * HOUR)
-    return _real(run_available_now(counts))
+    return run_available_now(counts)
 
 
 def avg_ts_every_n(spark, data_dir):
     means = streaming.average_every_n(_clicks(spark, data_dir), ["user_id"], 5)
-    return _real(run_available_now(means))
+    return run_available_now(means)
 
 
 def buffered_rows(spark, data_dir):
-    events = _real(Clicks(spark, data_dir, F.col(ID)).stream())
+    events = Clicks(spark, data_dir, ID, end=False).stream()
     sharded = events.select((F.col("user_id") % 4).alias("shard"), ID)
     return run_available_now(streaming.full_chunks(sharded))
 
@@ -195,26 +184,26 @@ def buffered_rows(spark, data_dir):
 def event_timer_trace(spark, data_dir):
     # The watermark seen depends on how input falls into micro-batches.
     trace = streaming.event_timer_trace(_clicks(spark, data_dir), watermarks=False)
-    return run_available_now(trace).filter(F.col("ms") < FAR_MS)
+    return run_available_now(trace)
 
 
 def route_alerts(spark, data_dir):
     routed = ops.route_alerts(
-        _real(_clicks(spark, data_dir)), ["click", "purchase"],
+        without_end(_clicks(spark, data_dir)), ["click", "purchase"],
         by="url", name="user_id", url="url", ms="ms",
     )
-    written = run_available_now(routed.select(ID, "route", "message"), partition_by=["route"])
-    return written.select(ID, "route", "message")
+    routes = run_available_now(routed.select(ID, "route", "message"), partition_by=["route"])
+    return routes.select(ID, "route", "message")
 
 
 def split_by_user(spark, data_dir):
     routed = ops.split_by_user(
-        _real(_clicks(spark, data_dir)), {1: "user-1", 2: "user-2"}, user="user_id"
+        without_end(_clicks(spark, data_dir)), {1: "user-1", 2: "user-2"}, user="user_id"
     )
-    written = run_available_now(
+    routes = run_available_now(
         routed.select("route", "user_id", "url", "ms"), partition_by=["route"]
     )
-    return written.select("route", "user_id", "url", "ms")
+    return routes.select("route", "user_id", "url", "ms")
 
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import row_watermark, time_order, window_start, with_event_time
+from tidemark.functions import row_watermark, time_order, window_start, with_event_time, without_end
 
 
 def _windowed(df: DataFrame, size_ms: int, delay_ms: int, ms: str) -> DataFrame:
@@ -134,6 +134,5 @@ def two_stream_join(
     """Every pair with equal key. Without ``within_ms`` all rows stay in state."""
     if within_ms is not None:
         return interval_join(left, right, key, within_ms, within_ms, delay_ms, ms)
-    return left.withColumnRenamed(ms, "left_ms").join(
-        right.withColumnRenamed(ms, "right_ms"), key
-    )
+    lefts, rights = without_end(left), without_end(right)
+    return lefts.withColumnRenamed(ms, "left_ms").join(rights.withColumnRenamed(ms, "right_ms"), key)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import row_watermark
+from tidemark.functions import pick, row_watermark, without_end
 from tidemark.operators.patterns import MAX_BROADCAST_PATTERNS, match_moves
 from tidemark.operators.reconcile import check_outcomes, is_paid
 from tidemark.streaming import processors as p
@@ -46,7 +46,7 @@ def periodic_counts(
     ms: str = "ms",
 ) -> DataFrame:
     """``keys, fire_ms, count``: a key's total row count at the end of each cycle."""
-    slim = row_watermark(stream.select(*keys, F.col(ms).alias("ms")), delay_ms)
+    slim = row_watermark(pick(stream, *keys, F.col(ms).alias("ms")), delay_ms)
     added = {"fire_ms": T.LongType(), count: T.LongType()}
     return _run(slim, keys, p.CycleCounter(period_ms), added)
 
@@ -60,7 +60,7 @@ def average_every_n(
     tie: str = "event_id",
 ) -> DataFrame:
     """``keys, nth, avg_ms`` at every n-th row of a key, over all its rows so far."""
-    slim = stream.select(*keys, F.col(ms).alias("ms"), F.col(tie).alias("id"))
+    slim = pick(stream, *keys, F.col(ms).alias("ms"), F.col(tie).alias("id"))
     added = {"nth": T.LongType(), "avg_ms": T.LongType()}
     return _run(row_watermark(slim, delay_ms), keys, p.AverageEveryN(n), added)
 
@@ -74,9 +74,10 @@ def bill_check(
     the watermark passes its deadline. Each side brings its own watermark, and the
     slower one holds time back.
     """
-    apps = row_watermark(app.select("order_id", "ts_ms"), delay_ms, "ts_ms", "app_time")
+    apps = row_watermark(pick(app, "order_id", "ts_ms"), delay_ms, "ts_ms", "app_time")
     thirds = row_watermark(
-        third.select(
+        pick(
+            third,
             F.col("order_id").alias("third_id"),
             is_paid(F.col("status")).alias("paid"),
             F.col("ts_ms").alias("third_ms"),
@@ -104,10 +105,10 @@ def bill_check_repeated(
     Each row of a side replaces the one waiting there and sets a timer of its own;
     any timer of the order ends the wait of both halves.
     """
-    apps = app.select(
-        "order_id", F.lit(0).alias("side"), F.lit(None).cast("string").alias("status"), "ts_ms"
+    apps = pick(
+        app, "order_id", F.lit(0).alias("side"), F.lit(None).cast("string").alias("status"), "ts_ms"
     )
-    thirds = third.select("order_id", F.lit(1).alias("side"), "status", "ts_ms")
+    thirds = pick(third, "order_id", F.lit(1).alias("side"), "status", "ts_ms")
     both = row_watermark(apps, delay_ms, "ts_ms").unionByName(
         row_watermark(thirds, delay_ms, "ts_ms")
     )
@@ -123,6 +124,7 @@ def full_chunks(
 ) -> DataFrame:
     """The rows of each buffer of ``size`` as it fills, with ``chunk``; the rest is
     held in state and survives a restart."""
+    stream = without_end(stream)
     held = T.StructType([f for f in stream.schema.fields if f.name != shard])
     added = {"chunk": T.LongType(), **{f.name: f.dataType for f in held.fields}}
     return _run(stream, [shard], p.FullChunks(held, list(order), size), added, timed=False)
@@ -146,13 +148,13 @@ def event_timer_trace(
     if watermarks:
         shards = shards or 4 * stream.sparkSession.sparkContext.defaultParallelism
         shard = F.pmod(F.xxhash64(ms), F.lit(shards)).alias("shard")
-        slim = stream.select(shard, F.col(user).alias("user"), F.col(ms).alias("ms"))
+        slim = pick(stream, shard, F.col(user).alias("user"), F.col(ms).alias("ms"))
         added = {"kind": T.StringType(), user: stream.schema[user].dataType, ms: T.LongType()}
         seen = _run(row_watermark(slim, delay_ms), ["shard"], p.SeenWatermarks(), added)
         rows = seen.drop("shard")
     else:
-        rows = stream.select(F.lit("arrival").alias("kind"), user, ms)
-    due = stream.select((F.col(ms) + F.lit(after_ms)).alias("ms"))
+        rows = without_end(stream).select(F.lit("arrival").alias("kind"), user, ms)
+    due = pick(stream, (F.col(ms) + F.lit(after_ms)).alias("ms"))
     timers = row_watermark(due, delay_ms + after_ms).groupBy("event_time").agg(
         F.lit("timer").alias("kind")
     )
@@ -169,7 +171,7 @@ def previous_actions(
     stream: DataFrame, user: str = "user_id", tie: str = "event_id", ms: str = "ms"
 ) -> DataFrame:
     """``user, event, ms, action, prev_action`` for each row with an action before it."""
-    slim = stream.select(user, F.col(tie).alias("id"), F.col(ms).alias("ms"), "action")
+    slim = without_end(stream).select(user, F.col(tie).alias("id"), F.col(ms).alias("ms"), "action")
     added = {
         tie: stream.schema[tie].dataType,
         ms: T.LongType(),
