@@ -8,7 +8,7 @@ from tidemark.operators.joins import (
 )
 from tidemark.operators.keyed import average_every_n, periodic_counts
 from tidemark.operators.patterns import match_moves, match_patterns, pattern_intervals
-from tidemark.operators.reconcile import bill_check
+from tidemark.operators.reconcile import bill_check, bill_check_repeated
 from tidemark.operators.routing import branch, route_alerts, split_by_user
 from tidemark.operators.traces import event_timer_trace, watermark_trace
 from tidemark.operators.windows import (
@@ -27,6 +27,7 @@ from tidemark.operators.wordcount import (
 __all__ = [
     "average_every_n",
     "bill_check",
+    "bill_check_repeated",
     "branch",
     "chunk_summaries",
     "cogroup_full_join",

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans import bills
+from tidemark.plans.ordered import MAX_ROWS, previous_value, running_totals
+
 
 def is_paid(status: Column) -> Column:
     return F.coalesce(status == "success", F.lit(False))
@@ -39,8 +42,11 @@ def bill_check(app: DataFrame, third: DataFrame, timeout_ms: int = 5_000) -> Dat
     An order waits ``timeout_ms`` for its other half; a half that arrives exactly
     at the deadline still counts. The later half of a good pair names the match.
     An order id may occur once per side; a second occurrence is an error, not
-    silently merged. Both sides go through one shuffle on the order id.
+    silently merged; :func:`bill_check_repeated` takes those. Rows without order id or
+    time are left out. Both sides go through one shuffle on the order id.
     """
+    known = F.col("order_id").isNotNull() & F.col("ts_ms").isNotNull()
+    app, third = app.filter(known), third.filter(known)
     sides = app.select(
         "order_id",
         F.col("ts_ms").alias("app_ms"),
@@ -65,3 +71,37 @@ def bill_check(app: DataFrame, third: DataFrame, timeout_ms: int = 5_000) -> Dat
         "app_ms", F.when(F.col("_times") > 1, repeated.cast("bigint")).otherwise(F.col("app_ms"))
     )
     return orders.select("order_id", F.inline(check_outcomes(timeout_ms)))
+
+
+def bill_check_repeated(
+    app: DataFrame, third: DataFrame, timeout_ms: int = 5_000, max_rows: int = MAX_ROWS
+) -> DataFrame:
+    """:func:`bill_check` for order ids that may come again.
+
+    Each row of a side replaces the one waiting there and sets a timer of its own; any
+    timer of the order ends the wait of both halves. Rows of one time count app first,
+    then by status. Rows without order id or time are left out.
+
+    Where an order rests for longer than the timeout nothing waits any more, so its rows
+    are cut there into sessions that are followed apart; a session streams through
+    one task, which holds two halves and their timers.
+    """
+    known = F.col("order_id").isNotNull() & F.col("ts_ms").isNotNull()
+    rows = app.filter(known).select(
+        "order_id", F.lit(0).alias("side"), F.lit("").alias("status"), "ts_ms"
+    ).unionByName(
+        third.filter(known).select(
+            "order_id", F.lit(1).alias("side"), F.coalesce("status", F.lit("")).alias("status"), "ts_ms"
+        )
+    )
+    order = ["ts_ms", "side", "status"]
+    timed = previous_value(rows, ["order_id"], order, "ts_ms", "_prev", max_rows)
+    rested = F.coalesce(F.col("ts_ms") - F.col("_prev") > timeout_ms, F.lit(False))
+    timed = timed.withColumn("_rested", rested.cast("bigint")).drop("_prev")
+    sessions = running_totals(timed, ["order_id"], order, {"session": "_rested"}, max_rows)
+    return (
+        sessions.drop("_rested")
+        .repartition("order_id", "session")
+        .sortWithinPartitions("order_id", "session", *order)
+        .mapInArrow(bills.reporter(timeout_ms), "order_id string, outcome string, fire_ms bigint")
+    )

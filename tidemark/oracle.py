@@ -82,6 +82,53 @@ outcomes AS (
   FROM pairs WHERE abs(a - t) <= 21600000
 )"""
 
+AGAIN = """again AS (
+  SELECT user_id || '-' || k % 3 AS order_id, ms, CASE WHEN url = 'click' THEN 0 ELSE 1 END AS side,
+         CASE WHEN url = 'click' THEN '' WHEN value < 20 THEN 'fail' ELSE 'success' END AS status
+  FROM (SELECT *, row_number() OVER (PARTITION BY url, user_id ORDER BY ms, event_id) AS k
+        FROM e WHERE url IN ('click', 'purchase'))
+),
+in_turn AS (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY ms, side, status) AS rn FROM again
+),
+steps AS (
+  SELECT DISTINCT order_id, 0::BIGINT AS rn, NULL::BIGINT AS app, NULL::BIGINT AS third, NULL::VARCHAR AS status,
+         []::BIGINT[] AS timers, NULL::VARCHAR AS ended, NULL::BIGINT AS ended_ms,
+         NULL::VARCHAR AS matched, NULL::BIGINT AS ms
+  FROM again
+  UNION ALL
+  SELECT order_id, rn,
+         CASE WHEN matched = 'third_matched' THEN NULL WHEN matched IS NULL AND side = 0 THEN ms ELSE app END,
+         CASE WHEN matched = 'app_matched' THEN NULL WHEN matched IS NULL AND side = 1 THEN ms ELSE third END,
+         CASE WHEN matched = 'app_matched' THEN NULL WHEN matched IS NULL AND side = 1 THEN new_status ELSE status END,
+         list_concat(list_filter(timers, lambda t: t >= ms), CASE WHEN matched IS NULL THEN [ms + 21600000] ELSE [] END),
+         ended, ended_ms, matched, ms
+  FROM (
+    SELECT *, CASE WHEN side = 0 AND third IS NOT NULL AND status = 'success' THEN 'app_matched'
+                   WHEN side = 1 AND app IS NOT NULL AND new_status = 'success' THEN 'third_matched' END AS matched
+    FROM (
+      SELECT n.order_id, n.rn, n.ms, n.side, n.status AS new_status, s.timers,
+             CASE WHEN s.timers[1] < n.ms THEN NULL ELSE s.app END AS app,
+             CASE WHEN s.timers[1] < n.ms THEN NULL ELSE s.third END AS third,
+             CASE WHEN s.timers[1] < n.ms THEN NULL ELSE s.status END AS status,
+             CASE WHEN NOT s.timers[1] < n.ms THEN NULL WHEN s.app IS NOT NULL AND s.third IS NOT NULL THEN 'payment_failed'
+                  WHEN s.app IS NOT NULL THEN 'third_timeout' WHEN s.third IS NOT NULL THEN 'app_timeout' END AS ended,
+             s.timers[1] AS ended_ms
+      FROM steps s JOIN in_turn n ON n.order_id = s.order_id AND n.rn = s.rn + 1
+    )
+  )
+),
+again_outcomes AS (
+  SELECT order_id, ended AS outcome, ended_ms AS fire_ms FROM steps WHERE ended IS NOT NULL
+  UNION ALL
+  SELECT order_id, matched, ms FROM steps WHERE matched IS NOT NULL
+  UNION ALL
+  SELECT order_id, CASE WHEN app IS NOT NULL AND third IS NOT NULL THEN 'payment_failed'
+                        WHEN app IS NOT NULL THEN 'third_timeout' ELSE 'app_timeout' END, timers[1]
+  FROM steps JOIN (SELECT order_id, max(rn) AS rn FROM in_turn GROUP BY order_id) USING (order_id, rn)
+  WHERE len(timers) > 0 AND (app IS NOT NULL OR third IS NOT NULL)
+)"""
+
 PATTERNS = """moves AS (
   SELECT user_id, event_id, url, ms,
          lag(url) OVER (PARTITION BY user_id ORDER BY ms, event_id) AS prev
@@ -229,6 +276,9 @@ FROM e l JOIN e r ON l.user_id = r.user_id AND abs(l.ms - r.ms) <= 86400000
 WHERE l.url = 'signup' AND r.url = 'error'""",
     ),
     "bill_check": _sql(E, ORDERS, "SELECT order_id, outcome, fire_ms FROM outcomes"),
+    "bill_check_repeated": _sql(
+        E, AGAIN, "SELECT order_id, outcome, fire_ms FROM again_outcomes", recursive=True
+    ),
     "pattern_match": _sql(
         E, PATTERNS, "SELECT user_id, event_id, action1, action2 FROM matches"
     ),
@@ -275,14 +325,20 @@ FROM e""",
 _AS_TABLE = (
     "word_count", "url_tumbling_count", "url_topn_keyed", "url_topn_all", "window_join",
     "cogroup_left_join", "cogroup_full_join", "interval_join", "two_stream_join",
-    "two_stream_join_within", "bill_check", "pattern_match", "periodic_pv", "avg_ts_every_n",
+    "two_stream_join_within", "bill_check", "bill_check_repeated", "running_word_count", "pattern_match", "periodic_pv", "avg_ts_every_n",
     "buffered_rows", "route_alerts", "split_by_user",
 )
 ORACLE |= {f"stream_{name.removesuffix('_keyed')}": ORACLE[name] for name in _AS_TABLE}
 ORACLE |= {
     "stream_url_delayed_count": ORACLE["url_tumbling_count"],
-    "stream_bill_check_repeated": ORACLE["bill_check"],
     "stream_event_timer_trace": _sql(
-        E, TIMERS, "SELECT kind, user_id, ms FROM trace WHERE kind <> 'watermark'"
+        E,
+        TIMERS,
+        """tops AS (SELECT ms // 432000000 AS batch, max(ms) AS top FROM e GROUP BY ALL)""",
+        """SELECT kind, user_id, ms FROM trace WHERE kind <> 'watermark'
+UNION ALL
+SELECT 'watermark', user_id,
+  coalesce((SELECT max(top) FROM tops WHERE batch < e.ms // 432000000) - 1, 0)
+FROM e""",
     ),
 }

@@ -120,6 +120,19 @@ def bill_check(spark, data_dir):
     return ops.bill_check(sources.app_orders(events), sources.third_orders(events), 6 * HOUR)
 
 
+def again(orders, times=3):
+    """Only so many order ids per user, so that each comes again and again."""
+    k = F.substring_index("order_id", "-", -1)
+    user = F.expr("substring(order_id, 1, length(order_id) - length(substring_index(order_id, '-', -1)) - 1)")
+    return orders.withColumn("order_id", F.concat_ws("-", user, (k.cast("bigint") % times).cast("string")))
+
+
+def bill_check_repeated(spark, data_dir):
+    events = sources.click_events(spark, data_dir)
+    sides = again(sources.app_orders(events)), again(sources.third_orders(events))
+    return ops.bill_check_repeated(*sides, 6 * HOUR)
+
+
 def action_patterns(events: DataFrame) -> DataFrame:
     """view→click from the first event on, click→purchase from mid-January."""
     names = "action1 string, action2 string, ms bigint"
@@ -198,6 +211,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "two_stream_join": two_stream_join,
     "two_stream_join_within": two_stream_join_within,
     "bill_check": bill_check,
+    "bill_check_repeated": bill_check_repeated,
     "pattern_match": pattern_match,
     "periodic_pv": periodic_pv,
     "avg_ts_every_n": avg_ts_every_n,

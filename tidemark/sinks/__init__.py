@@ -2,6 +2,7 @@ from tidemark.sinks.streams import (
     counted_drops,
     latest_values,
     run_available_now,
+    run_batches,
     show_stream,
     split_late,
     start_parquet,
@@ -12,6 +13,7 @@ __all__ = [
     "counted_drops",
     "latest_values",
     "run_available_now",
+    "run_batches",
     "show_stream",
     "split_late",
     "start_parquet",

@@ -176,6 +176,29 @@ def counted_drops(spark: SparkSession):
         spark.streams.removeListener(drops)
 
 
+def run_batches(
+    stream: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str | None = None,
+    drain: bool = False,
+) -> None:
+    """Hand every micro-batch of the available input to ``write``, then stop."""
+    spark = stream.sparkSession
+    if checkpoint is None:
+        checkpoint = scratch_dir(spark, "stream-state")
+        delete_at_end(spark, checkpoint)
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    with streaming_settings(spark):
+        query = (writer if drain else writer.trigger(availableNow=True)).start()
+    try:
+        if drain:
+            query.processAllAvailable()
+    finally:
+        if drain:
+            query.stop()
+    query.awaitTermination()
+
+
 def split_late(
     stream: DataFrame, path: str, checkpoint: str, delay_ms: int = 0, ms: str = "ms", drain: bool = False
 ) -> tuple[DataFrame, DataFrame]:
@@ -203,16 +226,7 @@ def split_late(
         finally:
             batch.unpersist()
 
-    writer = without_end(stream).writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
-    if drain:
-        query = writer.start()
-        try:
-            query.processAllAvailable()
-        finally:
-            query.stop()
-    else:
-        query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
+    run_batches(without_end(stream), write, checkpoint, drain)
     rows = spark.read.parquet(f"{path}/rows")
     return rows.filter("not late").drop("late"), rows.filter("late").drop("late")
 

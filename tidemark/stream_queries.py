@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from tidemark import operators as ops
 from tidemark import sources, streaming
 from tidemark.functions import END, pick, split_lines, without_end
-from tidemark.queries import DAY, HOUR, ID, action_patterns
-from tidemark.schemas import EVENTS_TABLE
+from tidemark.queries import DAY, HOUR, ID, action_patterns, again
+from tidemark.schemas import DOCUMENTS_TABLE, EVENTS_TABLE
 from tidemark.session import written
 from tidemark.sinks import latest_values
 from tidemark.sinks import run_available_now as run_stream
@@ -59,6 +59,14 @@ def word_count(spark, data_dir):
     return latest_values(updates, ["word"], "cnt")
 
 
+def running_word_count(spark, data_dir):
+    path = f"{data_dir}/documents.parquet"
+    documents = sources.replay(spark, path, DOCUMENTS_TABLE, "doc_id").select("doc_id", "text")
+    return streaming.running_totals(
+        ops.document_words(documents), ["word"], ["doc_id", "line_no", "pos"], "running", drain=True
+    )
+
+
 def url_tumbling_count(spark, data_dir):
     counts = streaming.windowed_counts(_clicks(spark, data_dir), ["url"], HOUR)
     return run_available_now(counts)
@@ -149,7 +157,7 @@ def bill_check(spark, data_dir):
 
 
 def bill_check_repeated(spark, data_dir):
-    app, third = _order_streams(spark, data_dir)
+    app, third = _order_streams(spark, data_dir, again)
     return run_available_now(streaming.bill_check_repeated(app, third, 6 * HOUR))
 
 
@@ -182,9 +190,12 @@ def buffered_rows(spark, data_dir):
 
 
 def event_timer_trace(spark, data_dir):
-    # The watermark seen depends on how input falls into micro-batches.
-    trace = streaming.event_timer_trace(_clicks(spark, data_dir), watermarks=False)
-    return run_available_now(trace)
+    """The watermark that rows meet depends on the micro-batches, which are five days here."""
+    events = sources.click_events(spark, data_dir)
+    first, last = events.agg(F.min("ms"), F.max("ms")).first()
+    cuts = [1000 * ms for ms in range(first - first % (5 * DAY), last + 5 * DAY, 5 * DAY)] if events.take(1) else None
+    clicks = Clicks(spark, data_dir, cuts=cuts).stream(ranges_per_batch=1)
+    return run_available_now(streaming.event_timer_trace(clicks))
 
 
 def route_alerts(spark, data_dir):
@@ -208,6 +219,7 @@ def split_by_user(spark, data_dir):
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_word_count": word_count,
+    "stream_running_word_count": running_word_count,
     "stream_url_tumbling_count": url_tumbling_count,
     "stream_url_delayed_count": url_delayed_count,
     "stream_url_topn": url_topn,

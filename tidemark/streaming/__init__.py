@@ -15,6 +15,7 @@ from tidemark.streaming.keyed import (
     periodic_counts,
     previous_actions,
 )
+from tidemark.streaming.running import running_totals
 from tidemark.streaming.windows import top_windows, windowed_counts
 
 __all__ = [
@@ -29,6 +30,7 @@ __all__ = [
     "pattern_matches",
     "periodic_counts",
     "previous_actions",
+    "running_totals",
     "top_windows",
     "two_stream_join",
     "window_join",

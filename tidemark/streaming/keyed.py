@@ -94,7 +94,7 @@ def bill_check(
     halves = apps.withColumnRenamed("ts_ms", "app_ms").join(thirds, near, "full_outer")
     return halves.select(
         F.coalesce("order_id", "third_id").alias("order_id"), F.inline(check_outcomes(timeout_ms))
-    )
+    ).filter("order_id is not null")
 
 
 def bill_check_repeated(
@@ -112,6 +112,7 @@ def bill_check_repeated(
     both = row_watermark(apps, delay_ms, "ts_ms").unionByName(
         row_watermark(thirds, delay_ms, "ts_ms")
     )
+    both = both.filter("order_id is not null")
     added = {"outcome": T.StringType(), "fire_ms": T.LongType()}
     return _run(both, ["order_id"], p.BillCheck(timeout_ms), added)
 

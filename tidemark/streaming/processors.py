@@ -19,6 +19,8 @@ from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import StructType
 
+from tidemark.plans.bills import Halves
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -111,54 +113,30 @@ class BillCheck(Processor):
             "halves", "app_ms bigint, third_ms bigint, status string, timers array<bigint>"
         )
 
-    @staticmethod
-    def _timeout_outcome(app, third):
-        if app is not None and third is not None:
-            return "payment_failed"
-        if app is not None:
-            return "third_timeout"
-        return "app_timeout" if third is not None else None
-
     def handleInputRows(self, key, rows, timerValues):
-        app, third, status, pending = self.halves.get() or (None, None, None, [])
-        timers = before = sorted(pending)
-        for ms, side, row_status in sorted((r.ts_ms, r.side, r.status or "") for r in rows):
-            while timers and timers[0] < ms:
-                outcome = self._timeout_outcome(app, third)
-                if outcome:
-                    yield self.row(*key, outcome, timers[0])
-                app = third = status = None
-                timers = timers[1:]
-            if side == 0 and third is not None and status == "success":
-                yield self.row(*key, "app_matched", ms)
-                third = status = None
-                continue
-            if side == 1 and app is not None and row_status == "success":
-                yield self.row(*key, "third_matched", ms)
-                app = None
-                continue
-            if side == 0:
-                app = ms
-            else:
-                third, status = ms, row_status
-            timers = sorted({*timers, ms + self.timeout})
-        for due in set(before).difference(timers):
+        halves = Halves(self.timeout, *(self.halves.get() or ()))
+        before = list(halves.timers)
+        for ms, side, status in sorted((r.ts_ms, r.side, r.status or "") for r in rows):
+            for outcome in halves.row(ms, side, status):
+                yield self.row(*key, *outcome)
+        for due in set(before).difference(halves.timers):
             self.handle.deleteTimer(due)
-        for due in set(timers).difference(before):
+        for due in set(halves.timers).difference(before):
             self.handle.registerTimer(due)
-        self.halves.update((app, third, status, timers))
+        self.halves.update(halves.state())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        app, third, _, timers = self.halves.get()
+        app, third, status, timers = self.halves.get()
         due = expiredTimerInfo.getExpiryTimeInMs()
+        halves = Halves(self.timeout, app, third, status, [due])
+        outcomes = halves.fire()
         left = [t for t in timers if t != due]
         if left:
             self.halves.update((None, None, None, left))
         else:
             self.halves.clear()
-        outcome = self._timeout_outcome(app, third)
-        if outcome:
-            yield self.row(*key, outcome, due)
+        for outcome in outcomes:
+            yield self.row(*key, *outcome)
 
 
 def _nulls_first(values) -> tuple:
