@@ -1,9 +1,13 @@
 """Every registered query agrees with its SQL, run on whole tables."""
 
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from conftest import ROOT
 from oracle_check import duck, duck_result, spark_result, type_names
 from tidemark import operators as ops
 from tidemark import sources
@@ -40,6 +44,12 @@ def test_query(spark, connections, name):
     assert spark_result(df) == duck_result(connection, SQL[name])
 
 
+def test_event_queries_do_without_text_dependencies():
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; print(len(e.queries()), 'op1_toxicity' in e.queries())"
+    ran = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert ran.stdout.split() == [str(len(REGISTERED)), "False"]
+
+
 def _actions(events):
     return events.select("user_id", ID, "ms", F.col("url").alias("action"))
 

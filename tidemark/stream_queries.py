@@ -18,7 +18,7 @@ from tidemark import sources, streaming
 from tidemark.functions import END, pick, split_lines, without_end
 from tidemark.queries import DAY, HOUR, ID, action_patterns, again
 from tidemark.schemas import DOCUMENTS_TABLE, EVENTS_TABLE
-from tidemark.session import written
+from tidemark.session import delete_at_end, scratch_dir, written
 from tidemark.sinks import latest_values
 from tidemark.sinks import run_available_now as run_stream
 from tidemark.sources.events import clicks_of
@@ -76,7 +76,7 @@ def url_delayed_count(spark, data_dir):
     """Rows arrive up to an hour out of order, which the watermark's delay covers."""
     arrival = F.col("ms") + F.pmod(F.col(ID) * 7_919_000, F.lit(HOUR))
     events = sources.click_events(spark, data_dir).withColumn("arrival", arrival)
-    clicks = _replayed(events, "arrival", {"ms": END_MS, "arrival": END_MS})
+    clicks = _replayed(events, "arrival", {"ms": END_MS, "arrival": END_MS})()
     counts = streaming.windowed_counts(clicks, ["url"], HOUR, delay_ms=HOUR)
     return run_available_now(counts)
 
@@ -136,19 +136,21 @@ def two_stream_join_within(spark, data_dir):
 
 
 def _replayed(df, order, end):
-    """Rows that Spark derives, written once and replayed in order."""
-    stored = written(df, "replayed")
-    path = stored.inputFiles()[0].rsplit("/", 1)[0] if stored.inputFiles() else None
-    return sources.replay(df.sparkSession, path, df.schema, order, end)
+    """Rows that Spark derives, written once; a function that replays them in order."""
+    spark, schema = df.sparkSession, df.schema
+    path = scratch_dir(spark, "replayed")
+    df.write.parquet(path)
+    delete_at_end(spark, path)
+    cuts = sources.range_cuts(spark.read.schema(schema).parquet(path), order)
+    return lambda: sources.replay(spark, path, schema, order, end, cuts)
 
 
-def _order_streams(spark, data_dir, orders=None):
-    """Both kinds of orders, in step with each other, as a stream each."""
+def _order_streams(spark, data_dir, orders=lambda side: side):
+    """Both kinds of orders as a stream each; ranges in common keep them in step."""
     events = sources.click_events(spark, data_dir)
-    streams = []
-    for side in (sources.app_orders(events), sources.third_orders(events)):
-        streams.append(_replayed(orders(side) if orders else side, "ts_ms", {"ts_ms": END_MS}))
-    return streams
+    app, third = orders(sources.app_orders(events)), orders(sources.third_orders(events))
+    both = _replayed(third.unionByName(app, allowMissingColumns=True), "ts_ms", {"ts_ms": END_MS})
+    return [both().filter((F.col("platform") == name) | F.col(END)) for name in ("app", "third")]
 
 
 def bill_check(spark, data_dir):
