@@ -331,6 +331,9 @@ _AS_TABLE = (
 ORACLE |= {f"stream_{name.removesuffix('_keyed')}": ORACLE[name] for name in _AS_TABLE}
 ORACLE |= {
     "stream_url_delayed_count": ORACLE["url_tumbling_count"],
+    "stream_two_stream_join_salted": ORACLE["two_stream_join"],
+    "stream_pattern_control": ORACLE["pattern_match"],
+    "stream_buffered_rows_dealt": ORACLE["buffered_rows"],
     "stream_event_timer_trace": _sql(
         E,
         TIMERS,

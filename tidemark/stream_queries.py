@@ -145,6 +145,18 @@ def _replayed(df, order, end):
     return lambda: sources.replay(spark, path, schema, order, end, cuts)
 
 
+def two_stream_join_salted(spark, data_dir, salts=8):
+    """Users with over a fiftieth of all rows are dealt out; there are at most 50."""
+    events = sources.click_events(spark, data_dir)
+    per_user = events.groupBy("user_id").count()
+    many = per_user.filter(F.col("count") * 50 > F.lit(events.count())).select("user_id").collect()
+    streams = Clicks(spark, data_dir)
+    signups, errors = streams.of_url("signup", "left_id"), streams.of_url("error", "right_id")
+    hot = F.col("user_id").isin([r.user_id for r in many])
+    pairs = streaming.two_stream_join(signups, errors, "user_id", hot=hot, salts=salts)
+    return run_available_now(pairs.select("user_id", "left_id", "right_id"))
+
+
 def _order_streams(spark, data_dir, orders=lambda side: side):
     """Both kinds of orders as a stream each; ranges in common keep them in step."""
     events = sources.click_events(spark, data_dir)
@@ -175,6 +187,13 @@ def pattern_match(spark, data_dir):
     return matched.select("user_id", ID, "action1", "action2")
 
 
+def pattern_control(spark, data_dir):
+    """The patterns come as a stream of their own."""
+    rules = _replayed(action_patterns(sources.click_events(spark, data_dir)), "ms", {"ms": END_MS})
+    actions = pick(_clicks(spark, data_dir), "user_id", ID, "ms", F.col("url").alias("action"))
+    return run_available_now(streaming.controlled_matches(actions, rules()))
+
+
 def periodic_pv(spark, data_dir):
     counts = streaming.periodic_counts(_clicks(spark, data_dir), ["user_id"], 6 * HOUR)
     return run_available_now(counts)
@@ -191,6 +210,12 @@ def buffered_rows(spark, data_dir):
     return run_available_now(streaming.full_chunks(sharded))
 
 
+def buffered_rows_dealt(spark, data_dir):
+    events = Clicks(spark, data_dir, ID, end=False).stream()
+    sharded = events.select((F.col("user_id") % 4).alias("shard"), ID)
+    return streaming.dealt_chunks(sharded, drain=True)
+
+
 def event_timer_trace(spark, data_dir):
     """The watermark that rows meet depends on the micro-batches, which are five days here."""
     events = sources.click_events(spark, data_dir)
@@ -232,12 +257,15 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_interval_join": interval_join,
     "stream_two_stream_join": two_stream_join,
     "stream_two_stream_join_within": two_stream_join_within,
+    "stream_two_stream_join_salted": two_stream_join_salted,
     "stream_bill_check": bill_check,
     "stream_bill_check_repeated": bill_check_repeated,
     "stream_pattern_match": pattern_match,
+    "stream_pattern_control": pattern_control,
     "stream_periodic_pv": periodic_pv,
     "stream_avg_ts_every_n": avg_ts_every_n,
     "stream_buffered_rows": buffered_rows,
+    "stream_buffered_rows_dealt": buffered_rows_dealt,
     "stream_event_timer_trace": event_timer_trace,
     "stream_route_alerts": route_alerts,
     "stream_split_by_user": split_by_user,

@@ -1,3 +1,4 @@
+from tidemark.streaming.buffering import dealt_chunks
 from tidemark.streaming.joins import (
     cogroup_full_join,
     cogroup_left_join,
@@ -10,6 +11,7 @@ from tidemark.streaming.keyed import (
     bill_check,
     bill_check_repeated,
     event_timer_trace,
+    controlled_matches,
     full_chunks,
     pattern_matches,
     periodic_counts,
@@ -24,6 +26,8 @@ __all__ = [
     "bill_check_repeated",
     "cogroup_full_join",
     "cogroup_left_join",
+    "controlled_matches",
+    "dealt_chunks",
     "event_timer_trace",
     "full_chunks",
     "interval_join",

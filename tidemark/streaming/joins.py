@@ -3,10 +3,10 @@ passes; unmatched rows appear at that moment."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import row_watermark, time_order, window_start, with_event_time, without_end
+from tidemark.functions import END, row_watermark, time_order, window_start, with_event_time, without_end
 
 
 def _windowed(df: DataFrame, size_ms: int, delay_ms: int, ms: str) -> DataFrame:
@@ -130,8 +130,25 @@ def two_stream_join(
     within_ms: int | None = None,
     delay_ms: int = 0,
     ms: str = "ms",
+    hot: Column | None = None,
+    salts: int = 1,
 ) -> DataFrame:
-    """Every pair with equal key. Without ``within_ms`` all rows stay in state."""
+    """Every pair with equal key. Without ``within_ms`` all rows stay in state.
+
+    Keys for which the condition ``hot`` holds are dealt out: a left row goes to one of
+    ``salts`` groups by a hash of it, a right row to all of them, so pairs meet once and
+    the state of such a key lies in as many places.
+    """
+    if hot is not None and salts > 1:
+        dealt = F.pmod(F.xxhash64(*(f"`{c}`" for c in left.columns if c != END)), F.lit(salts))
+        every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+        first = F.lit(0).cast("bigint")
+        left = left.withColumn("_salt", F.when(hot, dealt).otherwise(first))
+        right = right.withColumn("_salt", F.explode(F.when(hot, every).otherwise(F.array(first))))
+        both = F.struct(F.col(key).alias("key"), F.col("_salt").alias("salt"))
+        left = left.withColumn("_dealt", F.when(F.col(key).isNotNull(), both)).drop("_salt")
+        right = right.withColumn("_dealt", F.when(F.col(key).isNotNull(), both)).drop("_salt", key)
+        return two_stream_join(left, right, "_dealt", within_ms, delay_ms, ms).drop("_dealt")
     if within_ms is not None:
         return interval_join(left, right, key, within_ms, within_ms, delay_ms, ms)
     lefts, rights = without_end(left), without_end(right)

@@ -182,6 +182,44 @@ def previous_actions(
     return _run(slim, [user], p.PreviousAction(), added, timed=False)
 
 
+def controlled_matches(
+    actions: DataFrame,
+    patterns: DataFrame,
+    user: str = "user_id",
+    tie: str = "event_id",
+    delay_ms: int = 0,
+    shards: int | None = None,
+    ms: str = "ms",
+) -> DataFrame:
+    """``user, event, action1, action2`` where a user's last and present action are the
+    pattern in force, with the patterns as a stream of their own.
+
+    A pattern (``action1, action2, ms``) holds from its time until the next one's. Rows
+    wait until the watermark of both streams, which is the slower one's, has passed
+    them, and are then followed in order of time, a pattern before actions of its
+    time. So the result does not depend on how the two streams interleave. Patterns go
+    to every shard of users; waiting rows are those between the two streams' times.
+    """
+    shards = shards or 4 * actions.sparkSession.sparkContext.defaultParallelism
+    kinds = {c: actions.schema[c].dataType for c in (user, tie)}
+    texts = {c: F.lit(None).cast("string").alias(c) for c in ("action", "action1", "action2")}
+    moves = pick(
+        actions, F.pmod(F.xxhash64(user), F.lit(shards)).alias("shard"), F.lit(1).alias("kind"),
+        F.col(ms).alias("ms"), F.col(tie).alias("id"), F.col(user).alias("user"),
+        "action", texts["action1"], texts["action2"],
+    )
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint")))
+    rules = pick(
+        patterns, every.alias("shard"), F.lit(0).alias("kind"), F.col("ms"),
+        F.lit(None).cast(kinds[tie]).alias("id"), F.lit(None).cast(kinds[user]).alias("user"),
+        texts["action"], "action1", "action2",
+    )
+    both = row_watermark(moves, delay_ms).unionByName(row_watermark(rules, delay_ms))
+    added = {user: kinds[user], tie: kinds[tie], "action1": T.StringType(), "action2": T.StringType()}
+    processor = p.ControlledMatch(kinds[user].simpleString(), kinds[tie].simpleString())
+    return _run(both, ["shard"], processor, added).drop("shard")
+
+
 def pattern_matches(
     patterns: Callable[[], DataFrame],
     user: str = "user_id",

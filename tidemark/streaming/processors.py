@@ -198,3 +198,64 @@ class PreviousAction(Processor):
                 yield self.row(*key, at, ms, action, previous)
             previous = action
         self.last.update((previous,))
+
+
+class ControlledMatch(Processor):
+    """Holds actions and patterns until time has passed them, then follows them in order."""
+
+    def __init__(self, user: str, tie: str):
+        self.user_type, self.tie_type = user, tie
+
+    def init(self, handle):
+        super().init(handle)
+        self.waiting = handle.getListState(
+            "waiting",
+            f"ms bigint, kind int, id {self.tie_type}, user {self.user_type}, action string, action1 string, action2 string",
+        )
+        self.due = handle.getValueState("due", "ms bigint")
+        self.rule = handle.getValueState("rule", "action1 string, action2 string")
+        self.last = handle.getMapState("last", f"user {self.user_type}", "action string")
+
+    def _wait(self, due):
+        """One timer, at the first time that waits."""
+        (before,) = self.due.get() or (None,)
+        if before is not None and (due is None or due != before):
+            self.handle.deleteTimer(before)
+        if due is not None and due != before:
+            self.handle.registerTimer(due)
+        self.due.update((due,))
+
+    def handleInputRows(self, key, rows, timerValues):
+        new = [(r.ms, r.kind, r.id, r.user, r.action, r.action1, r.action2) for r in rows if r.ms is not None]
+        if new:
+            self.waiting.appendList(new)
+            (due,) = self.due.get() or (None,)
+            first = min(row[0] for row in new)
+            self._wait(first if due is None else min(due, first))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        (due,) = self.due.get() or (None,)
+        if due != expiredTimerInfo.getExpiryTimeInMs():
+            return
+        passed = timerValues.getCurrentWatermarkInMs()
+        held = [tuple(row) for row in self.waiting.get()]
+        ready = sorted((r for r in held if r[0] <= passed), key=_nulls_first)
+        left = [r for r in held if r[0] > passed]
+        rule = self.rule.get()
+        for ms, kind, at, user, action, action1, action2 in ready:
+            if kind == 0:
+                rule = (action1, action2)
+                continue
+            last = self.last.getValue((user,)) if self.last.containsKey((user,)) else None
+            if last is not None and rule is not None and (last[0], action) == tuple(rule):
+                yield self.row(*key, user, at, *rule)
+            self.last.updateValue((user,), (action,))
+        if rule is not None:
+            self.rule.update(tuple(rule))
+        if left:
+            self.waiting.put(left)
+        else:
+            self.waiting.clear()
+        self.due.update((None,))
+        self._wait(min((r[0] for r in left), default=None))
