@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, host_rules, html_render, pii, simhash
@@ -149,3 +150,53 @@ def test_dates_are_linked_in_every_spelling():
         assert new.split() == want
         images.add(new.split()[0])
     assert len(images) == 3
+
+
+ITEM = "this is a benchmark item of some sixty two characters in total"
+
+
+@pytest.mark.parametrize("gap", [0, 4_500, 30_000])
+def test_gaps_across_cuts_lose_nothing(monkeypatch, gap):
+    monkeypatch.setattr(decontaminate, "SEGMENT", 8192)
+    index = decontaminate.build_index([(1, ITEM)])
+    for offset in range(0, 800, 160):
+        for place in (10, 30, 50):
+            at = ITEM.index(" ", place)
+            filler = "filler words go on " * ((8192 * 2 - 500 + offset) // 19)
+            text = filler + ITEM[:at] + " " * gap + ITEM[at:] + " end of it all" * 900
+            leaks = decontaminate.leaks_of_texts([None, text], index)
+            assert list(leaks) == [(1, 0)]
+            _, edits, start, end = leaks[1, 0][0]
+            assert edits == 0 and text[start:end].split() == ITEM.split()
+
+
+def test_repetitive_texts_stay_small(monkeypatch):
+    """Where every place of a text meets every place of an item, parts are looked at."""
+    index = decontaminate.build_index([(1, "ab " * 60), (2, ITEM)])
+    plain = decontaminate.leaks_of_texts(["x " + "ab " * 900 + ITEM], index)
+    monkeypatch.setattr(decontaminate, "MAX_SHARED", 1000)
+    parts = decontaminate.leaks_of_texts(["x " + "ab " * 900 + ITEM], index)
+    assert plain == parts and {len(v) for v in plain.values()} == {116, 1}
+    assert all(edits == 0 for rows in plain.values() for _, edits, *_ in rows)
+
+
+def test_missing_grams_need_edits():
+    """The windows given up before alignment are none that alignment would accept."""
+    rng = random.Random(4)
+    letters = "abcde "
+    item = "".join(rng.choice(letters) for _ in range(90))
+    index = decontaminate.build_index([(1, item)])
+    for _ in range(60):
+        text = list(item)
+        for _ in range(rng.randrange(12)):
+            at = rng.randrange(len(text))
+            text[at : at + rng.randrange(2)] = rng.choice(["", rng.choice(letters)])
+        text = "zz " + "".join(text) + " yy"
+        chars, _ = decontaminate.normalize(text)
+        found = {w for w, *_ in decontaminate.find_leaks(chars, index)}
+        low = decontaminate.np.arange(-8, len(chars))
+        for window in range(int(index.of_windows[0])):
+            rows = decontaminate.np.repeat(index.chars[window : window + 1], len(low), axis=0)
+            sizes = decontaminate.np.full(len(low), int(index.size[0]))
+            edits, _ = decontaminate.align(chars, rows, sizes, low, decontaminate.np.full(len(low), 8))
+            assert (edits.min() <= index.budget[0]) == (window in found)

@@ -3,8 +3,9 @@
 Every window of a benchmark item is searched, from each of its characters on. A text region within ``k`` edits of a
 window of ``m`` characters shares at least ``m + 1 - q (k + 1)`` character q-grams with
 it, all on ``k + 1`` neighbouring diagonals. Shared q-grams are counted in overlapping
-diagonal bands; windows that meet the bound are verified by banded alignment. Items too
-short for that are searched as whole words.
+diagonal bands; windows that meet the bound are verified by banded alignment. A window
+whose q-grams all follow each other on one diagonal is there without edits, and needs no
+alignment. Items too short for that are searched as whole words.
 """
 
 from __future__ import annotations
@@ -27,8 +28,12 @@ EDIT_RATE = 0.1
 MIN_CHARS = 32
 # Characters of benchmark text whose index one pass over the texts carries along.
 BLOCK_CHARS = 4_000_000
-# Characters of text handled at once; longer texts are read in overlapping segments.
+# Characters of text handled at once; longer texts are read in segments, each of which
+# starts with so many normalised characters of the one before.
 SEGMENT = 1 << 21
+OVERLAP = 4 * WINDOW
+# Shared q-grams looked at together; where there are more, the text is halved.
+MAX_SHARED = 1 << 20
 _MARK = 0x10FFFF  # ends a text; no q-gram reaches over it
 _BASE = 0x100000001B3
 _FILTER_BITS = 22
@@ -157,35 +162,71 @@ def _spaced(chars: np.ndarray) -> np.ndarray:
     return padded
 
 
-def band_candidates(chars: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and lowest diagonals of the bands with enough shared q-grams.
+def shared_grams(chars: np.ndarray, index: Index, most: int | None = None):
+    """Places in the text and in the items of all q-grams that they share.
 
-    A band is ``2 (k + 1)`` diagonals wide and starts at every ``k + 1``-th, so any
-    ``k + 1`` neighbouring diagonals lie within one band. In each band of an item the
-    shared q-grams are in order of their place, so those of a window follow each other.
+    None if there are more than ``most``.
     """
     none = np.empty(0, np.int64), np.empty(0, np.int64)
     hashes = gram_hashes(chars, index.q)
-    if not len(index.grams):
+    if not len(index.grams) or not len(hashes):
         return none
     maybe = np.flatnonzero(index.seen[hashes >> np.uint64(64 - _FILTER_BITS)])
     found = np.searchsorted(index.grams, hashes[maybe])
     found[found == len(index.grams)] = 0
     hit = index.grams[found] == hashes[maybe]
     at, gram = maybe[hit], found[hit]
+    counts = index.first[gram + 1] - index.first[gram]
+    total = int(counts.sum())
+    if not total:
+        return none
+    if most is not None and total > most:
+        return None
+    entry = np.arange(total) - np.repeat(np.cumsum(counts) - counts - index.first[gram], counts)
+    at, place = np.repeat(at, counts), index.place[entry]
+    same = np.ones(total, bool)  # characters decide, not hashes
+    for i in range(index.q):
+        same &= chars[at + i] == index.text[place + i]
+    return at[same], place[same]
+
+
+def exact_windows(at: np.ndarray, place: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that a run of q-grams on one diagonal holds whole, and where they begin."""
+    if not len(at):
+        return place, at
+    broad = len(index.item_of)  # by diagonal, then by place
+    diagonal, place = np.divmod(np.sort((at - place + broad) * broad + place), broad)
+    at = diagonal - broad + place
+    item = index.item_of[place]
+    follows = (np.diff(place) == 1) & (np.diff(at) == 1) & (np.diff(item) == 0)
+    starts = np.flatnonzero(np.append(True, ~follows))
+    behind = np.append(starts[1:], len(at))
+    run_end = np.repeat(behind, behind - starts)
+    needed = (index.size - index.q)[item]
+    whole = np.arange(len(at)) + needed < run_end
+    return place[whole], at[whole]
+
+
+def band_candidates(
+    at: np.ndarray, place: np.ndarray, index: Index
+) -> tuple[np.ndarray, np.ndarray]:
+    """Windows and lowest diagonals of the bands with enough shared q-grams.
+
+    A band is ``2 (k + 1)`` diagonals wide and starts at every ``k + 1``-th, so any
+    ``k + 1`` neighbouring diagonals lie within one band. In each band of an item the
+    shared q-grams are in order of their place, so those of a window follow each other.
+    """
+    none = np.empty(0, np.int64), np.empty(0, np.int64)
     if not len(at):
         return none
-    counts = index.first[gram + 1] - index.first[gram]
-    ends = np.cumsum(counts)
-    entry = np.arange(ends[-1]) - np.repeat(ends - counts - index.first[gram], counts)
-    place = index.place[entry]
     item = index.item_of[place]
     place = place - index.start[item]
     # diagonals start at the item's length below the text, to stay positive
-    band = (np.repeat(at, counts) - place + index.length[item]) // (index.budget[item] + 1)
+    band = (at - place + index.length[item]) // (index.budget[item] + 1)
     bands, longest = int(band.max()) + 2, int(index.length.max())
     keys = (item * bands + band + 1) * longest + place
     keys = np.sort(np.concatenate([keys, keys - longest]))
+    shared = keys[np.append(True, keys[1:] != keys[:-1])]
     group, place = np.divmod(keys, longest)
     item, band = group // bands, group % bands - 1
     last = np.arange(len(keys)) + index.needed[item] - 1
@@ -196,16 +237,46 @@ def band_candidates(chars: np.ndarray, index: Index) -> tuple[np.ndarray, np.nda
     i, last, reach = i[enough], last[enough], reach[enough]
     if not len(i):
         return none
-    # every window that holds the q-grams from i to last
+    # every window that holds the q-grams from i to last; both ends rise within a group,
+    # so what the one before has named already is left out
     low = np.maximum(place[last] - reach, 0)
     high = np.minimum(place[i], (index.length - index.size)[item[i]])
+    again = group[i][1:] == group[i][:-1]
+    low[1:] = np.where(again, np.maximum(low[1:], high[:-1] + 1), low[1:])
     wide = np.maximum(high - low + 1, 0)
     offset = np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide - low, wide)
-    group, offset = np.divmod(np.unique(np.repeat(group[i], wide) * longest + offset), longest)
+    group = np.repeat(group[i], wide)
+    few = explained(group * longest + offset, shared, index, group // bands)
+    group, offset = group[few], offset[few]
     item, band = group // bands, group % bands - 1
     return index.start[item] + offset, band * (index.budget[item] + 1) - index.length[item] + offset
 
 
+def explained(
+    start: np.ndarray, shared: np.ndarray, index: Index, item: np.ndarray
+) -> np.ndarray:
+    """Windows whose missing q-grams their budget of edits can explain.
+
+    ``shared`` are the places of a band's q-grams, in order, and ``start`` is a window's
+    first. An edit spoils ``q`` q-grams in a row at most, so edits are counted off from
+    the first missing one on, as many as are needed at the least.
+    """
+    runs = np.flatnonzero(np.append(np.diff(shared) != 1, True))
+    run_end = np.repeat(shared[runs], np.diff(np.append(-1, runs)))
+    end = start + (index.size - index.q)[item]
+    place, edits = start.copy(), np.zeros(len(start), np.int64)
+    left = np.arange(len(start))
+    while len(left):
+        at = np.minimum(np.searchsorted(shared, place[left]), len(shared) - 1)
+        there = shared[at] == place[left]
+        place[left] = np.where(there, run_end[at] + 1, place[left])
+        left = left[place[left] <= end[left]]
+        edits[left] += 1
+        place[left] += index.q
+        left = left[edits[left] <= index.budget[item[left]]]
+    return edits <= index.budget[item]
+
+
 def whole_words(chars: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
     """``window, first, end, 0`` of every short item between spaces or ends of texts."""
     leaks = []
@@ -253,9 +324,33 @@ def align(
 
 
 def find_leaks(chars: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
-    """``window, first, end, edits`` of every verified region of normalised text."""
-    window, low = band_candidates(chars, index)
+    """``window, first, end, edits`` of verified regions of normalised text.
+
+    Every window that is in a text is reported there, in the region with the fewest edits
+    and, without edits, in the first. Texts in which q-grams repeat without end are
+    halved, with windows to spare, so that what is looked at together is bounded.
+    """
+    shared = shared_grams(chars, index, MAX_SHARED if len(chars) > 4 * OVERLAP else None)
+    if shared is None:
+        middle = len(chars) // 2
+        tail = [(w, a + middle, b + middle, e) for w, a, b, e in find_leaks(chars[middle:], index)]
+        return find_leaks(chars[: middle + OVERLAP], index) + tail
+    at, place = shared
     leaks = whole_words(chars, index)
+    texts = np.cumsum(chars == 0)
+    exact, first = exact_windows(at, place, index)
+    size = index.size[index.item_of[exact]]
+    keys = texts[np.minimum(first + size // 2, len(chars) - 1)] * len(index.item_of) + exact
+    order = np.lexsort((first, keys))
+    known, pick = np.unique(keys[order], return_index=True)
+    exact, first, size = exact[order][pick], first[order][pick], size[order][pick]
+    leaks += zip(exact.tolist(), first.tolist(), (first + size).tolist(), [0] * len(exact))
+
+    window, low = band_candidates(at, place, index)
+    item = index.item_of[window]
+    middle = np.clip(low + index.budget[item] + 1 + index.size[item] // 2, 0, len(chars) - 1)
+    new = ~np.isin(texts[middle] * len(index.item_of) + window, known)
+    window, low = window[new], low[new]
     rows, broad = index.chars, index.chars.shape[1]
     for part in range(0, len(window), 1 << 14):
         w, lo = window[part : part + (1 << 14)], low[part : part + (1 << 14)]
@@ -277,48 +372,65 @@ def find_leaks(chars: np.ndarray, index: Index) -> list[tuple[int, int, int, int
     return leaks
 
 
-def _segments(texts: list[str | None], overlap: int) -> Iterator[list[tuple[int, int, str]]]:
-    """Lists of ``text number, first place, text`` of about ``SEGMENT`` characters."""
-    group: list[tuple[int, int, str]] = []
+def _segments(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, list[tuple[int, bool, bool]]]]:
+    """Normalised characters, their places in their texts, and the pieces they are.
+
+    A piece is a text's number and whether the text has more before and behind it; marks
+    stand between pieces. Short texts are joined. A longer text is read in segments that
+    begin with the last ``OVERLAP`` normalised characters of the one before, so no
+    amount of white space moves a window out of the overlap.
+    """
+    group: list[tuple[int, str]] = []
     room = SEGMENT
+
+    def joined():
+        chars, places = normalize(chr(_MARK).join(text for _, text in group))
+        starts = np.cumsum([0, *(len(text) + 1 for _, text in group)])
+        places = places - starts[np.searchsorted(starts, places, "right") - 1]
+        return chars, places, [(number, False, False) for number, _ in group]
+
     for number, text in enumerate(texts):
         if not text:
             continue
-        for first in range(0, max(len(text) - overlap, 1), SEGMENT):
-            piece = text[first : first + SEGMENT + overlap]
-            if group and len(piece) > room:
-                yield group
+        if len(text) <= SEGMENT:
+            if group and len(text) > room:
+                yield joined()
                 group, room = [], SEGMENT
-            group.append((number, first, piece))
-            room -= len(piece)
+            group.append((number, text))
+            room -= len(text)
+            continue
+        chars, places = np.empty(0, np.uint32), np.empty(0, np.int64)
+        for first in range(0, len(text), SEGMENT):
+            more, where = normalize(text[first : first + SEGMENT])
+            if len(chars) and len(more) and chars[-1] == more[0] == 32:
+                more, where = more[1:], where[1:]
+            before = bool(first) and places[0] > 0
+            chars, places = np.concatenate([chars, more]), np.concatenate([places, where + first])
+            yield chars, places, [(number, before, first + SEGMENT < len(text))]
+            chars, places = chars[-OVERLAP:], places[-OVERLAP:]
     if group:
-        yield group
+        yield joined()
 
 
 def leaks_of_texts(texts: list[str | None], index: Index) -> dict[tuple[int, int], list]:
     """By text and item number: verified windows with place in the text and edits."""
     found: dict[tuple[int, int], dict[int, tuple[int, int, int]]] = {}
-    # white space may stretch a window; segments overlap by far more than that
-    for group in _segments(texts, 64 * WINDOW):
-        joined = chr(_MARK).join(piece for _, _, piece in group)
-        chars, places = normalize(joined)
+    for chars, places, pieces in _segments(texts):
         leaks = find_leaks(chars, index)
         if not leaks:
             continue
-        starts = np.cumsum([0, *(len(piece) + 1 for _, _, piece in group)])
+        marks = np.flatnonzero(chars == 0)
         for window, first, end, edits in leaks:
-            from_place, to_place = int(places[first]), int(places[end - 1]) + 1
-            k = int(np.searchsorted(starts, from_place, "right")) - 1
-            number, offset, piece = group[k]
-            shift = offset - int(starts[k])
-            if index.length[index.item_of[window]] < MIN_CHARS:
-                # a word may go on in the segment before or after, which has it whole
-                cut_left = offset and from_place == starts[k]
-                cut_right = offset + len(piece) < len(texts[number]) and to_place == starts[k] + len(piece)
-                if cut_left or cut_right:
+            k = int(np.searchsorted(marks, first, "right"))
+            number, before, behind = pieces[min(k, len(pieces) - 1)]
+            if index.size[index.item_of[window]] == index.length[index.item_of[window]] and (
+                before and first == 0 or behind and end == len(chars)
+            ):
+                # a short item's word may go on in the segment before or after, which has it whole
+                if index.budget[index.item_of[window]] == 0:
                     continue
             known = found.setdefault((number, int(index.item_of[window])), {})
-            row = (edits, from_place + shift, to_place + shift)
+            row = (edits, int(places[first]), int(places[end - 1]) + 1)
             known[window] = min(row, known.get(window, row))
     return {key: sorted((w, *row) for w, row in known.items()) for key, known in found.items()}
 
@@ -330,7 +442,7 @@ def benchmark_blocks(
     items = plain_columns(benchmark, id=id_col, text=text_col).filter(F.length("text") > 0)
     total = items.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
     blocks = -(-total // block_chars)
-    number = F.pmod(F.xxhash64("text"), F.lit(max(blocks, 1)))
+    number = F.pmod(F.xxhash64("text", "id"), F.lit(max(blocks, 1)))  # equal items spread too
     for block in range(blocks):
         yield [(r["id"], r["text"]) for r in items.filter(number == block).toLocalIterator()]
 
