@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, host_rules, pieces, pii, simhash
-from tidemark.llm.queries import PIECE_MODEL
+from tidemark.llm.queries import PIECE_MODEL, pseudonym_key
 from tidemark.session import written
 
 
@@ -32,7 +32,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data become pseudonyms; null texts stay null."""
-    return pii.pseudonymize(docs).select(*docs.columns)
+    return pii.pseudonymize(docs, key=pseudonym_key(spark)).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,10 +96,12 @@ def test_html(spark):
 
 
 def test_pii(edges, nothing):
-    out = pii.pseudonymize(edges)
+    with pytest.raises(ValueError, match="key"):
+        pii.pseudonymize(edges)
+    out = pii.pseudonymize(edges, key="k")
     assert sorted(map(repr, (r.text for r in out.collect()))) == sorted(map(repr, (r.text for r in edges.collect())))
     assert {r.n_values for r in out.collect()} == {0}
-    assert pii.pseudonymize(nothing).count() == 0
+    assert pii.pseudonymize(nothing, key="k").count() == 0
 
 
 def test_simhash(edges, nothing):

@@ -24,7 +24,6 @@ from tidemark.llm.common import PREFIX
 
 ROUNDS = 10
 KEY_SETTING = "spark.tidemark.pii.key"
-DEFAULT_KEY = "replace this key in production"
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
 
@@ -315,9 +314,12 @@ def pseudonymize(
     spellings; whether its day is over 12 stays. Null texts stay
     null and empty ones empty; each row is handled alone, so repeated rows come out
     equal; columns of the input named like the two new ones are replaced. No shuffle.
-    The key is ``key`` or the session's ``spark.tidemark.pii.key``.
+    The key is ``key`` or the session's ``spark.tidemark.pii.key``; there is no other, as
+    whoever knows the key can undo the pseudonyms.
     """
-    key = key or docs.sparkSession.conf.get(KEY_SETTING, DEFAULT_KEY)
+    key = key or docs.sparkSession.conf.get(KEY_SETTING, None)
+    if not key:
+        raise ValueError(f"give a key, or set {KEY_SETTING}")
     result = f"{PREFIX}result"
     kept = [c for c in docs.columns if c not in ("n_values", "kinds")]
     changed = docs.select(

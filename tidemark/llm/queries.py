@@ -25,6 +25,8 @@ from tidemark.llm import (
 from tidemark.llm.common import stored
 
 N_SHARDS = 40
+# The key of the queries on the synthetic tables, unless the session has one. No secret.
+SAMPLE_KEY = "key of the synthetic tables"
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -32,6 +34,10 @@ def _documents(spark: SparkSession, data_dir: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir}/documents.parquet")
 
 
+def pseudonym_key(spark: SparkSession) -> str:
+    return spark.conf.get(pii.KEY_SETTING, None) or SAMPLE_KEY
+
+
 def op1_toxicity(spark: SparkSession, data_dir: str) -> DataFrame:
     """A toxicity score for every document, from the labels of three quarters of the ids."""
     docs = _documents(spark, data_dir).select("doc_id", "text")
@@ -69,7 +75,7 @@ def op2_sharding(spark: SparkSession, data_dir: str) -> DataFrame:
 def op3_pii_pseudonyms(spark: SparkSession, data_dir: str) -> DataFrame:
     """Every text with its personal data replaced by keyed pseudonyms."""
     docs = _documents(spark, data_dir).select("doc_id", "text")
-    return pii.pseudonymize(docs)
+    return pii.pseudonymize(docs, key=pseudonym_key(spark))
 
 
 def op4_sentencepiece(spark: SparkSession, data_dir: str) -> DataFrame:
