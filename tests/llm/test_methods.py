@@ -432,5 +432,5 @@ def test_pipeline_equals_its_stages_one_by_one(spark, texts, library):
             root[high] = low
     first = [i for i in good if find(i) == i]
     clean = [i for i in first if not decontaminate.leaks_of_texts([texts[i]], index)]
-    names = pii.Pseudonymizer(SAMPLE_KEY)
+    names = pii.Pseudonymizer(queries.SAMPLE_KEY)
     assert rows == {i: library.encode(names.text(texts[i])[0]) for i in clean}
