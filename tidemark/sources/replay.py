@@ -74,9 +74,10 @@ class OrderedReader(DataSourceStreamReader):
         return {"range": 0}
 
     def latestOffset(self) -> dict:
-        # the end comes alone, so that all other ranges are taken before
         last = len(self.cuts) - 1
-        self.at = self.ranges if self.at >= last else min(self.at + self.step, last)
+        self.at = self.at + self.step
+        if self.at >= last:  # the end comes with the last ranges; its time counts from then on
+            self.at = self.ranges
         return {"range": self.at}
 
     def _opened(self):
