@@ -3,8 +3,9 @@
 Every string of ``length`` bytes is a suffix cut short. The suffixes are dealt out by
 their minimizer: the smallest hash among the short grams inside. Equal strings have equal
 minimizers, and neighbouring suffixes mostly share one, so a run of them travels as one
-segment of text. Where segments with equal minimizers meet, their suffixes are sorted:
-multikey quicksort, eight bytes at a time, down to a shallow depth, and blind tries for
+segment of text. First only the minimizers travel, and each document learns which of its
+own some other document has; segments of the others cannot hold a repeat and stay. Where
+segments with equal minimizers meet, their suffixes are sorted: multikey quicksort, eight bytes at a time, down to a shallow depth, and blind tries for
 the groups that are still together there. Suffixes that are equal in full then stand side
 by side, and all but those of the smallest document id are repeats.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +27,11 @@ from tidemark.llm.common import plain_columns
 LENGTH = 50
 GRAM = 16
 # Bytes of text from which one batch of segments is made.
-BLOCK_BYTES = 5 << 20
+BLOCK_BYTES = 3 << 20
 # Bytes of segments that one group holds, about.
-GROUP_BYTES = 24 << 20
+GROUP_BYTES = 32 << 20
+# Suffixes that are sorted at a time; more only if they share one minimizer.
+SORTED_AT_ONCE = 1 << 20
 # Words of eight bytes that multikey quicksort compares before blind tries take over.
 SHALLOW_WORDS = 3
 _PLACE_BITS = 24
@@ -106,6 +110,21 @@ def _gather(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray
     return data[np.arange(total) + shift]
 
 
+def _codes(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each minimizer and 32 bits of its hash in one number."""
+    return (hashes % np.uint64(buckets)) << np.uint64(32) | hashes >> np.uint64(32)
+
+
+def _equal_to(data: np.ndarray, first: np.ndarray, size: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes from ``first`` on are those from ``other`` on."""
+    equal = np.ones(len(first), bool)
+    for at in range(0, len(first), 1 << 14):
+        part = slice(at, at + (1 << 14))
+        differ = _gather(data, first[part], size[part]) != _gather(data, other[part], size[part])
+        equal[part] = ~np.logical_or.reduceat(differ, np.cumsum(size[part]) - size[part])
+    return equal
+
+
 def runs(places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Maximal stretches covered by strings of ``length`` at sorted ``places``."""
     if not len(places):
@@ -118,14 +137,21 @@ def runs(places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 # --- sorting ------------------------------------------------------------------------
 
 
-def _words(data: np.ndarray, at: np.ndarray, offset: int, used: int) -> np.ndarray:
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; zeros follow the end."""
+    words, width = data.astype(np.uint64), 1
+    while width < 8:
+        words <<= np.uint64(8 * width)
+        words[:-width] |= words[width:] >> np.uint64(8 * width)
+        width *= 2
+    return words
+
+
+def _words(eights: np.ndarray, at: np.ndarray, offset: int, used: int) -> np.ndarray:
     """Eight bytes from each place on as one number; bytes past ``used`` count as zero."""
-    word = np.zeros(len(at), np.uint64)
-    for k in range(8):
-        word <<= np.uint64(8)
-        if k < used:
-            word |= data[at + (offset + k)].astype(np.uint64)
-    return word
+    word = eights[np.minimum(at + offset, len(eights) - 1)]
+    rest = np.uint64(8 * (8 - used))
+    return word >> rest << rest
 
 
 def _regroup(group: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,6 +170,21 @@ def _shared(group: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return differ[group]
 
 
+def _unlike(eights: np.ndarray, at: np.ndarray, owner: np.ndarray, length: int) -> np.ndarray:
+    """Suffixes without those that are unlike every suffix of other owners, by their hash."""
+    spread = np.zeros(max(len(eights) - length + 1, 0), np.uint64)
+    for offset in [*range(0, length - 7, 8), length - 8] if length >= 8 else []:
+        spread = (spread ^ eights[offset : offset + len(spread)]) * _BASE
+        spread ^= spread >> np.uint64(29)
+    bits = max(len(at).bit_length() + 1, 4)
+    slot = (_mix(spread)[at] >> np.uint64(64 - bits)).astype(np.int64)
+    last = np.empty(1 << bits, owner.dtype)
+    last[slot] = owner  # one of a slot's owners
+    met = np.zeros(1 << bits, bool)
+    met[slot[last[slot] != owner]] = True
+    return np.flatnonzero(met[slot])
+
+
 def equal_suffixes(
     data: np.ndarray, at: np.ndarray, owner: np.ndarray, length: int = LENGTH,
     shallow_words: int = SHALLOW_WORDS,
@@ -153,14 +194,15 @@ def equal_suffixes(
     Groups are equal in all ``length`` bytes. A group that only one owner is left in is
     dropped wherever it appears, as none of its members can be a repeat.
     """
-    members = np.arange(len(at))
-    group = np.zeros(len(at), np.int64)
+    eights = _eights(data)
+    members = _unlike(eights, at, owner, length)
+    group = np.zeros(len(members), np.int64)
     words = -(-length // 8)
     # multikey quicksort to a shallow depth
     for k in range(min(shallow_words, words)):
         if not len(members):
             return members, group
-        word = _words(data, at[members], 8 * k, min(8, length - 8 * k))
+        word = _words(eights, at[members], 8 * k, min(8, length - 8 * k))
         if k == 0:
             order = np.argsort(word)
             sorted_words = word[order]
@@ -176,7 +218,7 @@ def equal_suffixes(
         return members, group
     # blind tries: skip what a group has in common, branch on the first word that differs
     rest = np.stack(
-        [_words(data, at[members], 8 * k, min(8, length - 8 * k)) for k in range(shallow_words, words)]
+        [_words(eights, at[members], 8 * k, min(8, length - 8 * k)) for k in range(shallow_words, words)]
     )
     while True:
         starts = np.flatnonzero(np.diff(group, prepend=-1))
@@ -202,106 +244,194 @@ def equal_suffixes(
 
 _SEGMENT_ROWS = "bucket bigint, part bigint, packed binary"
 _SPANS = "doc_id bigint, mark int, starts array<bigint>, ends array<bigint>"
-_KINDS = (np.int64, np.int32, np.int32, np.int64, np.uint8, np.uint8, np.uint8)
+_ANSWERS = "key bigint, mark int, codes binary"
+_SEGMENT_KINDS = (np.int64, np.int32, np.int32, np.int64, np.uint8, np.uint8, np.uint8)
+_ASKED_KINDS = (np.int64, np.int32, np.int32, np.uint64, np.uint8)
 _LEVEL = 5
 
 
-def _pack(press: zstandard.ZstdCompressor, arrays: list[np.ndarray]) -> bytes:
-    """Arrays of ``_KINDS`` in one frame, their lengths first."""
-    parts = [np.ascontiguousarray(a.astype(k, copy=False)) for a, k in zip(arrays, _KINDS)]
+def _pack(press: zstandard.ZstdCompressor, arrays: list[np.ndarray], kinds: tuple) -> bytes:
+    """Arrays of ``kinds`` in one frame, their lengths first."""
+    parts = [np.ascontiguousarray(a.astype(k, copy=False)) for a, k in zip(arrays, kinds)]
     sizes = np.array([len(p) for p in parts], np.int64)
     return press.compress(b"".join([sizes.tobytes(), *(p.tobytes() for p in parts)]))
 
 
-def _unpack(press: zstandard.ZstdDecompressor, value: bytes) -> list[np.ndarray]:
+def _unpack(press: zstandard.ZstdDecompressor, value: bytes, kinds: tuple) -> list[np.ndarray]:
     data = press.decompress(value)
-    sizes = np.frombuffer(data, np.int64, len(_KINDS))
+    sizes = np.frombuffer(data, np.int64, len(kinds))
     arrays, at = [], sizes.nbytes
-    for kind, size in zip(_KINDS, sizes.tolist()):
+    for kind, size in zip(kinds, sizes.tolist()):
         arrays.append(np.frombuffer(data, kind, size, at))
         at += arrays[-1].nbytes
     return arrays
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tuple[int, int, int, bytes]]]:
-    """Lists of ``id, mark, first byte, bytes``; a long text comes in overlapping pieces."""
-    block: list[tuple[int, int, int, bytes]] = []
+def _filled(documents: Iterator[tuple], length: int) -> Iterator[list[tuple]]:
+    """Lists of ``id, mark, first byte, bytes`` and what else comes with a document; a
+    long text comes in overlapping pieces."""
+    block: list[tuple] = []
     held = 0
-    for batch in batches:
-        for doc_id, mark, text in zip(*(column.to_pylist() for column in batch.columns)):
-            data = (text or "").encode("utf-8", "surrogatepass")
-            if len(data) < length:
-                continue
-            doc_id = _LAST_ID if doc_id is None else doc_id
-            for first in range(0, len(data) - length + 1, BLOCK_BYTES):
-                piece = data[first : first + BLOCK_BYTES + length - 1]
-                if block and held + len(piece) > BLOCK_BYTES + length:
-                    yield block
-                    block, held = [], 0
-                block.append((doc_id, mark, first, piece))
-                held += len(piece)
+    for doc_id, mark, data, *others in documents:
+        if len(data) < length:
+            continue
+        doc_id = _LAST_ID if doc_id is None else doc_id
+        for first in range(0, len(data) - length + 1, BLOCK_BYTES):
+            piece = data[first : first + BLOCK_BYTES + length - 1]
+            if block and held + len(piece) > BLOCK_BYTES + length:
+                yield block
+                block, held = [], 0
+            block.append((doc_id, mark, first, piece, *others))
+            held += len(piece)
     if block:
         yield block
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tuple[int, int, int, bytes]]]:
+    """Blocks of the texts of ``id, mark, text``."""
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+    texts = ((i, mark, (text or "").encode("utf-8", "surrogatepass")) for i, mark, text in rows)
+    return _filled(texts, length)
+
+
+def _met_blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tuple]]:
+    """Blocks of ``id, mark, compressed text, codes``; every piece brings the codes."""
+    press = zstandard.ZstdDecompressor()
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+    texts = ((i, mark, press.decompress(text), codes) for i, mark, text, codes in rows)
+    return _filled(texts, length)
+
+
+class _Block:
+    """The segments of a list of pieces, those of the smallest id first."""
+
+    def __init__(self, pieces: list[tuple], length: int):
+        pieces.sort(key=lambda piece: piece[:3])
+        sizes = np.array([len(piece[3]) for piece in pieces])
+        ends = np.cumsum(sizes)
+        self.data = np.frombuffer(b"".join(piece[3] for piece in pieces), np.uint8)
+        self.first, self.count, self.minimizer, self.hashes = segments(self.data, ends, length)
+        self.piece = np.searchsorted(ends, self.first, "right")
+        self.ids = np.array([p[0] for p in pieces], np.int64)
+        self.marks = np.array([p[1] for p in pieces], np.int32)
+        self.shifts = np.array([p[2] for p in pieces], np.int64) - (ends - sizes)
+
+
+def _packed_batches(rows: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.int64(), pa.int64(), pa.binary())
+    while some := list(islice(rows, 64)):
+        columns = [pa.array(c, k) for c, k in zip(zip(*some), kinds)]
+        yield pa.record_batch(columns, ["bucket", "part", "packed"])
+
+
+def _bucket_parts(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket and the places where it stands, in order."""
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-2))
+    for part in np.split(order, cuts[1:]):
+        if len(part):
+            yield int(bucket[part[0]]), part
+
+
+def _ask(length: int, buckets: int):
+    """The minimizers of each document by bucket. One that several documents of a block
+    have is known to be met: it is asked once for all blocks, and told in bucket -1."""
+
+    def rows(batches):
+        press = zstandard.ZstdCompressor(level=_LEVEL)
+        for pieces in _blocks(batches, length):
+            block = _Block(pieces, length)
+            code, piece = _codes(block.hashes[block.minimizer], buckets), block.piece
+            order = np.argsort(code, kind="stable")  # pieces are in order of id
+            code, piece = code[order], piece[order]
+            fresh = np.diff(code, prepend=~code[:1]) != 0
+            single = fresh | (np.diff(piece, prepend=-1) != 0)
+            code, piece, fresh = code[single], piece[single], fresh[single]
+            starts = np.flatnonzero(fresh)
+            lasts = np.append(starts[1:], len(code)) - 1
+            many = block.ids[piece[starts]] != block.ids[piece[lasts]] if len(code) else fresh
+            known = many[np.cumsum(fresh) - 1] if len(code) else fresh
+            asked = np.flatnonzero(fresh | ~known)
+            told = np.flatnonzero(known)
+            bucket = (code >> np.uint64(32)).astype(np.int64)
+            parts = [(number, asked[part]) for number, part in _bucket_parts(bucket[asked])]
+            if len(told):
+                parts.append((-1, told))
+            for number, part in parts:
+                part = part[np.argsort(piece[part], kind="stable")]
+                held, counts = np.unique(piece[part], return_counts=True)
+                arrays = [block.ids[held], block.marks[held], counts, code[part], known[part]]
+                part_number = 0 if number >= 0 else int(block.ids[0] % buckets)
+                yield number, part_number, _pack(press, arrays, _ASKED_KINDS)
+
+    return lambda batches: _packed_batches(rows(batches))
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """The minimizers of each document that another document has as well."""
+    press = zstandard.ZstdDecompressor()
+    unpacked = [_unpack(press, value.as_py(), _ASKED_KINDS) for value in table["packed"]]
+    ids, marks, counts, code, known = (np.concatenate([u[k] for u in unpacked]) for k in range(5))
+    piece = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
+    if table["bucket"][0].as_py() >= 0:
+        order = np.argsort(code)
+        fresh = np.diff(code[order], prepend=~code[order][:1]) != 0
+        starts, group = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        owner = ids[piece[order]]
+        met = np.maximum.reduceat(known[order], starts) > 0
+        met |= np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
+        found = order[met[group] & (known[order] == 0)]
+        found.sort()
+        piece, code = piece[found], code[found]
+    starts = np.flatnonzero(np.diff(piece, prepend=-1))
+    held = piece[starts]
+    offsets = np.append(starts * 8, len(code) * 8).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(code.tobytes())]
+    codes = pa.Array.from_buffers(pa.binary(), len(held), buffers)
+    columns = [pa.array(ids[held], pa.int64()), pa.array(marks[held], pa.int32()), codes]
+    return pa.table(columns, ["key", "mark", "codes"])
+
+
 def _span_row(doc_id: int, mark: int, starts, ends) -> dict:
     return {"doc_id": doc_id, "mark": mark, "starts": starts, "ends": ends}
 
 
 def _emit(length: int, buckets: int):
-    """Segments by bucket. Of segments equal within a block only the smallest id's go on;
-    the rest are repeats, which is noted in bucket -1."""
+    """Segments whose minimizer is met elsewhere, by bucket. Of segments equal within a
+    block only the smallest id's go on; the rest are repeats, which is noted in bucket -1."""
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches):
         press = zstandard.ZstdCompressor(level=_LEVEL)
-        for block in _blocks(batches, length):
-            block.sort(key=lambda piece: piece[:3])
-            sizes = np.array([len(piece) for *_, piece in block])
-            ends = np.cumsum(sizes)
-            data = np.frombuffer(b"".join(piece for *_, piece in block), np.uint8)
-            first, count, minimizer, hashes = segments(data, ends, length)
-            piece = np.searchsorted(ends, first, "right")
-            size = count + length - 1
-            ids = np.array([p[0] for p in block])
-            shape = _segment_hashes(hashes, first, size, GRAM)
+        for pieces in _met_blocks(batches, length):
+            block = _Block(pieces, length)
+            codes = np.unique(np.frombuffer(b"".join(c for p in pieces for c in p[4]), np.uint64))
+            code = _codes(block.hashes[block.minimizer], buckets)
+            met = np.flatnonzero(np.isin(code, codes))
+            first, minimizer, piece = block.first[met], block.minimizer[met], block.piece[met]
+            size = block.count[met] + length - 1
+            bucket = (code[met] >> np.uint64(32)).astype(np.int64)
+            shape = _segment_hashes(block.hashes, first, size, GRAM)
+            block.hashes = None
             order = np.argsort(shape, kind="stable")  # pieces are in order of id
             fresh = np.diff(shape[order], prepend=~shape[order][:1]) != 0
-            smallest = ids[piece[order]][fresh][np.cumsum(fresh) - 1]
-            bucket = (hashes[minimizer] % np.uint64(buckets)).astype(np.int64)
-            bucket[order[ids[piece[order]] > smallest]] = -1
-            del hashes, shape, order
-            yield from _rows(press, block, data, ends - sizes, first, size, piece, minimizer, bucket)
-
-    def _rows(press, block, data, begins, first, size, piece, minimizer, bucket):
-        marks = np.array([p[1] for p in block], np.int32)
-        ids = np.array([p[0] for p in block], np.int64)
-        shifts = np.array([p[2] for p in block], np.int64) - begins
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[order], prepend=-2))
-        rows: list[tuple[int, int, bytes]] = []
-        for part in np.split(order, cuts[1:]):
-            number = int(bucket[part[0]])
-            pieces, counts = np.unique(piece[part], return_counts=True)
-            starts = first[part] + shifts[piece[part]]
-            arrays = [ids[pieces], marks[pieces], counts, np.diff(starts, prepend=0), size[part]]
-            if number >= 0:
-                arrays += [(minimizer - first)[part], _gather(data, first[part], size[part])]
-            else:  # repeats already: spread over parts of their own
-                arrays += [np.empty(0, np.uint8)] * 2
-            part_number = 0 if number >= 0 else int(ids[0] % buckets)
-            rows.append((number, part_number, _pack(press, arrays)))
-            if len(rows) >= 64:
-                yield _batch(rows)
-                rows = []
-        if rows:
-            yield _batch(rows)
-
-    def _batch(rows):
-        kinds = (pa.int64(), pa.int64(), pa.binary())
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-        return pa.record_batch(columns, ["bucket", "part", "packed"])
-
-    return emit
+            ahead = order[fresh][np.cumsum(fresh) - 1]  # the first of equal hash
+            later = block.ids[piece[order]] > block.ids[piece[ahead]]
+            later &= size[order] == size[ahead]
+            order, ahead = order[later], ahead[later]
+            equal = _equal_to(block.data, first[order], size[order], first[ahead])
+            bucket[order[equal]] = -1
+            for number, part in _bucket_parts(bucket):
+                held, counts = np.unique(piece[part], return_counts=True)
+                starts = first[part] + block.shifts[piece[part]]
+                arrays = [block.ids[held], block.marks[held], counts, np.diff(starts, prepend=0), size[part]]
+                if number >= 0:
+                    arrays += [(minimizer - first)[part], _gather(block.data, first[part], size[part])]
+                else:  # repeats already: spread over parts of their own
+                    arrays += [np.empty(0, np.uint8)] * 2
+                part_number = 0 if number >= 0 else int(block.ids[0] % buckets)
+                yield number, part_number, _pack(press, arrays, _SEGMENT_KINDS)
+
+    return lambda batches: _packed_batches(rows(batches))
 
 
 def _spans_table(ids, marks, piece, places, length) -> pa.Table:
@@ -323,7 +453,7 @@ def _spans_table(ids, marks, piece, places, length) -> pa.Table:
 def _sort_group(length: int, gram: int):
     def sort(table: pa.Table) -> pa.Table:
         press = zstandard.ZstdDecompressor()
-        unpacked = [_unpack(press, value.as_py()) for value in table["packed"]]
+        unpacked = [_unpack(press, value.as_py(), _SEGMENT_KINDS) for value in table["packed"]]
         ids, marks, counts = (np.concatenate([u[k] for u in unpacked]) for k in range(3))
         starts = np.concatenate([np.cumsum(u[3]) for u in unpacked])
         size, offset = (np.concatenate([u[k] for u in unpacked]).astype(np.int64) for k in (4, 5))
@@ -338,26 +468,35 @@ def _sort_group(length: int, gram: int):
         begin = np.cumsum(size) - size
         # segments whose minimizer no other document has cannot hold a repeat
         at = begin + offset
-        order, group = _regroup(
-            np.zeros(len(at), np.int64), _mix(_words(data, at, 0, 8)) + _words(data, at, 8, gram - 8)
-        )
-        met = order[_shared(group, ids[piece[order]])]
-        met.sort()
+        gram_hash = np.zeros(len(at), np.uint64)
+        for k in range(0, gram, 8):
+            word = data[(at + k)[:, None] + np.arange(8)].view(">u8").ravel()
+            gram_hash = _mix(gram_hash * _BASE + word.astype(np.uint64))
+        order, group = _regroup(np.zeros(len(at), np.int64), gram_hash)
+        shared = _shared(group, ids[piece[order]])
+        met, group = order[shared], group[shared]
         count = size[met] - length + 1
-        ends = np.cumsum(count)
-        inner = np.arange(int(count.sum())) - np.repeat(ends - count, count)
-        segment = np.repeat(met, count)
-        suffix = begin[segment] + inner
-        owner = ids[piece[segment]]
-        members, group = equal_suffixes(data, suffix, owner, length)
-        if not len(members):
-            return _spans_table(ids, marks, members, members, length)
-        first = np.flatnonzero(np.diff(group, prepend=-1))
-        smallest = np.minimum.reduceat(owner[members], first)[group]
-        members = members[owner[members] > smallest]
-        return _spans_table(
-            ids, marks, piece[segment[members]], starts[segment[members]] + inner[members], length
-        )
+        # whole groups at a time, as many as make up a slice
+        ahead = (np.cumsum(count) - count)[np.flatnonzero(np.diff(group, prepend=-1))]
+        number = (ahead // SORTED_AT_ONCE)[np.cumsum(np.diff(group, prepend=group[:1]) != 0)]
+        pieces, places = [piece[:0]], [starts[:0]]
+        for part in np.split(np.arange(len(met)), np.flatnonzero(np.diff(number)) + 1):
+            segment, n = met[part], count[part]
+            ends = np.cumsum(n)
+            inner = np.arange(int(n.sum())) - np.repeat(ends - n, n)
+            held = np.repeat(np.arange(len(part)), n)
+            local = _gather(data, begin[segment], size[segment])
+            suffix = (np.cumsum(size[segment]) - size[segment])[held] + inner
+            owner = ids[piece[segment]][held]
+            members, same = equal_suffixes(local, suffix, owner, length)
+            if not len(members):
+                continue
+            first = np.flatnonzero(np.diff(same, prepend=-1))
+            smallest = np.minimum.reduceat(owner[members], first)[same]
+            members = members[owner[members] > smallest]
+            pieces.append(piece[segment][held[members]])
+            places.append(starts[segment][held[members]] + inner[members])
+        return _spans_table(ids, marks, np.concatenate(pieces), np.concatenate(places), length)
 
     return sort
 
@@ -428,9 +567,10 @@ def remove_repeats(
     is larger than all others. Rows of equal id are one age: they remove nothing from
     each other. Null and short texts keep all they have; an empty table stays empty.
 
-    Texts are read whole. Equal segments are reduced to the smallest id in every block
-    of text before the shuffle, so a string that a third of the documents hold reaches
-    its group once per block. Groups are as many as the table's size asks for.
+    Texts are read whole. Only segments with a minimizer that another document has are
+    shuffled. Equal ones are reduced to the smallest id in every block of text before, so
+    a string that a third of the documents hold reaches its group once per block. Groups
+    are as many as the table's size asks for.
     """
     mark = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
     rows = plain_columns(docs, doc_id=id_col, text=text_col).select(
@@ -439,14 +579,18 @@ def remove_repeats(
     total = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     per_byte = 1 + 2 * (length - 1) / (length - GRAM + 2)  # of segments, for a byte of text
     buckets = max(1, int(total * per_byte / group_bytes))
-    dealt = rows.mapInArrow(_emit(length, buckets), _SEGMENT_ROWS)
+    keyed = rows.withColumn("key", F.coalesce("doc_id", F.lit(int(_LAST_ID)))).mapInArrow(
+        _pressed, "doc_id bigint, key bigint, mark int, pressed binary"
+    )
+    asked = rows.mapInArrow(_ask(length, buckets), _SEGMENT_ROWS)
+    answers = asked.groupBy("bucket", "part").applyInArrow(_answer, _ANSWERS)
+    met = answers.groupBy("key", "mark").agg(F.collect_list("codes").alias("codes"))
+    holders = keyed.join(met.hint("shuffle_hash"), ["key", "mark"]).select("key", "mark", "pressed", "codes")
+    dealt = holders.mapInArrow(_emit(length, buckets), _SEGMENT_ROWS)
     found = dealt.groupBy("bucket", "part").applyInArrow(_sort_group(length, GRAM), _SPANS)
     per_doc = found.groupBy("doc_id", "mark").agg(
         F.collect_list(F.struct("starts", "ends")).alias("found")
     )
-    keyed = rows.withColumn("key", F.coalesce("doc_id", F.lit(int(_LAST_ID)))).mapInArrow(
-        _pressed, "doc_id bigint, key bigint, mark int, pressed binary"
-    )
     per_doc = per_doc.withColumnRenamed("doc_id", "key").hint("shuffle_hash")
     joined = keyed.join(per_doc, ["key", "mark"], "left").select("doc_id", "pressed", "found")
     return joined.mapInArrow(
