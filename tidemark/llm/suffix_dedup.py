@@ -125,13 +125,13 @@ def _equal_to(data: np.ndarray, first: np.ndarray, size: np.ndarray, other: np.n
     return equal
 
 
-def runs(places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal stretches covered by strings of ``length`` at sorted ``places``."""
-    if not len(places):
-        return places, places
-    begin = np.flatnonzero(np.diff(places, prepend=-length - 1) > length)
-    last = np.append(begin[1:], len(places)) - 1
-    return places[begin], places[last] + length
+def runs(places: np.ndarray, length: int, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of the ``places``, in order by piece, that one maximal stretch of
+    strings of ``length`` covers."""
+    fresh = np.diff(places, prepend=places[:1]) > length
+    fresh |= np.diff(piece, prepend=-1) != 0
+    begin = np.flatnonzero(fresh)
+    return begin, np.append(begin[1:], len(places))[: len(begin)] - 1
 
 
 # --- sorting ------------------------------------------------------------------------
@@ -154,20 +154,34 @@ def _words(eights: np.ndarray, at: np.ndarray, offset: int, used: int) -> np.nda
     return word >> rest << rest
 
 
+def _numbered(group: np.ndarray) -> np.ndarray:
+    """Groups that stand side by side, numbered from 0."""
+    return np.cumsum(np.diff(group, prepend=group[:1]) != 0)
+
+
+def _unequal(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Which of the groups, numbered from 0, differ in a value."""
+    starts = np.flatnonzero(np.diff(group, prepend=-1))
+    found = np.zeros(len(starts), bool)
+    found[group[value != value[starts][group]]] = True
+    return found
+
+
 def _regroup(group: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by group and word, and new group numbers along it."""
-    order = np.lexsort((word, group))
-    g, w = group[order], word[order]
-    fresh = np.ones(len(g), bool)
-    fresh[1:] = (g[1:] != g[:-1]) | (w[1:] != w[:-1])
+    """Order by group and word, and new group numbers along it; groups that agree in the
+    word stay as they are."""
+    order = np.arange(len(group))
+    part = np.flatnonzero(_unequal(group, word)[group])
+    order[part] = part[np.lexsort((word[part], group[part]))]
+    w = word[order]
+    fresh = np.ones(len(group), bool)
+    fresh[1:] = (group[1:] != group[:-1]) | (w[1:] != w[:-1])
     return order, np.cumsum(fresh) - 1
 
 
 def _shared(group: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Members of groups that more than one document has."""
-    starts = np.flatnonzero(np.diff(group, prepend=-1))
-    differ = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
-    return differ[group]
+    return _unequal(group, owner)[group]
 
 
 def _unlike(eights: np.ndarray, at: np.ndarray, owner: np.ndarray, length: int) -> np.ndarray:
@@ -206,44 +220,40 @@ def equal_suffixes(
         if k == 0:
             order = np.argsort(word)
             sorted_words = word[order]
-            group = np.cumsum(np.diff(sorted_words, prepend=sorted_words[:1]) != 0)
+            group = _numbered(sorted_words)
             members = members[order]
         else:
             order, group = _regroup(group, word)
             members = members[order]
         kept = _shared(group, owner[members])
-        members, group = members[kept], group[kept]
-        group = np.cumsum(np.diff(group, prepend=group[:1]) != 0) if len(group) else group
+        members, group = members[kept], _numbered(group[kept])
     if not len(members) or shallow_words >= words:
         return members, group
     # blind tries: skip what a group has in common, branch on the first word that differs
     rest = np.stack(
         [_words(eights, at[members], 8 * k, min(8, length - 8 * k)) for k in range(shallow_words, words)]
     )
-    while True:
-        starts = np.flatnonzero(np.diff(group, prepend=-1))
-        differs = np.stack(
-            [np.logical_or.reduceat(row != row[starts][group], starts) for row in rest]
-        )
+    done, names, named = [members[:0]], [group[:0]], 0
+    while len(members):
+        differs = np.stack([_unequal(group, row) for row in rest])
         open_groups = differs.any(axis=0)
-        if not open_groups.any():
-            return members, group
-        branch = differs.argmax(axis=0)[group]
-        word = rest[branch, np.arange(len(members))]
-        word[~open_groups[group]] = 0
-        order, group = _regroup(group, word)
+        left = open_groups[group]
+        done.append(members[~left])
+        names.append(group[~left] + named)
+        named += len(open_groups)
+        branch = differs.argmax(axis=0)[group[left]]
+        members, rest, group = members[left], rest[:, left], _numbered(group[left])
+        order, group = _regroup(group, rest[branch, np.arange(len(members))])
+        kept = _shared(group, owner[members[order]])
+        order, group = order[kept], _numbered(group[kept])
         members, rest = members[order], rest[:, order]
-        kept = _shared(group, owner[members])
-        members, group, rest = members[kept], group[kept], rest[:, kept]
-        if not len(members):
-            return members, group
-        group = np.cumsum(np.diff(group, prepend=group[:1]) != 0)
+    return np.concatenate(done), _numbered(np.concatenate(names))
 
 
 # --- Spark --------------------------------------------------------------------------
 
 _SEGMENT_ROWS = "bucket bigint, part bigint, packed binary"
-_SPANS = "doc_id bigint, mark int, starts array<bigint>, ends array<bigint>"
+_SPANS = "doc_id bigint, mark int, start bigint, `end` bigint"
 _ANSWERS = "key bigint, mark int, codes binary"
 _SEGMENT_KINDS = (np.int64, np.int32, np.int32, np.int64, np.uint8, np.uint8, np.uint8)
 _ASKED_KINDS = (np.int64, np.int32, np.int32, np.uint64, np.uint8)
@@ -392,10 +402,6 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.table(columns, ["key", "mark", "codes"])
 
 
-def _span_row(doc_id: int, mark: int, starts, ends) -> dict:
-    return {"doc_id": doc_id, "mark": mark, "starts": starts, "ends": ends}
-
-
 def _emit(length: int, buckets: int):
     """Segments whose minimizer is met elsewhere, by bucket. Of segments equal within a
     block only the smallest id's go on; the rest are repeats, which is noted in bucket -1."""
@@ -435,19 +441,14 @@ def _emit(length: int, buckets: int):
 
 
 def _spans_table(ids, marks, piece, places, length) -> pa.Table:
-    """One row per document with the stretches its flagged suffixes cover."""
-    rows = []
+    """The stretches that flagged suffixes cover, one row each."""
     order = np.lexsort((places, piece))
     piece, places = piece[order], places[order]
-    for part in np.split(np.arange(len(piece)), np.flatnonzero(np.diff(piece)) + 1):
-        if len(part):
-            k = piece[part[0]]
-            begin, end = runs(places[part], length)
-            rows.append(_span_row(int(ids[k]), int(marks[k]), begin.tolist(), end.tolist()))
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("mark", pa.int32()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))]
-    )
-    return pa.Table.from_pylist(rows, schema)
+    begin, end = runs(places, length, piece)
+    held = piece[begin]
+    columns = [pa.array(ids[held], pa.int64()), pa.array(marks[held], pa.int32())]
+    columns += [pa.array(places[begin], pa.int64()), pa.array(places[end] + length, pa.int64())]
+    return pa.table(columns, ["doc_id", "mark", "start", "end"])
 
 
 def _sort_group(length: int, gram: int):
@@ -478,7 +479,7 @@ def _sort_group(length: int, gram: int):
         count = size[met] - length + 1
         # whole groups at a time, as many as make up a slice
         ahead = (np.cumsum(count) - count)[np.flatnonzero(np.diff(group, prepend=-1))]
-        number = (ahead // SORTED_AT_ONCE)[np.cumsum(np.diff(group, prepend=group[:1]) != 0)]
+        number = (ahead // SORTED_AT_ONCE)[_numbered(group)]
         pieces, places = [piece[:0]], [starts[:0]]
         for part in np.split(np.arange(len(met)), np.flatnonzero(np.diff(number)) + 1):
             segment, n = met[part], count[part]
@@ -517,15 +518,13 @@ def _cut():
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
         for batch in batches:
-            texts, spans = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            texts, starts, ends = (column.to_pylist() for column in batch.columns[1:])
             sizes, removed, pieces, kept, stretches = [], [], [], [], []
-            for text, found in zip(texts, spans):
+            for text, begin, stop in zip(texts, starts, ends):
                 data = press.decompress(text)
-                pairs = sorted(
-                    pair for part in found or () for pair in zip(part["starts"], part["ends"])
-                )
                 merged: list[list[int]] = []
-                for start, end in pairs:
+                # what is covered depends only on how many starts and ends lie before a byte
+                for start, end in zip(sorted(begin or ()), sorted(stop or ())):
                     if merged and start <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], end)
                     else:
@@ -580,19 +579,20 @@ def remove_repeats(
     per_byte = 1 + 2 * (length - 1) / (length - GRAM + 2)  # of segments, for a byte of text
     buckets = max(1, int(total * per_byte / group_bytes))
     keyed = rows.withColumn("key", F.coalesce("doc_id", F.lit(int(_LAST_ID)))).mapInArrow(
-        _pressed, "doc_id bigint, key bigint, mark int, pressed binary"
+        _pressed, "doc_id bigint, key bigint not null, mark int not null, pressed binary"
     )
     asked = rows.mapInArrow(_ask(length, buckets), _SEGMENT_ROWS)
     answers = asked.groupBy("bucket", "part").applyInArrow(_answer, _ANSWERS)
     met = answers.groupBy("key", "mark").agg(F.collect_list("codes").alias("codes"))
-    holders = keyed.join(met.hint("shuffle_hash"), ["key", "mark"]).select("key", "mark", "pressed", "codes")
+    # without nulls and with the same columns, both joins read one shuffle of the texts
+    holders = keyed.join(met.hint("shuffle_hash"), ["key", "mark"]).select("doc_id", "mark", "pressed", "codes")
     dealt = holders.mapInArrow(_emit(length, buckets), _SEGMENT_ROWS)
     found = dealt.groupBy("bucket", "part").applyInArrow(_sort_group(length, GRAM), _SPANS)
     per_doc = found.groupBy("doc_id", "mark").agg(
-        F.collect_list(F.struct("starts", "ends")).alias("found")
+        F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")
     )
     per_doc = per_doc.withColumnRenamed("doc_id", "key").hint("shuffle_hash")
-    joined = keyed.join(per_doc, ["key", "mark"], "left").select("doc_id", "pressed", "found")
+    joined = keyed.join(per_doc, ["key", "mark"], "left").select("doc_id", "pressed", "starts", "ends")
     return joined.mapInArrow(
         _cut(),
         "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
