@@ -30,6 +30,8 @@ GRAM = 16
 BLOCK_BYTES = 3 << 20
 # Bytes of segments that one group holds, about.
 GROUP_BYTES = 32 << 20
+# Bytes of text that one chunk of documents holds, about.
+CHUNK_BYTES = 16 << 20
 # Suffixes that are sorted at a time; more only if they share one minimizer.
 SORTED_AT_ONCE = 1 << 20
 # Words of eight bytes that multikey quicksort compares before blind tries take over.
@@ -56,11 +58,12 @@ def _mix(values: np.ndarray) -> np.ndarray:
 
 
 def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of all runs of ``size`` bytes (a power of two), by doubling the run."""
+    """Hashes of all runs of ``size`` bytes, by joining two runs of half the length or more."""
     part, width = _TABLE[data], 1
     while width < size:
-        part = part[:-width] * np.uint64(pow(int(_BASE), width, 1 << 64)) + part[width:]
-        width *= 2
+        step = min(width, size - width)
+        part = part[:-step] * np.uint64(pow(int(_BASE), step, 1 << 64)) + part[step:]
+        width += step
     return _mix(part)
 
 
@@ -253,10 +256,14 @@ def equal_suffixes(
 # --- Spark --------------------------------------------------------------------------
 
 _SEGMENT_ROWS = "bucket bigint, part bigint, packed binary"
-_SPANS = "doc_id bigint, mark int, start bigint, `end` bigint"
-_ANSWERS = "key bigint, mark int, codes binary"
+_SPANS = "key bigint, mark int, start bigint, `end` bigint"
+_ANSWERS = "chunk bigint, codes binary"
+_CUT = (
+    "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
+    "spans array<struct<start:bigint,`end`:bigint>>, kept binary"
+)
 _SEGMENT_KINDS = (np.int64, np.int32, np.int32, np.int64, np.uint8, np.uint8, np.uint8)
-_ASKED_KINDS = (np.int64, np.int32, np.int32, np.uint64, np.uint8)
+_ASKED_KINDS = (np.int64, np.int64, np.int32, np.uint64, np.uint8)
 _LEVEL = 5
 
 
@@ -277,12 +284,13 @@ def _unpack(press: zstandard.ZstdDecompressor, value: bytes, kinds: tuple) -> li
     return arrays
 
 
-def _filled(documents: Iterator[tuple], length: int) -> Iterator[list[tuple]]:
-    """Lists of ``id, mark, first byte, bytes`` and what else comes with a document; a
-    long text comes in overlapping pieces."""
-    block: list[tuple] = []
+def _filled(
+    documents: Iterator[tuple[int, int, bytes]], length: int
+) -> Iterator[list[tuple[int, int, int, bytes]]]:
+    """Lists of ``id, mark, first byte, bytes``; a long text comes in overlapping pieces."""
+    block: list[tuple[int, int, int, bytes]] = []
     held = 0
-    for doc_id, mark, data, *others in documents:
+    for doc_id, mark, data in documents:
         if len(data) < length:
             continue
         doc_id = _LAST_ID if doc_id is None else doc_id
@@ -291,7 +299,7 @@ def _filled(documents: Iterator[tuple], length: int) -> Iterator[list[tuple]]:
             if block and held + len(piece) > BLOCK_BYTES + length:
                 yield block
                 block, held = [], 0
-            block.append((doc_id, mark, first, piece, *others))
+            block.append((doc_id, mark, first, piece))
             held += len(piece)
     if block:
         yield block
@@ -304,12 +312,11 @@ def _blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tup
     return _filled(texts, length)
 
 
-def _met_blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tuple]]:
-    """Blocks of ``id, mark, compressed text, codes``; every piece brings the codes."""
+def _pressed_blocks(table: pa.Table, length: int) -> Iterator[list[tuple[int, int, int, bytes]]]:
+    """Blocks of the compressed texts of a chunk."""
     press = zstandard.ZstdDecompressor()
-    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
-    texts = ((i, mark, press.decompress(text), codes) for i, mark, text, codes in rows)
-    return _filled(texts, length)
+    columns = (table[name].to_pylist() for name in ("key", "mark", "pressed"))
+    return _filled(((key, mark, press.decompress(text)) for key, mark, text in zip(*columns)), length)
 
 
 class _Block:
@@ -323,15 +330,16 @@ class _Block:
         self.first, self.count, self.minimizer, self.hashes = segments(self.data, ends, length)
         self.piece = np.searchsorted(ends, self.first, "right")
         self.ids = np.array([p[0] for p in pieces], np.int64)
-        self.marks = np.array([p[1] for p in pieces], np.int32)
+        self.marks = np.array([p[1] for p in pieces], np.int64)
         self.shifts = np.array([p[2] for p in pieces], np.int64) - (ends - sizes)
 
 
+_PACKED = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("packed", pa.binary())])
+
+
 def _packed_batches(rows: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
-    kinds = (pa.int64(), pa.int64(), pa.binary())
     while some := list(islice(rows, 64)):
-        columns = [pa.array(c, k) for c, k in zip(zip(*some), kinds)]
-        yield pa.record_batch(columns, ["bucket", "part", "packed"])
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*some), _PACKED.types)], _PACKED)
 
 
 def _bucket_parts(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -344,8 +352,9 @@ def _bucket_parts(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _ask(length: int, buckets: int):
-    """The minimizers of each document by bucket. One that several documents of a block
-    have is known to be met: it is asked once for all blocks, and told in bucket -1."""
+    """The minimizers of each document by bucket, with the document's chunk as its mark.
+    One that several documents of a block have is known to be met: it is asked once for
+    all blocks, and told in bucket -1."""
 
     def rows(batches):
         press = zstandard.ZstdCompressor(level=_LEVEL)
@@ -378,10 +387,10 @@ def _ask(length: int, buckets: int):
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """The minimizers of each document that another document has as well."""
+    """The minimizers of each chunk's documents that another document has as well."""
     press = zstandard.ZstdDecompressor()
     unpacked = [_unpack(press, value.as_py(), _ASKED_KINDS) for value in table["packed"]]
-    ids, marks, counts, code, known = (np.concatenate([u[k] for u in unpacked]) for k in range(5))
+    ids, chunks, counts, code, known = (np.concatenate([u[k] for u in unpacked]) for k in range(5))
     piece = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
     if table["bucket"][0].as_py() >= 0:
         order = np.argsort(code)
@@ -393,24 +402,27 @@ def _answer(table: pa.Table) -> pa.Table:
         found = order[met[group] & (known[order] == 0)]
         found.sort()
         piece, code = piece[found], code[found]
-    starts = np.flatnonzero(np.diff(piece, prepend=-1))
-    held = piece[starts]
+    order = np.lexsort((code, chunks[piece]))
+    chunk, code = chunks[piece][order], code[order]
+    once = (np.diff(chunk, prepend=-1) != 0) | (np.diff(code, prepend=~code[:1]) != 0)
+    chunk, code = chunk[once], code[once]
+    starts = np.flatnonzero(np.diff(chunk, prepend=-1))
     offsets = np.append(starts * 8, len(code) * 8).astype(np.int32)
     buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(code.tobytes())]
-    codes = pa.Array.from_buffers(pa.binary(), len(held), buffers)
-    columns = [pa.array(ids[held], pa.int64()), pa.array(marks[held], pa.int32()), codes]
-    return pa.table(columns, ["key", "mark", "codes"])
+    codes = pa.Array.from_buffers(pa.binary(), len(starts), buffers)
+    return pa.table([pa.array(chunk[starts], pa.int64()), codes], ["chunk", "codes"])
 
 
 def _emit(length: int, buckets: int):
-    """Segments whose minimizer is met elsewhere, by bucket. Of segments equal within a
-    block only the smallest id's go on; the rest are repeats, which is noted in bucket -1."""
+    """A chunk's segments whose minimizer is met elsewhere, by bucket. Of segments equal
+    within a block only the smallest id's go on; the rest are repeats, which is noted in
+    bucket -1."""
 
-    def rows(batches):
+    def rows(texts, answers):
         press = zstandard.ZstdCompressor(level=_LEVEL)
-        for pieces in _met_blocks(batches, length):
+        codes = np.unique(np.frombuffer(b"".join(answers["codes"].to_pylist()), np.uint64))
+        for pieces in _pressed_blocks(texts, length):
             block = _Block(pieces, length)
-            codes = np.unique(np.frombuffer(b"".join(c for p in pieces for c in p[4]), np.uint64))
             code = _codes(block.hashes[block.minimizer], buckets)
             met = np.flatnonzero(np.isin(code, codes))
             first, minimizer, piece = block.first[met], block.minimizer[met], block.piece[met]
@@ -437,7 +449,10 @@ def _emit(length: int, buckets: int):
                 part_number = 0 if number >= 0 else int(block.ids[0] % buckets)
                 yield number, part_number, _pack(press, arrays, _SEGMENT_KINDS)
 
-    return lambda batches: _packed_batches(rows(batches))
+    def emit(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(_packed_batches(rows(texts, answers)), _PACKED)
+
+    return emit
 
 
 def _spans_table(ids, marks, piece, places, length) -> pa.Table:
@@ -448,7 +463,7 @@ def _spans_table(ids, marks, piece, places, length) -> pa.Table:
     held = piece[begin]
     columns = [pa.array(ids[held], pa.int64()), pa.array(marks[held], pa.int32())]
     columns += [pa.array(places[begin], pa.int64()), pa.array(places[end] + length, pa.int64())]
-    return pa.table(columns, ["doc_id", "mark", "start", "end"])
+    return pa.table(columns, ["key", "mark", "start", "end"])
 
 
 def _sort_group(length: int, gram: int):
@@ -503,52 +518,50 @@ def _sort_group(length: int, gram: int):
 
 
 def _pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, key, mark`` and the compressed text, for the way to its repeats."""
+    """The compressed text in place of ``text``, for the way to its chunk."""
     press = zstandard.ZstdCompressor(level=_LEVEL)
+    names = ["doc_id", "key", "mark", "chunk"]
     for batch in batches:
         texts = [
             press.compress((t or "").encode("utf-8", "surrogatepass"))
             for t in batch.column("text").to_pylist()
         ]
-        columns = [batch.column(name) for name in ("doc_id", "key", "mark")]
-        yield pa.record_batch([*columns, pa.array(texts, pa.binary())], ["doc_id", "key", "mark", "pressed"])
+        columns = [batch.column(name) for name in names]
+        yield pa.record_batch([*columns, pa.array(texts, pa.binary())], [*names, "pressed"])
 
 
-def _cut():
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdDecompressor()
-        for batch in batches:
-            texts, starts, ends = (column.to_pylist() for column in batch.columns[1:])
-            sizes, removed, pieces, kept, stretches = [], [], [], [], []
-            for text, begin, stop in zip(texts, starts, ends):
-                data = press.decompress(text)
-                merged: list[list[int]] = []
-                # what is covered depends only on how many starts and ends lie before a byte
-                for start, end in zip(sorted(begin or ()), sorted(stop or ())):
-                    if merged and start <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], end)
-                    else:
-                        merged.append([start, end])
-                edges = [0, *(edge for pair in merged for edge in pair), len(data)]
-                left = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                sizes.append(len(data))
-                removed.append(len(data) - len(left))
-                pieces.append(len(merged))
-                stretches.append([{"start": a, "end": b} for a, b in merged])
-                kept.append(left)
-            yield pa.record_batch(
-                [
-                    batch.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(removed, pa.int64()),
-                    pa.array(pieces, pa.int64()),
-                    pa.array(stretches, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                    pa.array(kept, pa.binary()),
-                ],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"],
-            )
-
-    return cut
+def _cut(texts: pa.Table, spans: pa.Table) -> pa.Table:
+    """The texts of a chunk without the stretches found in it."""
+    press = zstandard.ZstdDecompressor()
+    key, mark, start, end = (spans[n].to_numpy() for n in ("key", "mark", "start", "end"))
+    order = np.lexsort((start, mark, key))
+    key, mark, start, end = key[order], mark[order], start[order], end[order]
+    firsts = np.flatnonzero((np.diff(key, prepend=key[:1] - 1) != 0) | (np.diff(mark, prepend=-1) != 0))
+    lasts = np.append(firsts[1:], len(key))
+    places = dict(zip(zip(key[firsts].tolist(), mark[firsts].tolist()), zip(firsts.tolist(), lasts.tolist())))
+    sizes, removed, pieces, kept, stretches = [], [], [], [], []
+    for doc, of, text in zip(*(texts[n].to_pylist() for n in ("key", "mark", "pressed"))):
+        data = press.decompress(text)
+        a, b = places.get((doc, of), (0, 0))
+        merged: list[list[int]] = []
+        for first, last in zip(start[a:b].tolist(), end[a:b].tolist()):
+            if merged and first <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], last)
+            else:
+                merged.append([first, last])
+        edges = [0, *(edge for pair in merged for edge in pair), len(data)]
+        left = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+        sizes.append(len(data))
+        removed.append(len(data) - len(left))
+        pieces.append(len(merged))
+        stretches.append([{"start": a, "end": b} for a, b in merged])
+        kept.append(left)
+    numbers = [pa.array(values, pa.int64()) for values in (sizes, removed, pieces)]
+    stretch = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    return pa.table(
+        [texts["doc_id"], *numbers, pa.array(stretches, stretch), pa.array(kept, pa.binary())],
+        ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"],
+    )
 
 
 def remove_repeats(
@@ -569,32 +582,28 @@ def remove_repeats(
     Texts are read whole. Only segments with a minimizer that another document has are
     shuffled. Equal ones are reduced to the smallest id in every block of text before, so
     a string that a third of the documents hold reaches its group once per block. Groups
-    are as many as the table's size asks for.
+    are as many as the table's size asks for, and so are the chunks that documents are
+    dealt to by id and text, where they get their answers and lose their repeats.
     """
     mark = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
     rows = plain_columns(docs, doc_id=id_col, text=text_col).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), mark.alias("mark"), "text"
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(int(_LAST_ID))).alias("key"),
+        mark.alias("mark"),
+        "text",
     )
     total = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     per_byte = 1 + 2 * (length - 1) / (length - GRAM + 2)  # of segments, for a byte of text
     buckets = max(1, int(total * per_byte / group_bytes))
-    keyed = rows.withColumn("key", F.coalesce("doc_id", F.lit(int(_LAST_ID)))).mapInArrow(
-        _pressed, "doc_id bigint, key bigint not null, mark int not null, pressed binary"
+    chunk = F.pmod(F.xxhash64("key", "mark"), F.lit(total // CHUNK_BYTES + 1)).alias("chunk")
+    # both uses of the chunks read one shuffle of the texts
+    chunks = (
+        rows.select("doc_id", "key", "mark", chunk, "text")
+        .mapInArrow(_pressed, "doc_id bigint, key bigint, mark int, chunk bigint, pressed binary")
+        .groupBy("chunk")
     )
-    asked = rows.mapInArrow(_ask(length, buckets), _SEGMENT_ROWS)
+    asked = rows.select("key", chunk, "text").mapInArrow(_ask(length, buckets), _SEGMENT_ROWS)
     answers = asked.groupBy("bucket", "part").applyInArrow(_answer, _ANSWERS)
-    met = answers.groupBy("key", "mark").agg(F.collect_list("codes").alias("codes"))
-    # without nulls and with the same columns, both joins read one shuffle of the texts
-    holders = keyed.join(met.hint("shuffle_hash"), ["key", "mark"]).select("doc_id", "mark", "pressed", "codes")
-    dealt = holders.mapInArrow(_emit(length, buckets), _SEGMENT_ROWS)
-    found = dealt.groupBy("bucket", "part").applyInArrow(_sort_group(length, GRAM), _SPANS)
-    per_doc = found.groupBy("doc_id", "mark").agg(
-        F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")
-    )
-    per_doc = per_doc.withColumnRenamed("doc_id", "key").hint("shuffle_hash")
-    joined = keyed.join(per_doc, ["key", "mark"], "left").select("doc_id", "pressed", "starts", "ends")
-    return joined.mapInArrow(
-        _cut(),
-        "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
-        "spans array<struct<start:bigint,`end`:bigint>>, kept binary",
-    )
+    dealt = chunks.cogroup(answers.groupBy("chunk")).applyInArrow(_emit(length, buckets), _SEGMENT_ROWS)
+    spans = dealt.groupBy("bucket", "part").applyInArrow(_sort_group(length, GRAM), _SPANS)
+    return chunks.cogroup(spans.select("*", chunk).groupBy("chunk")).applyInArrow(_cut, _CUT)
