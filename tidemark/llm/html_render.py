@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.selectors import Matcher, comma_parts
+
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TEXT = frozenset("script style xmp iframe noembed noframes noscript textarea title".split())
@@ -63,7 +65,6 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _CSS = re.compile(r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[{};]""", re.DOTALL)
-_COMPOUND = re.compile(r"(?:\*|[a-zA-Z][\w-]*)?(?:[.#][\w-]+)*")
 _WIDTH = re.compile(r"\(\s*(min|max)-width\s*:\s*([0-9.]+)\s*(px|em|rem)\s*\)")
 # The page is shown on a screen of this many pixels across.
 SCREEN_WIDTH = 1280
@@ -266,11 +267,12 @@ def _declarations(body: str) -> Iterator[tuple[str, str, bool]]:
 class Styles:
     """What a page's style sheets say about ``display`` and ``visibility``.
 
-    Selectors of one element (tag, classes, ids) are known; others are left out.
+    Selectors may chain tags, classes, ids, attributes, ``:not()``, ``:is()``, ``:where()``
+    and the place among siblings by all combinators; others are left out.
     """
 
     def __init__(self, root: Node):
-        self.rules: dict[str, list] = {}  # by the selector's last id, class or tag
+        self.rules = Matcher()
         self.shows = False  # something may be visible inside what is not
         self.order = 0
         stack: list[Node] = [root]
@@ -281,6 +283,7 @@ class Styles:
             if "style" in node.attrs:
                 self._note(_declarations(node.attrs["style"]))
             stack += [c for c in reversed(node.children) if isinstance(c, Node)]
+        self.found = self.rules.matches(root) if self.rules.steps else {}
 
     def _note(self, found) -> list:
         found = list(found)
@@ -307,34 +310,23 @@ class Styles:
                     open_blocks.append(css_blocks(body))
                 continue
             found = self._note(_declarations(body)) if re.search("display|visibility", body, re.I) else ()
-            for selector in prelude.split(",") if found else ():
-                selector = selector.strip()
-                if not selector or not _COMPOUND.fullmatch(selector):
-                    continue
-                tag, *parts = re.split(r"(?=[.#])", selector)
-                key = parts[-1] if parts else tag.lower()
-                ids = sum(part[0] == "#" for part in parts)
-                rank = (ids, len(parts) - ids, tag not in ("", "*"))
+            for selector in comma_parts(prelude) if found else ():
                 self.order += 1
-                self.rules.setdefault(key, []).append((tag.lower(), frozenset(parts), rank, self.order, found))
+                self.rules.add(selector, (self.order, found))
 
     def of(self, node: Node) -> tuple[str, str]:
         """``display`` and ``visibility`` of an element, empty where nothing is said."""
         inline = node.attrs.get("style")
-        if not self.rules and not inline:
+        said = self.found.get(id(node), ())
+        if not said and not inline:
             return "", ""
-        names = {f".{c}" for c in node.attrs.get("class", "").split()}
-        if node.attrs.get("id"):
-            names.add("#" + node.attrs["id"])
         best: dict[str, tuple] = {}
-        for key in ("*", node.tag, *names):
-            for tag, parts, rank, order, found in self.rules.get(key, ()):
-                if tag in ("", "*", node.tag) and parts <= names:
-                    for place, (name, value, important) in enumerate(found):
-                        weight = (important, False, rank, order, place)
-                        best[name] = max(best.get(name, (weight, value)), (weight, value))
+        for rank, (order, found) in said:
+            for place, (name, value, important) in enumerate(found):
+                weight = (important, False, rank, order, place)
+                best[name] = max(best.get(name, (weight, value)), (weight, value))
         for place, (name, value, important) in enumerate(_declarations(inline or "")):
-            weight = (important, True, (0, 0, False), 0, place)
+            weight = (important, True, (0, 0, 0), 0, place)
             best[name] = max(best.get(name, (weight, value)), (weight, value))
         return tuple(best[n][1] if n in best else "" for n in ("display", "visibility"))
 
