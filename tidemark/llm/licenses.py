@@ -1,6 +1,6 @@
 """Licence scan: Dice coefficient over word bigrams, in SQL functions only.
 
-Lines, paragraphs and whole texts are normalised to lower-case words and compared with
+Lines, sentences, paragraphs and whole texts are normalised to lower-case words and compared with
 licence templates. A Dice coefficient of ``t`` needs a number of bigrams between
 ``t / (2 - t)`` and ``(2 - t) / t`` times the template's, so few templates are compared.
 """
@@ -16,6 +16,15 @@ from tidemark.llm.common import plain_columns
 
 # Names and public wording of licences and of their usual notices.
 TEMPLATES: dict[str, tuple[str, ...]] = {
+    "AGPL-3.0": (
+        "This program is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version. This program is distributed in the hope that it will be useful, but "
+        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+        "PARTICULAR PURPOSE. See the GNU Affero General Public License for more details. You should have received a copy of the "
+        "GNU Affero General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
+    ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file '
@@ -25,24 +34,99 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License "
         "for the specific language governing permissions and limitations under the License.",
     ),
+    "BSD-2-Clause": (
+        "Released under the BSD 2-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+        "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions "
+        "in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+        "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+        "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+        "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+        "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+        "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+        "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+        "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "Use of this source code is governed by a BSD-style license that can be found in the "
         "LICENSE file.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+        "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions "
+        "in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution. "
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+        "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+        "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+        "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+        "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+        "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+        "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+        "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file "
+        "LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)",
+    ),
+    "CC0-1.0": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and "
+        "neighboring rights to this software to the public domain worldwide. This software is distributed "
+        "without any warranty. You should have received a copy of the CC0 Public Domain Dedication along "
+        "with this software. If not, see <http://creativecommons.org/publicdomain/zero/1.0/>.",
     ),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.",),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.",),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.",),
+    "GPL-2.0": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the "
+        "GNU General Public License as published by the Free Software Foundation; either version 2 of the "
+        "License, or (at your option) any later version. This program is distributed in the hope that it "
+        "will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY "
+        "or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You "
+        "should have received a copy of the GNU General Public License along with this program; if not, "
+        "write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA "
+        "02110-1301 USA.",
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU General Public License as published by the Free Software Foundation, either "
         "version 3 of the License, or (at your option) any later version.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version. This program is distributed in the hope that it will be useful, but "
+        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+        "PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the "
+        "GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
     ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
         "without fee is hereby granted, provided that the above copyright notice and this "
         "permission notice appear in all copies.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS "
+        "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE "
+        "AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+        "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+        "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    "LGPL-3.0": (
+        "This library is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version. This library is distributed in the hope that it will be useful, but "
+        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+        "PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You should have received a copy of the "
+        "GNU Lesser General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
     ),
     "MIT": (
         "Released under the MIT License.",
@@ -53,12 +137,40 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "to whom the Software is furnished to do so, subject to the following conditions: The above "
         "copyright notice and this permission notice shall be included in all copies or substantial "
         "portions of the Software.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+        'software and associated documentation files (the "Software"), to deal in the Software '
+        "without restriction, including without limitation the rights to use, copy, modify, merge, "
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons "
+        "to whom the Software is furnished to do so, subject to the following conditions: The above "
+        "copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the Software. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING "
+        "BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+        "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+        "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
         "copy of the MPL was not distributed with this file, You can obtain one at "
         "http://mozilla.org/MPL/2.0/.",
     ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+        "modify, publish, use, compile, sell, or distribute this software, either in source code form or "
+        "as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the "
+        "authors be held liable for any damages arising from the use of this software. Permission is "
+        "granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this "
+        "software must not be misrepresented; you must not claim that you wrote the original software. If "
+        "you use this software in a product, an acknowledgment in the product documentation would be "
+        "appreciated but is not required. 2. Altered source versions must be plainly marked as such, and "
+        "must not be misrepresented as being the original software. 3. This notice may not be removed or "
+        "altered from any source distribution.",
+    ),
 }
 
 # Words that are poor evidence of a licence, because they are frequent anywhere.
@@ -68,6 +180,12 @@ COMMON_WORDS = frozenset(
 )
 
 
+# A line that holds no more than comment marks ends a paragraph.
+PARAGRAPH_END = "\n[ \t\r*#/;%-]*\n"
+# What ends a sentence within a line, with the blanks that follow.
+SENTENCE_END = "([.!?;:])[ \t]+"
+
+
 def template_words(text: str) -> list[str]:
     return "".join(c.lower() if c.isascii() and c.isalnum() else " " for c in text).split()
 
@@ -123,9 +241,9 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per unit of a text that matches a template at ``threshold`` or more.
 
-    A unit is a line, a paragraph of several lines (up to an empty line) or the whole
-    text where it has several paragraphs. Returns the id column, ``unit`` (line,
-    paragraph or text), ``position`` (number of the unit, from 0), ``license``,
+    A unit is a line, a sentence of a line with several, a paragraph of several lines or
+    the whole text where it has several paragraphs. A paragraph ends at a line without a letter or digit but
+    for comment marks. Returns the id column, ``unit``, ``position`` (number of the unit, from 0), ``license``,
     ``template`` (its number within the licence), ``n_bigrams``, ``dice`` and ``best``
     (no other template matches this unit better; ties go by licence name and number).
 
@@ -217,7 +335,7 @@ def scan_licenses(
 
 
 def _units(text: Column) -> Column:
-    """Lines, paragraphs of several lines and the text of several paragraphs."""
+    """Lines, their sentences, paragraphs of several lines and the text of several paragraphs."""
 
     def numbered(parts: Column, kind: str) -> Column:
         return F.transform(
@@ -228,14 +346,22 @@ def _units(text: Column) -> Column:
         )
 
     lines = F.split(text, "\n")
-    paragraphs = F.split(text, "\n[ \t\r]*\n")
+    sentences = F.flatten(
+        F.transform(
+            F.filter(lines, lambda line: line.rlike(SENTENCE_END + "[^ \t\r]")),
+            lambda line: F.split(F.regexp_replace(line, SENTENCE_END, "$1\n"), "\n"),
+        )
+    )
+    paragraphs = F.split(text, PARAGRAPH_END)
     several = F.filter(
         numbered(paragraphs, "paragraph"), lambda p: F.contains(p["part"], F.lit("\n"))
     )
     whole = F.when(F.size(paragraphs) > 1, F.array(text)).otherwise(
         F.array().cast("array<string>")
     )
-    return F.concat(numbered(lines, "line"), several, numbered(whole, "text"))
+    return F.concat(
+        numbered(lines, "line"), numbered(sentences, "sentence"), several, numbered(whole, "text")
+    )
 
 
 def _once(**columns: Column) -> list[Column]:

@@ -211,11 +211,14 @@ def _license_sql(threshold: float = 0.8) -> str:
     return rf"""
 WITH templates(license, template, grams) AS (VALUES {", ".join(rows)}),
 d AS (
-  SELECT row_number() OVER () AS rn, doc_id, text, string_split_regex(text, '\n[ \t\r]*\n') AS paragraphs
+  SELECT row_number() OVER () AS rn, doc_id, text, string_split_regex(text, '{licenses.PARAGRAPH_END}') AS paragraphs
   FROM documents WHERE text IS NOT NULL
 ),
 units AS (
   SELECT rn, doc_id, 'line' AS unit, string_split(text, chr(10)) AS parts FROM d
+  UNION ALL SELECT rn, doc_id, 'sentence', flatten(list_transform(
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '{licenses.SENTENCE_END}[^ \t\r]')),
+    lambda l: string_split(regexp_replace(l, '{licenses.SENTENCE_END}', '\1' || chr(10), 'g'), chr(10)))) FROM d
   UNION ALL SELECT rn, doc_id, 'paragraph', paragraphs FROM d
   UNION ALL SELECT rn, doc_id, 'text', [text] FROM d WHERE len(paragraphs) > 1
 ),
