@@ -36,7 +36,7 @@ def duck_result(connection, sql):
 
 def type_names(df, relation):
     """Column types of both sides in DuckDB's names."""
-    names = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    names = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
     ours = {c: names.get(t, t) for c, t in df.dtypes}
     theirs = {c: str(t) for c, t in zip(relation.columns, relation.types)}
     return ours, theirs
