@@ -16,6 +16,7 @@ from tidemark.functions import pick, row_watermark, without_end
 from tidemark.operators.patterns import MAX_BROADCAST_PATTERNS, match_moves
 from tidemark.operators.reconcile import check_outcomes, is_paid
 from tidemark.streaming import processors as p
+from tidemark.streaming.blocks import BLOCK, packed, unpacked
 
 
 def _run(
@@ -124,11 +125,15 @@ def full_chunks(
     size: int = 10,
 ) -> DataFrame:
     """The rows of each buffer of ``size`` as it fills, with ``chunk``; the rest is
-    held in state and survives a restart."""
+    held in state and survives a restart. Rows go through the operator in blocks, as a
+    shard may have most of a micro-batch's."""
     stream = without_end(stream)
     held = T.StructType([f for f in stream.schema.fields if f.name != shard])
-    added = {"chunk": T.LongType(), **{f.name: f.dataType for f in held.fields}}
-    return _run(stream, [shard], p.FullChunks(held, list(order), size), added, timed=False)
+    kinds = {shard: stream.schema[shard].dataType, "chunk": T.LongType(), **{f.name: f.dataType for f in held.fields}}
+    filled = _run(
+        packed(stream, shard), [shard], p.FullChunkBlocks(held, list(order), size), {BLOCK: T.BinaryType()}, timed=False
+    )
+    return unpacked(filled, shard, T.StructType([T.StructField(name, kind) for name, kind in kinds.items()]))
 
 
 def event_timer_trace(

@@ -14,12 +14,14 @@ from bisect import bisect_right
 from decimal import Decimal
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import StructType
 
 from tidemark.plans.bills import Halves
+from tidemark.streaming.blocks import ROWS_PER_BLOCK, from_block, sorted_rows, to_block
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -173,6 +175,33 @@ class FullChunks(Processor):
         self.chunks.update((done + full,))
 
 
+class FullChunkBlocks(FullChunks):
+    """:class:`FullChunks` on rows in blocks: they are never objects of their own."""
+
+    def init(self, handle):
+        Processor.init(self, handle)
+        self.held = handle.getValueState("held", "block binary")
+        self.chunks = handle.getValueState("chunks", "done bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        arrived = sorted_rows(pa.concat_tables([from_block(row.block) for row in rows]), self.order)
+        (held,) = self.held.get() or (None,)
+        buffer = pa.concat_tables([from_block(held), arrived]) if held else arrived
+        (done,) = self.chunks.get() or (0,)
+        full = len(buffer) // self.size
+        for start in range(0, full * self.size, ROWS_PER_BLOCK):
+            stop = min(start + ROWS_PER_BLOCK, full * self.size)
+            numbers = done + np.arange(start, stop, dtype=np.int64) // self.size
+            block = buffer.slice(start, stop - start).append_column("chunk", pa.array(numbers))
+            yield self.row(*key, to_block(block))
+        rest = buffer.slice(full * self.size)
+        if len(rest):
+            self.held.update((to_block(rest),))
+        else:
+            self.held.clear()
+        self.chunks.update((done + full,))
+
+
 class SeenWatermarks(Processor):
     """Reports arrivals and the watermark they meet."""
 
