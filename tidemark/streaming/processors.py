@@ -8,6 +8,7 @@ package.
 
 from __future__ import annotations
 
+import pickle
 import sys
 from array import array
 from bisect import bisect_right
@@ -229,6 +230,10 @@ class PreviousAction(Processor):
         self.last.update((previous,))
 
 
+def _pickled(rows: list[tuple], size: int = 10_000) -> list[tuple[bytes]]:
+    return [(pickle.dumps(rows[i : i + size]),) for i in range(0, len(rows), size)]
+
+
 class ControlledMatch(Processor):
     """Holds actions and patterns until time has passed them, then follows them in order."""
 
@@ -237,10 +242,7 @@ class ControlledMatch(Processor):
 
     def init(self, handle):
         super().init(handle)
-        self.waiting = handle.getListState(
-            "waiting",
-            f"ms bigint, kind int, id {self.tie_type}, user {self.user_type}, action string, action1 string, action2 string",
-        )
+        self.waiting = handle.getListState("waiting", "block binary")  # rows pickled together
         self.due = handle.getValueState("due", "ms bigint")
         self.rule = handle.getValueState("rule", "action1 string, action2 string")
         self.last = handle.getMapState("last", f"user {self.user_type}", "action string")
@@ -257,7 +259,7 @@ class ControlledMatch(Processor):
     def handleInputRows(self, key, rows, timerValues):
         new = [(r.ms, r.kind, r.id, r.user, r.action, r.action1, r.action2) for r in rows if r.ms is not None]
         if new:
-            self.waiting.appendList(new)
+            self.waiting.appendList(_pickled(new))
             (due,) = self.due.get() or (None,)
             first = min(row[0] for row in new)
             self._wait(first if due is None else min(due, first))
@@ -268,22 +270,28 @@ class ControlledMatch(Processor):
         if due != expiredTimerInfo.getExpiryTimeInMs():
             return
         passed = timerValues.getCurrentWatermarkInMs()
-        held = [tuple(row) for row in self.waiting.get()]
+        held = [row for (block,) in self.waiting.get() for row in pickle.loads(block)]
         ready = sorted((r for r in held if r[0] <= passed), key=_nulls_first)
         left = [r for r in held if r[0] > passed]
         rule = self.rule.get()
+        lasts = {}  # of the users met, each read and written once
         for ms, kind, at, user, action, action1, action2 in ready:
             if kind == 0:
                 rule = (action1, action2)
                 continue
-            last = self.last.getValue((user,)) if self.last.containsKey((user,)) else None
+            name = repr(user)
+            if name not in lasts:
+                lasts[name] = (user, self.last.getValue((user,)) if self.last.containsKey((user,)) else None)
+            last = lasts[name][1]
             if last is not None and rule is not None and (last[0], action) == tuple(rule):
                 yield self.row(*key, user, at, *rule)
-            self.last.updateValue((user,), (action,))
+            lasts[name] = (user, (action,))
+        for user, last in lasts.values():
+            self.last.updateValue((user,), last)
         if rule is not None:
             self.rule.update(tuple(rule))
         if left:
-            self.waiting.put(left)
+            self.waiting.put(_pickled(left))
         else:
             self.waiting.clear()
         self.due.update((None,))
