@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import split_lines, split_words
-from tidemark.plans.ordered import MAX_ROWS, running_totals
+from tidemark.plans.ordered import MAX_ROWS, running_counts
 
 
 def words(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -39,4 +39,4 @@ def running_word_count(
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Add ``running``: how often the word occurred up to and including the row."""
-    return running_totals(word_rows, ["word"], list(order), {"running": None}, max_rows)
+    return running_counts(word_rows, ["word"], list(order), "running", max_rows)

@@ -21,6 +21,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import enable_checkpoints, written
 
@@ -34,6 +35,11 @@ MAX_LISTED_KEYS = 10_000
 CHUNK = "_chunk"
 LARGE = "_large"
 REAL = "_real"
+WEIGHT = "_weight"
+# Equal steps of an order column, of which chunks are made up.
+BINS = 4096
+# Before all chunks; nulls of the order column are chunk -1.
+FIRST_CHUNK = -2
 
 
 @dataclass(frozen=True)
@@ -179,6 +185,92 @@ def running_totals(
     return _tidy(summed).drop(*weights.values())
 
 
+def in_chunks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS
+) -> tuple[DataFrame, int]:
+    """All rows with ``CHUNK``, which rises with the first order column, and the number of
+    chunks; so many that a key has at most about ``max_rows`` rows in one.
+
+    A sample gives the largest key and how the order column spreads. The chunk follows
+    from the row alone, so rows are neither joined nor written to be cut. An order
+    column that is no whole number makes one chunk.
+    """
+    whole = isinstance(df.schema[order[0]].dataType, T.IntegralType)
+    if not whole:
+        return df.withColumn(CHUNK, F.lit(0)), 1
+    share = min(1.0, ROWS_PER_KEY / max_rows)
+    sampled = df.select(*keys, F.col(order[0]).cast("double").alias("_at"))
+    sampled = (sampled if share == 1.0 else sampled.sample(share, seed=11)).persist()
+    try:
+        n_rows, low, high = sampled.agg(F.count(F.lit(1)), F.min("_at"), F.max("_at")).first()
+        top = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+        if top <= max_rows * share or low is None:
+            return df.withColumn(CHUNK, F.lit(0)), 1
+        pieces = math.ceil(2 * top / (max_rows * share))
+        width = max(1.0, (high - low) / BINS)
+
+        def bin_of(at: Column) -> Column:
+            """1 to ``BINS``; values beyond the sample's count to its ends."""
+            return F.least(F.greatest((at - low) / width, F.lit(0.0)), F.lit(BINS - 1.0)).cast("int") + 1
+
+        counts = dict(sampled.groupBy(bin_of(F.col("_at"))).count().collect())
+    finally:
+        sampled.unpersist()
+    chunks, done = [], counts.pop(None, 0)
+    for i in range(1, BINS + 1):
+        chunks.append(min(pieces - 1, pieces * done // n_rows))
+        done += counts.get(i, 0)
+    chunk = F.element_at(F.lit(chunks), bin_of(F.col(order[0]).cast("double")))
+    return df.withColumn(CHUNK, F.coalesce(chunk, F.lit(-1))), pieces
+
+
+def chunk_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys, CHUNK, WEIGHT``: the rows of each key in each chunk; written, as they are read again."""
+    return written(rows.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias(WEIGHT)), "chunk-counts")
+
+
+def are_small(counts: DataFrame, max_rows: int) -> bool:
+    """Whether chunks came out about as small as asked; one value may hold too many rows."""
+    return (counts.agg(F.max(WEIGHT)).first()[0] or 0) <= 4 * max_rows
+
+
+def count_along(
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    counts: DataFrame,
+    count: str,
+    before: DataFrame | None = None,
+) -> DataFrame:
+    """Number the rows of each key in order, chunk by chunk, behind a carry row that holds
+    what the chunks before have of the key, and ``before`` (``keys, WEIGHT``) at first."""
+    keys = list(keys)
+    sums = counts
+    if before is not None:
+        sums = counts.unionByName(before.select(*keys, F.lit(FIRST_CHUNK).alias(CHUNK), WEIGHT))
+    carry = sums.select(*keys, CHUNK, F.sum(WEIGHT).over(_before(keys)).alias(WEIGHT)).filter(
+        F.col(WEIGHT).isNotNull() & (F.col(CHUNK) != FIRST_CHUNK)
+    )
+    line = rows.unionByName(carry, allowMissingColumns=True)  # only carry rows have a weight
+    w = Window.partitionBy(*keys, CHUNK).orderBy(F.col(WEIGHT).asc_nulls_last(), *order)
+    w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = line.withColumn(count, F.sum(F.coalesce(WEIGHT, F.lit(1).cast("bigint"))).over(w))
+    return numbered.filter(F.col(WEIGHT).isNull()).drop(CHUNK, WEIGHT)
+
+
+def running_counts(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], count: str, max_rows: int = MAX_ROWS
+) -> DataFrame:
+    """:func:`running_totals` of rows for tables most of whose rows belong to large keys:
+    rows of all keys travel and are sorted once, in chunks."""
+    rows, pieces = in_chunks(df, keys, order, max_rows)
+    if pieces > 1:
+        counts = chunk_counts(rows, keys)
+        if are_small(counts, max_rows):
+            return count_along(rows, keys, order, counts, count)
+    return running_totals(df, keys, order, {count: None}, max_rows)
+
+
 def previous_value(
     df: DataFrame,
     keys: Sequence[str],
